@@ -49,8 +49,12 @@ def effect(feed: Column, sign: Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Hundredths, two decimals; null without a base."""
-    return F.round(100.0 * part / F.nullif(whole, F.lit(0)), 2)
+    """Per cent with two decimals, halves away from zero; null without a base.
+
+    The hundredths are floored from whole numbers, so that no tie depends on how a quotient was rounded.
+    """
+    size = F.floor((20000 * F.abs(part) + F.abs(whole)) / F.nullif(2.0 * F.abs(whole), F.lit(0.0)))
+    return F.signum(part) * F.signum(whole) * size / 100.0 + 0.0
 
 
 def rounded_mean(cents: Column, n: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import marts, sql
+from . import analyses, marts, sql
 
-QUERIES = dict(marts.QUERIES)
-SQL = dict(sql.SQL)
+QUERIES = marts.QUERIES | analyses.QUERIES
+SQL = sql.SQL | analyses.SQL
