@@ -1 +1 @@
-
+"""Arrival of files and late corrections as streams."""
