@@ -17,7 +17,7 @@ def plan_packs(histogram: dict[int, int], size: int) -> tuple[list[tuple[int, in
     """Placements (length, first rank, count, first sequence, offset) and the number of sequences.
 
     Lengths go longest first.  Each goes to the packs that are filled least so far (the shortest), as many at
-    once as share a pattern; if it fits none of them, it opens packs.  Packs of one pattern have
+    once as share a pattern; if it fits none of them, it opens packs and fills them.  Packs of one pattern have
     consecutive numbers, so a placement is a range of ranks laid on a range of sequences.
     """
     placements, packs, sequences = [], [], 0  # packs: heap of (used, first sequence, count)
@@ -29,13 +29,17 @@ def plan_packs(histogram: dict[int, int], size: int) -> tuple[list[tuple[int, in
                 n = min(left, count)
                 if n < count:
                     heapq.heappush(packs, (used, first + n, count - n))
-            else:
-                used, first, n = 0, sequences, left
+                placements.append((length, rank, n, first, used))
+                rank, left, used = rank + n, left - n, used + length
+            else:  # nothing fits: a pack that is opened is the shortest, so it takes as many of this length as fit
+                fits = min(size // length, left)
+                first, n, used = sequences, left // fits, fits * length
                 sequences += n
-            placements.append((length, rank, n, first, used))
-            if used + length < size:
-                heapq.heappush(packs, (used + length, first, n))
-            rank, left = rank + n, left - n
+                for k in range(fits):
+                    placements.append((length, rank + k * n, n, first, k * length))
+                rank, left = rank + fits * n, left - fits * n
+            if used < size:
+                heapq.heappush(packs, (used, first, n))
     return placements, sequences
 
 
