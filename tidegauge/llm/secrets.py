@@ -68,17 +68,19 @@ def samples(docs: DataFrame, sampled: int = 2000) -> DataFrame:
 def train(words: DataFrame) -> tuple[list[float], float]:
     """The log-likelihood ratio of each pair of characters (row by row), and the calibrated threshold.
 
-    Both models are smoothed by half a count a pair.  The threshold halves the way between the 99.99th hundredth of the
+    A pair's chance falls back on that of its second character with the weight of ten pairs.  The threshold halves the way between the 99.99th hundredth of the
     ordinary words' scores and the hundredth of the random strings' scores, but is at least 0.3 a character.  At most
     67 x 67 counts come to the driver.
     """
     import numpy as np
 
     k = len(ALPHABET)
-    counts = np.full((2, k, k), 0.5)
+    counts = np.zeros((2, k, k))
     for r in _bigrams(words).collect():
         counts[r["label"], r["a"] - 1, r["b"] - 1] += r["n"]
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    single = counts.sum(axis=1) + 0.5
+    single = (single / single.sum(axis=1, keepdims=True))[:, None, :]
+    logs = np.log((counts + 10 * single) / (counts.sum(axis=2, keepdims=True) + 10))
     ratio = np.round(logs[1] - logs[0], 6).ravel().tolist()
     scored = words.where(F.length("word") >= 12).select("label", score(F.col("word"), ratio).alias("s"))
     q = {r["label"]: r for r in scored.groupBy("label").agg(F.percentile("s", F.lit(0.9999)).alias("high"), F.percentile("s", F.lit(0.01)).alias("low")).collect()}
