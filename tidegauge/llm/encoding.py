@@ -12,20 +12,33 @@ import json
 import os
 import re
 from array import array
+from collections import Counter
+from itertools import islice
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _BYTE_LEVEL = re.compile(rf" ?[{_LETTERS}]+(?=[,.\s]|$)| ?\S+|\s+(?!\S)|\s+")
 _WORD_END = re.compile(rf"[{_LETTERS}]+(?=[,.\s]|$)|\S+")
+_SIGNS = ".,!?%#*&$;:"
+
+
+def _signs_of_bytes() -> dict[int, str]:
+    """Byte -> its sign in byte-level vocabularies: itself where it prints, else the next free one from U+0100."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+_SIGN_OF_BYTE = _signs_of_bytes()
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class Encoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids.
 
-    ``cache_words`` bounds the words held (the cache is emptied beyond it).
+    ``cache_words`` bounds the words held (beyond it the newer half goes).
     """
 
-    def __init__(self, path: str, cache_words: int = 600_000):
+    def __init__(self, path: str, cache_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -35,6 +48,9 @@ class Encoder:
         self.cache: dict[str, bytes] = {}
         self.after_space: dict[str, bytes] = {}
         self.cache_words = cache_words
+        #: the commonest words once enough were counted: so few that they stay in the processor's cache
+        self.common: dict[str, dict[str, bytes] | None] = {"": None, " ": None}
+        self.counts = {"": Counter(), " ": Counter()}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         before, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
@@ -49,56 +65,94 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _each(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, of many parted by a sign that is its own token, or one by one."""
-        mark = self._whole(["\x01"])[0]
-        if self.words is not _WORD_END or len(mark) != 4 or any("\x01" in w for w in words):
-            return self._whole(words)
-        import numpy as np
-
-        ids = np.frombuffer(self._whole([" \x01 ".join(words)])[0], dtype="<u4")
-        ends = [*(4 * np.flatnonzero(ids == np.frombuffer(mark, dtype="<u4")[0])).tolist(), 4 * len(ids)]
-        blob, starts = ids.tobytes(), [0, *(x + 4 for x in ends[:-1])]
-        return [blob[a:b] for a, b in zip(starts, ends)]
+    def _each(self, words: list[str], before: str) -> list[bytes]:
+        """The ids of each word, after ``before``.
+
+        A word of Latin letters only is one unit before merging, so it goes to the library's model at once; a byte is written as the sign that the
+        vocabulary has for it.
+        """
+        lower, tokenize, out, rest = self.words is _WORD_END, self.tokenizer.model.tokenize, {}, []
+        for w in words:
+            if w.isalpha() and (w.isascii() or max(w) < "\u0100"):
+                shown = (before + (w.lower() if lower else w)).encode().decode("latin-1").translate(_SIGN_OF_BYTE)
+                out[w] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+            else:
+                rest.append(w)
+        out.update(zip(rest, self._whole([w if w[:1] == "\n" else before + w for w in rest] if before else rest)))
+        return [out[w] for w in words]
 
     def _learn(self, keys: set[str], cache: dict[str, bytes], before: str = "") -> None:
-        new = list(keys)
+        """Adds keys to a cache; a word and the signs after it are parted first, as either is often known."""
+        parted, new = {}, set()
+        for key in keys:
+            word = key.rstrip(_SIGNS)
+            if word != key and word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                parted[key] = word, key[len(word) :]
+                if word not in cache:
+                    new.add(word)
+            else:
+                new.add(key)
+        new = list(new)
         for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            cache.update(zip(part, self._each([x if x[:1] == "\n" else before + x for x in part] if before else part)))
+            cache.update(zip(new[lo : lo + 4096], self._each(new[lo : lo + 4096], before)))
+        signs = list({x[1] for x in parted.values()}.difference(self.cache))
+        if signs:
+            self.cache.update(zip(signs, self._whole(signs)))
+        for key, (word, after) in parted.items():
+            cache[key] = cache[word] + self.cache[after]
+
+    def _joined(self, split: list[list[str]], cache: dict[str, bytes], before: str = "") -> list[bytes]:
+        """The ids of each list of words."""
+        common = self.common[before]
+        if common is None:
+            known = [list(map(cache.get, s)) for s in split]
+        else:
+            known = [list(map(common.get, s)) for s in split]
+            known = [[cache.get(w) if ids is None else ids for ids, w in zip(k, s)] if None in k else k for k, s in zip(known, split)]
+        lacking = [None in k for k in known]
+        new = {w for s, k, lack in zip(split, known, lacking) if lack for w, ids in zip(s, k) if ids is None}
+        if new:
+            self._learn(new, cache, before)
+        get = cache.__getitem__
+        out = [b"".join([get(w) if ids is None else ids for ids, w in zip(k, s)] if lack else k) for s, k, lack in zip(split, known, lacking)]
+        if common is None:
+            counts = self.counts[before]
+            for s in split:
+                counts.update(s)
+            if sum(map(len, split)) and counts.total() > 300_000:
+                self.common[before] = {w: get(w) for w, _ in counts.most_common(20_000) if w in cache}
+                self.counts[before] = Counter()
+        return out
+
+    def _trim(self, cache: dict[str, bytes]) -> dict[str, bytes]:
+        """Of a full cache the half that came first, in which the common words are."""
+        return dict(islice(cache.items(), self.cache_words // 2)) if len(cache) > self.cache_words else cache
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """The ids of each text, followed by ``end``."""
         if self.words is None:
             return [x + end for x in self._whole(texts)]
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        if len(self.after_space) > self.cache_words:
-            self.after_space.clear()
-        plain, split = [], []
-        for t in texts:
-            pieces = None
-            if self.words is _WORD_END:
-                if not any(o in t for o in _ODD):
-                    pieces = t.split()
+        self.cache, self.after_space = self._trim(self.cache), self._trim(self.after_space)
+        out, plain, split, other, other_split = [b""] * len(texts), [], [], [], []
+        for i, t in enumerate(texts):
+            if any(o in t for o in _ODD):
+                out[i] = self._whole([t])[0]
+            elif self.words is _WORD_END:
+                other.append(i)
+                other_split.append(t.split())
             elif "  " not in t and "\n\n" not in t and " \n" not in t and t.replace("\n", "").isprintable():
                 # words parted by single spaces and single line ends only: a key is a word after a space, or "\n" and a word
-                plain.append(True)
+                plain.append(i)
                 split.append(t.replace("\n", " \n").split(" "))
-                continue
-            elif not any(o in t for o in _ODD):
-                pieces = self.words.findall(t)
-            plain.append(False)
-            split.append(pieces)
-        self._learn(set().union(*(s for s, p in zip(split, plain) if s and not p), (s[0] for s, p in zip(split, plain) if p)).difference(self.cache), self.cache)
-        self._learn(set().union(*(s[1:] for s, p in zip(split, plain) if p)).difference(self.after_space), self.after_space, " ")
-        get, after, out = self.cache.__getitem__, self.after_space.__getitem__, []
-        for t, s, p in zip(texts, split, plain):
-            if p:
-                out.append(get(s[0]) + b"".join(map(after, s[1:])) + end)
             else:
-                out.append((b"".join(map(get, s)) if s is not None else self._whole([t])[0]) + end)
-        return out
+                other.append(i)
+                other_split.append(self.words.findall(t))
+        for i, ids in zip(other, self._joined(other_split, self.cache)):
+            out[i] = ids
+        firsts = self._joined([[s[0]] if s[0] else [] for s in split], self.cache)
+        for i, first, ids in zip(plain, firsts, self._joined([s[1:] for s in split], self.after_space, " ")):
+            out[i] = first + ids
+        return [ids + end for ids in out]
 
 
 _held: dict[str, Encoder] = {}
