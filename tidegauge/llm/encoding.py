@@ -71,11 +71,14 @@ class Encoder:
         A word of Latin letters only is one unit before merging, so it goes to the library's model at once; a byte is written as the sign that the
         vocabulary has for it.
         """
+        sign = before.translate(_SIGN_OF_BYTE)
         lower, tokenize, out, rest = self.words is _WORD_END, self.tokenizer.model.tokenize, {}, []
         for w in words:
             if w.isalpha() and (w.isascii() or max(w) < "\u0100"):
-                shown = (before + (w.lower() if lower else w)).encode().decode("latin-1").translate(_SIGN_OF_BYTE)
-                out[w] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+                shown = w.lower() if lower else w
+                if not w.isascii():
+                    shown = shown.encode().decode("latin-1").translate(_SIGN_OF_BYTE)
+                out[w] = array("I", [t.id for t in tokenize(sign + shown)]).tobytes()
             else:
                 rest.append(w)
         out.update(zip(rest, self._whole([w if w[:1] == "\n" else before + w for w in rest] if before else rest)))
