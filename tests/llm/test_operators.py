@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.llm import components, encoding, mixing, packing, pii, quality, secrets, simhash, token_output, vectors, warc
+from tidegauge.llm import components, encoding, mixing, near_texts, packing, pii, quality, secrets, simhash, token_output, vectors, warc
 from tidegauge.llm.queries import vocabulary
 
 ODD = [None, "", " ", "one", "a b", "x " * 5000, "Déjà vu, l'été.\n\n  tab\tend ", "the same words in every copy of it", "the same words in every copy of it", "日本語 テスト ½²"]
@@ -86,7 +86,7 @@ def test_packing(spark, docs):
     assert all(sum(x for _, x in v) <= 16 and [o for o, _ in sorted(v)] == [sum(x for _, x in sorted(v)[:k]) for k in range(len(v))] for v in seen.values())
 
 
-def test_simhash_groups_and_dedup(spark, docs):
+def test_simhash_groups(spark, docs):
     for r in (2, 3):
         m = simhash.masks(r)
         rng = np.random.default_rng(r)
@@ -99,10 +99,48 @@ def test_simhash_groups_and_dedup(spark, docs):
     for _ in label:
         label = {i: min(label[j] for j in label if (fp[i] ^ fp[j]).bit_count() <= 3) for i in label}
     assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == label
-    kept = simhash.dedup(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(set(label.values()))
-    assert simhash.groups(empty(spark, docs)).count() == 0 and simhash.dedup(empty(spark, docs)).count() == 0
+    assert simhash.groups(empty(spark, docs)).count() == 0
+
+
+def jaccard(a, b):
+    x, y = (set(near_texts.shingles(near_texts._words(t), 5).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_near_texts(spark, docs):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    for k in range(40):
+        base = [rng.choice(words) for _ in range(rng.randint(60, 400))]
+        for c in range(4):
+            copy = list(base)
+            for _ in range(c * len(base) // 150):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            rows.append((1000 + 10 * k + c, " ".join(copy)))
+    base = [rng.choice(words) for _ in range(120)]
+    for c in range(60):
+        copy = list(base)
+        for _ in range(c % 3):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        rows.append((2000 + c, " ".join(copy)))
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, node string, s int").repartition(3)
+    known = sorted({r for r in rows if r[0] is not None})
+    label = {i: i for i, _ in known}
+    links = [(i, j) for n, (i, a) in enumerate(known) for j, b in known[n + 1 :] if jaccard(a, b) >= 0.8]
+    for _ in range(6):
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    kept = near_texts.dedup(table)
+    assert kept.columns == table.columns
+    got = sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect())
+    assert set(label.values()) <= set(got) and len(got) <= len(set(label.values())) * 1.02  # nothing is lost, hardly a link is missed
+    assert kept.where("doc_id is null").count() == 1
+    assert near_texts.dedup(table.limit(0)).count() == 0
+    keyed = near_texts.row_keys(table, table.columns)
+    d = near_texts.sketches(keyed, 5, 8).groupBy("node").agg(F.first("s").alias("s"), F.first("f").alias("f")).cache()
+    whole, split = ({r["node"]: r["component"] for r in components.components(near_texts.candidates(d, 3, block=b)).collect()} for b in (2048, 8))
+    assert whole == split
 
 
 def test_large_buckets_lose_no_link(spark):

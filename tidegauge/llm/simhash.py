@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, row_keys, runs
+from .common import cut, id_and_text, runs
 from .components import components, forest
 
 
@@ -58,11 +58,9 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 fp = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), *part.columns[2:], pa.array(fp.view(np.int64))], [*part.schema.names, "fp"][:1] + [*part.schema.names[2:], "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
-    source = id_and_text(docs, *[c for c in ("__k1", "__k2") if c in docs.columns])
-    more = "".join(f", {c} long" for c in source.columns[2:])
-    return source.mapInArrow(run, f"doc_id long{more}, fp long")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
 
 
 def links_within(fps: DataFrame, radius: int, block: int = 2048) -> DataFrame:
@@ -141,21 +139,3 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     classed = distinct.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = classed.join(classed.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("fp", "component_id")
     return fps.join(named, "fp")
-
-
-def dedup(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the smallest doc_id.
-
-    Of rows with that same doc_id, the one of the least content key stays; other columns, whatever their
-    names, are kept as they are.
-    """
-    columns = docs.columns
-    keyed = row_keys(docs, columns)
-    placed = groups(keyed, words, radius)
-    group_key = F.coalesce(F.col("component_id"), F.lit(-(2**63)))
-    best = placed.groupBy(group_key.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__k1", "__k2")).alias("best"))
-    keep = best.select(F.col("best.__k1").alias("__k1"), F.col("best.__k2").alias("__k2"))
-    repeated = placed.groupBy("__k1", "__k2").agg(F.count("*").alias("n")).where("n > 1").select("__k1", "__k2")
-    rows = keyed.join(keep, ["__k1", "__k2"], "left_semi").join(repeated.withColumn("__again", F.lit(True)), ["__k1", "__k2"], "left")
-    once = rows.where("__again is null").select(*[f"`{c}`" for c in columns])
-    return once.unionByName(rows.where("__again").dropDuplicates(["__k1", "__k2"]).select(*[f"`{c}`" for c in columns]))
