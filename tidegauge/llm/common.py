@@ -76,3 +76,16 @@ def runs(batches, key: str):
             held.append(batch.slice(lo, hi - lo))
     if held:
         yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
+
+
+def slices(batch, text="text", rows: int = 200, size: int = 1 << 20):
+    """Parts of an Arrow batch of at most ``rows`` rows and about ``size`` bytes of text (a longer text alone), so that a part's memory is bounded."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = before = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(lo, hi - lo)
+        lo, before = hi, int(ends[hi - 1])

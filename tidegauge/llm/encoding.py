@@ -166,8 +166,3 @@ def encoder(path: str) -> Encoder:
     if path not in _held:
         _held[path] = Encoder(path)
     return _held[path]
-
-
-def slices(batch, rows: int = 200):
-    for lo in range(0, batch.num_rows, rows):
-        yield batch.slice(lo, rows)

@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text
+from .common import cut, id_and_text, slices
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int = 2, w
         import numpy as np
         import pyarrow as pa
 
-        from .encoding import encoder, slices
+        from .encoding import encoder
 
         e, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, slices
 
 PASSAGE = 512  # bytes
 PAIRS = 256
@@ -136,8 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, sampled: int = 4000, most_passages
         import pyarrow as pa
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part = batch.slice(lo, 200)
+            for part in slices(batch):
                 x, counts = passages(part.column("text").to_pylist())
                 cut_at = np.cumsum(counts)[:-1]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("quality").cast(pa.int32()), pa.array([a.astype(np.float16).tobytes() for a in np.split(x, cut_at)], pa.binary())], ["doc_id", "quality", "x"])
@@ -158,8 +157,7 @@ def with_scores(docs: DataFrame, model: Attention, name: str = "score") -> DataF
         own = Attention()
         own.p = params.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part = batch.slice(lo, 200)
+            for part in slices(batch, at):
                 y = own.forward(*passages([t or "" for t in part.column(at).to_pylist()]))["y"]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(y.astype(np.float64))], [*part.schema.names, name])
 

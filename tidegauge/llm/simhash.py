@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, runs
+from .common import cut, id_and_text, runs, slices
 from .components import components, forest
 
 
@@ -55,8 +55,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in slices(batch):
                 fp = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 

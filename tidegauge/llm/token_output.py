@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, id_and_text, stored
+from .common import cut, fresh_path, id_and_text, slices, stored
 
 BLOCK = 1 << 20
 NULL_ID = -(2**63)
@@ -84,7 +84,7 @@ def encode_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        from .encoding import encoder, slices
+        from .encoding import encoder
 
         e, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         wide = e.tokenizer.get_vocab_size() > 65536
