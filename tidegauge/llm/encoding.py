@@ -38,7 +38,7 @@ class Encoder:
     ``cache_words`` bounds the words held (beyond it the newer half goes).
     """
 
-    def __init__(self, path: str, cache_words: int = 700_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
