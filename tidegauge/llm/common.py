@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -42,7 +43,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Spark's setting for the bytes of a batch that goes to a Python worker.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder.
+
+    Its texts may be long, so unless the session's configuration names another size, batches to Python workers
+    are held to 8 MB, on both sides of the pipe.
+    """
+    if not spark.sparkContext.getConf().contains(_BATCH_BYTES):
+        spark.conf.set(_BATCH_BYTES, "8m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -78,6 +90,16 @@ def runs(batches, key: str):
         yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
 
 
+def release() -> None:
+    """Gives memory that the worker has freed back to the system, since workers stay between tasks and stages."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batch, text="text", rows: int = 200, size: int = 1 << 20):
     """Parts of an Arrow batch of at most ``rows`` rows and about ``size`` bytes of text (a longer text alone), so that a part's memory is bounded."""
     import numpy as np
@@ -89,3 +111,4 @@ def slices(batch, text="text", rows: int = 200, size: int = 1 << 20):
         hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + size, side="right"))))
         yield batch.slice(lo, hi - lo)
         lo, before = hi, int(ends[hi - 1])
+    release()
