@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analyses, marts, sql
+from . import analyses, editions, marts, sql
 
-QUERIES = marts.QUERIES | analyses.QUERIES
-SQL = sql.SQL | analyses.SQL
+QUERIES = marts.QUERIES | analyses.QUERIES | editions.QUERIES
+SQL = sql.SQL | analyses.SQL | editions.SQL
