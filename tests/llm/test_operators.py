@@ -143,6 +143,33 @@ def test_near_texts(spark, docs):
     assert whole == split
 
 
+def test_near_texts_of_every_kind_of_edit(spark):
+    rng = random.Random(11)
+    some = lambda n: [rng.choice("abcdefghiklmnoprstuvw") + str(rng.randrange(10**6)) for _ in range(n)]
+    pairs = []
+    for n, more in [(40, 9), (200, 48), (200, 36), (8, 1), (5, 0), (4, 0), (1000, 240)] * 12:
+        base = some(n)
+        pairs += [(base, base + some(more)), (base[: n - n // 6], base)]
+    hub = some(200)
+    for _ in range(300):  # about 0.82 to the hub, 0.69 to each other
+        copy = list(hub)
+        for at in range(20, 200, 48):
+            copy[at + rng.randrange(31)] = some(1)[0]
+        pairs.append((hub, copy))
+    texts = sorted({" ".join(t) for p in pairs for t in p})
+    label = list(range(len(texts)))
+    sets = [set(near_texts.shingles(near_texts._words(t), 5).tolist()) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in range(8):
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    keyed = near_texts.row_keys(df, df.columns)
+    for block, few in ((2048, 16), (32, 3)):
+        got = {r["doc_id"]: r["component_id"] for r in near_texts.groups(keyed, block=block, few=few).collect()}
+        assert [got[i] for i in range(len(texts))] == label
+
+
 def test_large_buckets_lose_no_link(spark):
     rng = np.random.default_rng(5)
     centre = int(rng.integers(2**62))
