@@ -297,3 +297,31 @@ def test_mixing_meets_targets(spark, docs, labels):
     out = mixing.mixed(docs, labels)
     assert out.columns == docs.columns
     assert mixing.rates(empty(spark, docs), labels).count() == 0 and mixing.rates(docs, empty(spark, labels)).count() == docs.count()
+
+
+def posteriors(spark, rng, n, alpha, tokens=100.0):
+    return spark.createDataFrame([(tokens, p.tolist()) for p in rng.dirichlet(alpha, n)], "__tokens double, __p array<double>").cache()
+
+
+def mixed_totals(rows, **more):
+    out = rows.withColumn("r", mixing._rate(mixing.fit(rows, mixing.TARGETS, **more)))
+    return out.agg(F.avg("r").alias("mean"), *[F.sum(F.col("r") * F.col("__tokens") * F.col("__p")[d]).alias(f"t{d}") for d in range(3)]).first()
+
+
+def test_mixing_of_overlapping_posteriors(spark):
+    for alpha in ([8.0, 0.4, 0.4], [2.0, 0.5, 0.5], [2.0, 0.3, 1.0]):
+        got = mixed_totals(posteriors(spark, np.random.default_rng(8), 4000, alpha))
+        total = sum(got[f"t{d}"] for d in range(3))
+        assert all(abs(got[f"t{d}"] / total / mixing.TARGETS[name] - 1) < 0.02 for d, name in enumerate(mixing.DOMAINS))
+
+
+@pytest.mark.filterwarnings("ignore:mixing")
+def test_mixing_keeps_clean_documents_where_a_domain_is_scarce(spark):
+    for poor, toxic in ((20, 800), (4, 800), (2, 8), (0, 800), (800, 2)):
+        p = [[0.0, 1.0, 0.0]] * poor + [[0.0, 0.0, 1.0]] * toxic + [[1.0, 0.0, 0.0]] * (4000 - poor - toxic)
+        rows = spark.createDataFrame([(100.0, x) for x in p], "__tokens double, __p array<double>").cache()
+        got = mixed_totals(rows)
+        good, want = 100.0 * (4000 - poor - toxic), [100.0 * poor, 100.0 * toxic]
+        assert abs(got["t0"] / good - 1) < 0.01
+        for d, (n, w) in enumerate(zip(want, (0.01, 0.02)), 1):
+            assert abs(got[f"t{d}"] - min(n, good / 0.97 * w)) <= 0.01 * n

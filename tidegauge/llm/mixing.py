@@ -2,8 +2,8 @@
 
 Domains come from the labelled table: ``good`` (quality 1, not toxic), ``poor`` (quality 0) and ``toxic``.  A
 classifier of telling words gives every document a posterior over the domains.  Document rates r >= 0 then
-minimise the squared distance of the expected token totals sum(r * tokens * posterior) to
-weight * total, each domain's distance over its size, by projected gradient from r = 1.
+bring the expected token totals sum(r * tokens * posterior) to weight * total with the least change from r = 1,
+by projected Newton steps; a domain of too few tokens stays below its goal.
 """
 
 from __future__ import annotations
@@ -82,39 +82,75 @@ def with_posteriors(docs: DataFrame, model: tuple) -> DataFrame:
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """r after the steps so far: each a projected move along the document's own posterior."""
+    """r from 1 by moves along the document's own posterior, each projected to r >= 0."""
     moves = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
     moved = lambda r, h: F.greatest(F.lit(0.0), r - sum((F.col("__p")[d] * h[d] for d in range(1, len(DOMAINS))), F.col("__p")[0] * h[0]))
     return F.aggregate(moves, F.lit(1.0), moved)
 
 
-def fit(rows: DataFrame, targets: dict[str, float], total: float | None = None, most_steps: int = 16, close: float = 3e-3) -> list[list[float]]:
-    """The steps of the projected gradient, from token totals only (a row of sums an iteration).
+def fit(rows: DataFrame, targets: dict[str, float], total: float | None = None, most_steps: int = 60, close: float = 3e-3) -> list[list[float]]:
+    """The move that brings the token totals to their goals, from totals only (a row of sums an iteration).
 
-    ``total`` is the number of tokens wanted; by default the largest for which no domain needs more than it has.
+    Of all rates that meet the goals it gives those nearest to 1, r = max(0, 1 - posterior . move), by Newton steps
+    with halving on the dual, which is convex.  ``total`` is the number of tokens wanted; by default that of which the good documents,
+    kept once, have their share.  A domain that has less than its share of it is then left as it is, never made
+    up for by dropping others, and a warning tells what it has; so it does if goals are not met to ``close``.
     """
+    import warnings
+
+    import numpy as np
+
     k = len(DOMAINS)
     p = [F.col("__p")[d] for d in range(k)]
-    gram = rows.agg(*[F.sum(F.col("__tokens") * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)], *[F.sum(F.col("__tokens") * p[i]).alias(f"t{i}") for i in range(k)]).first()
-    have = [gram[f"t{d}"] or 0.0 for d in range(k)]
-    if not sum(have):
-        return []
-    weight = [targets[d] for d in DOMAINS]
-    total = total or min(h / w for h, w in zip(have, weight) if w > 0 and h > 0.001 * sum(have))
-    goal = [total * w for w in weight]
-    scale = [max(h, 0.001 * sum(have)) for h in have]
-    import numpy as np
 
-    step = 1 / float(np.linalg.eigvalsh([[gram[f"g{i}{j}"] / (scale[i] * scale[j]) ** 0.5 for j in range(k)] for i in range(k)])[-1])
-    steps: list[list[float]] = []
-    for _ in range(most_steps):
-        if any(abs(h - g) > close * max(g, 0.001 * total) for h, g in zip(have, goal)):
-            steps.append([step * (have[d] - goal[d]) / scale[d] for d in range(k)])
-        else:
+    def at(move):
+        r, t = _rate([move.tolist()]), F.col("__tokens")
+        rated = rows.select(r.alias("r"), t.alias("__tokens"), "__p")
+        on = F.when(F.col("r") > 0, t).otherwise(0.0)
+        now = rated.agg(F.sum(t * F.col("r") * F.col("r")).alias("q"), *[F.sum(t * F.col("r") * p[d]).alias(f"t{d}") for d in range(k)], *[F.sum(on * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]).first()
+        gram = np.array([[now[f"g{i}{j}"] or 0.0 for j in range(k)] for i in range(k)])
+        return now["q"] or 0.0, np.array([now[f"t{d}"] or 0.0 for d in range(k)]), gram
+
+    began = at(np.zeros(k))
+    have = began[1]
+    if not have.sum():
+        return []
+    weight = np.array([targets[d] for d in DOMAINS], dtype=float)
+    asked = total
+    if not total:
+        total = have[0] / weight[0] if weight[0] > 0 and have[0] > 0 else min(h / w for h, w in zip(have, weight) if w > 0 and h > 0)
+    goal = total * weight
+    bound = (have >= goal * (1 - 1e-9)) | bool(asked)
+    soft = 1e-7 * np.maximum(have, 1e-3 * have.sum())
+    allowed = close * np.where(goal > 0, goal, 1e-3 * total)
+    move = np.zeros(k)
+    while True:
+        quad, have, gram = began if not move.any() else at(move)
+        value = quad / 2 + goal @ move + soft @ move**2 / 2
+        for _ in range(most_steps):
+            down = np.where(bound, have - goal - soft * move, 0.0)
+            if (abs(have - goal) <= allowed)[bound].all() or abs(down).max() <= 1e-9 * total:
+                break
+            free = np.flatnonzero(bound)
+            step = np.zeros(k)
+            step[free] = np.linalg.solve(gram[np.ix_(free, free)] + np.diag(soft[free]), down[free])
+            for _ in range(30):
+                quad, new, gram_new = at(move + step)
+                value_new = quad / 2 + goal @ (move + step) + soft @ (move + step) ** 2 / 2
+                if value_new <= value - 1e-4 * (down @ step):
+                    break
+                step = step / 2
+            else:
+                break
+            move, have, gram, value = move + step, new, gram_new, value_new
+        over = ~bound & (have > goal + allowed)
+        if not over.any():
             break
-        now = rows.select(_rate(steps).alias("r"), "__tokens", "__p").agg(*[F.sum(F.col("r") * F.col("__tokens") * p[d]).alias(f"t{d}") for d in range(k)]).first()
-        have = [now[f"t{d}"] for d in range(k)]
-    return steps
+        bound = bound | over
+    unmet = {DOMAINS[d]: f"{have[d]:.0f} of {goal[d]:.0f} tokens" for d in range(k) if abs(have[d] - goal[d]) > allowed[d]}
+    if unmet:
+        warnings.warn(f"mixing: goals not met: {unmet}", stacklevel=2)
+    return [move.tolist()] if move.any() else []
 
 
 def _decided(rows: DataFrame, steps: list[list[float]]) -> DataFrame:
@@ -132,7 +168,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     """doc_id, tokens, p_good, p_poor, p_toxic, rate and copies of every row.
 
     Null or empty texts have no tokens and get the rate of their prior posterior; repeated rows have equal rates; a null doc_id is kept; an empty
-    table gives no rows; a domain that no document belongs to can't reach its target, which the others do.
+    table gives no rows; a domain with too few tokens is kept whole and stays below its target (see ``fit``).
     """
     model = train(docs, labels)
     rows = cut(with_posteriors(docs.select("doc_id", "text"), model).select("doc_id", "__tokens", "__p"))
