@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int = 2, w
 
         e, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, rows=4000, size=4 << 20):
                 out = [[] for _ in range(6)]
                 for doc_id, blob in zip(part.column("doc_id").to_pylist(), e.encode(part.column("text").to_pylist(), end)):
                     n = len(blob) // 4
@@ -68,27 +68,44 @@ def token_pieces(docs: DataFrame, vocabulary: str, size: int, end_id: int = 2, w
     return id_and_text(docs).mapInArrow(run, PIECE + (", ids binary" if with_ids else ""))
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, with_ids: bool = False, rows_a_salt: int = 50_000) -> DataFrame:
+def _slots(placements: list[tuple], histogram: dict[int, int]) -> tuple[list[tuple], dict[int, int]]:
+    """Placements with a bucket of ranks each, and the number of buckets by length.
+
+    A length has as many buckets of equal width as placements; a placement is repeated for each bucket that it
+    overlaps, so that ranks find their placement by equality and meet about two on average.
+    """
+    buckets: dict[int, int] = {}
+    for length, *_ in placements:
+        buckets[length] = buckets.get(length, 0) + 1
+    out = []
+    for length, first, n, sequence, offset in placements:
+        g, of = buckets[length], histogram[length]
+        out += [(length, b, first, n, sequence, offset) for b in range(first * g // of, (first + n - 1) * g // of + 1)]
+    return out, buckets
+
+
+def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, with_ids: bool = False, rows_a_salt: int = 5_000) -> DataFrame:
     """Every piece with its sequence_id and offset.
 
     Null texts count as empty (one piece, the end id); doc_ids may be null or repeated; an empty table
     gives no rows.  Only the histogram, at most ``size`` rows, comes to the driver.  Ranks within a
-    length are counted by salt, so a length that a third of the pieces share takes many tasks.
+    length are counted by salt, the number of the part of the table that holds the row, so a length that a third of the pieces
+    share, or one row repeated, takes many tasks.
     """
     spark = docs.sparkSession
     pieces = cut(token_pieces(docs, vocabulary, size, end_id, with_ids))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    placements, _ = plan_packs(histogram, size)
-    salts = max(1, -(-max(histogram.values(), default=0) // rows_a_salt))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)))
+    slots, buckets = _slots(plan_packs(histogram, size)[0], histogram)
+    lengths = spark.createDataFrame([(k, n, buckets[k], -(-n // rows_a_salt)) for k, n in histogram.items()], "length long, of long, buckets long, salts long")
+    salted = pieces.withColumn("part", F.spark_partition_id()).join(F.broadcast(lengths), "length").withColumn("salt", F.pmod("part", "salts"))
     counts = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32")
     ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(bases, ["length", "salt"]).withColumn("rank", F.col("own") + F.col("base"))
-    slots = spark.createDataFrame(placements, "length long, first_rank long, n long, first_sequence long, offset long")
-    if len(placements) <= 200_000:
-        slots = F.broadcast(slots)
+    placed = spark.createDataFrame(slots, "length long, bucket long, first_rank long, n long, first_sequence long, offset long")
+    if len(slots) <= 200_000:
+        placed = F.broadcast(placed)
     inside = (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("n"))
-    placed = ranked.join(slots, "length").where(inside)
-    return placed.select(*pieces.columns, (F.col("first_sequence") + F.col("rank") - F.col("first_rank")).alias("sequence_id"), "offset")
+    found = ranked.withColumn("bucket", F.expr("(rank * buckets) div of")).join(placed, ["length", "bucket"]).where(inside)
+    return found.select(*pieces.columns, (F.col("first_sequence") + F.col("rank") - F.col("first_rank")).alias("sequence_id"), "offset")
