@@ -89,7 +89,7 @@ def encode_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         e, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         wide = e.tokenizer.get_vocab_size() > 65536
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, rows=4000, size=4 << 20):
                 blobs = e.encode(part.column("text").to_pylist(), end)
                 n = [len(b) // 4 for b in blobs]
                 if not wide:
@@ -121,10 +121,11 @@ def id_frequencies(encoded: DataFrame) -> DataFrame:
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, tokens_a_file: int = 4_000_000) -> tuple[str, DataFrame, list[int]]:
     """Writes all texts as token files in ascending doc_id order into a new shared folder.
 
-    Returns the folder, one row a file (part, n_docs, n_tokens) and the ids by rank (at most one entry an
+    Returns the folder, one row a file (part, number, n_docs, n_tokens) and the ids by rank (at most one entry an
     id of the vocabulary, so it is small).  Null texts count as empty, null doc_ids come first, equal
-    doc_ids are ordered by their ids' bytes; an empty table gives no file.  A file appears by a rename, so
-    a task that is run again replaces its own file.
+    doc_ids are ordered by a hash of their ids and then their bytes, so that rows of one doc_id are dealt out too; an empty table gives
+    no file.  A part of the order goes to files of at most ``tokens_a_file`` ids (a longer document alone); a file
+    appears by a rename, so a task that is run again replaces its own files.
     """
     spark = docs.sparkSession
     encoded = stored(encode_ids(docs, vocabulary, end_id), "ids")
@@ -141,24 +142,33 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 2, tokens_
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        part, number, held = TaskContext.get().partitionId(), 0, 0
         table, docs_, counts, values = shared_ranks.value, [], [], []
+
+        def flush():
+            _put(f"{folder}/part-{part:08d}-{number:05d}.tgv", pack_file(docs_, counts, values))
+            return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "n_docs": [len(docs_)], "n_tokens": [held]})
+
         for batch in batches:
             for i, n, width, blob in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("width").to_pylist(), batch.column("ids")):
+                if docs_ and held + n > tokens_a_file:
+                    yield flush()
+                    number, held, docs_, counts, values = number + 1, 0, [], [], []
                 docs_.append(NULL_ID if i is None else i)
                 counts.append(n)
                 values.append(table[np.frombuffer(blob.as_buffer(), dtype=f"<u{width}")])
+                held += n
         if docs_:
-            _put(f"{folder}/part-{part:08d}.tgv", pack_file(docs_, counts, values))
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(docs_)], pa.int64()), pa.array([sum(counts)], pa.int64())], ["part", "n_docs", "n_tokens"])
+            yield flush()
 
-    files = max(1, -(-total // tokens_a_file))
-    ordered = encoded.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    return folder, cut(ordered.mapInArrow(write, "part long, n_docs long, n_tokens long")), by_rank
+    keyed = encoded.withColumn("tie", F.xxhash64("ids"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    ordered = keyed.repartitionByRange(max(1, -(-total // tokens_a_file)), *order).sortWithinPartitions(*order, "ids").drop("tie")
+    return folder, cut(ordered.mapInArrow(write, "part long, number long, n_docs long, n_tokens long")), by_rank
 
 
 def read_token_files(spark: SparkSession, folder: str, by_rank: list[int]) -> DataFrame:
-    """part, doc_id, at (ids before it in its file), n_tokens, ids_crc32 of each document, from the files."""
+    """part, number, doc_id, at (ids before it in its file), n_tokens, ids_crc32 of each document, from the files."""
     table = spark.sparkContext.broadcast(np.array(by_rank or [0], dtype="<u4"))
 
     def run(batches):
@@ -171,20 +181,30 @@ def read_token_files(spark: SparkSession, folder: str, by_rank: list[int]) -> Da
                 ends = np.cumsum(counts.astype(np.int64))
                 starts = ends - counts.astype(np.int64)
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                part = int(path.rsplit("part-", 1)[1].split(".")[0])
-                yield pa.RecordBatch.from_arrays([pa.array([part] * len(crc), pa.int64()), pa.array(doc_ids, pa.int64(), mask=doc_ids == NULL_ID), pa.array(starts), pa.array(counts.astype(np.int64)), pa.array(crc, pa.int64())], ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
+                part, number = map(int, path.rsplit("part-", 1)[1].split(".")[0].split("-"))
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(crc), pa.int64()), pa.array([number] * len(crc), pa.int64()), pa.array(doc_ids, pa.int64(), mask=doc_ids == NULL_ID), pa.array(starts), pa.array(counts.astype(np.int64)), pa.array(crc, pa.int64())], ["part", "number", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    return files.mapInArrow(run, "part long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(run, "part long, number long, doc_id long, at long, n_tokens long, ids_crc32 long")
+
+
+def file_bases(files: DataFrame, parts_a_block: int = 1024) -> DataFrame:
+    """part, number and base: the ids in all files before it.
+
+    Sums run within blocks of parts, and once over the blocks' totals (a row a thousand parts), so no task takes all files.
+    """
+    before = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocked = files.withColumn("block", F.floor(F.col("part") / parts_a_block))
+    blocks = blocked.groupBy("block").agg(F.sum("n_tokens").alias("n_tokens")).select("block", before(Window.orderBy("block")).alias("earlier"))
+    inside = before(Window.partitionBy("block").orderBy("part", "number"))
+    return blocked.withColumn("inside", inside).join(blocks, "block").select("part", "number", (F.col("earlier") + F.col("inside")).alias("base"))
 
 
 def token_index(docs: DataFrame, vocabulary: str, end_id: int = 2, tokens_a_file: int = 4_000_000) -> DataFrame:
     """Writes the files, reads them back: doc_id, start, n_tokens, ids_crc32 of each document."""
     folder, files, by_rank = write_token_files(docs, vocabulary, end_id, tokens_a_file)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    bases = files.select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
     back = read_token_files(docs.sparkSession, folder, by_rank)
-    return back.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return back.join(file_bases(files), ["part", "number"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def _make_folder(folder: str) -> None:
