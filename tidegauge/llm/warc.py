@@ -9,7 +9,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path
+from .common import cut, fresh_path, stored
 from .token_output import _make_folder
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -59,12 +59,17 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 def records(blob: bytes):
     """(headers with lower-case names, block) of each gzip member."""
-    while blob:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(blob) + z.flush()
-        if not z.eof:
-            raise ValueError("torn gzip member")
-        blob = z.unused_data
+    view, at = memoryview(blob), 0
+    while at < len(view):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:  # in small pieces, so that what follows a member is never copied as a whole
+            piece = view[at : at + 8192]
+            if not len(piece):
+                raise ValueError("torn gzip member")
+            parts.append(z.decompress(piece))
+            at += len(piece)
+        at -= len(z.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
@@ -147,6 +152,7 @@ def write_archives(pages: DataFrame, least_bytes: int = 1000, segment: int = 819
         yield pa.RecordBatch.from_pydict({"archive": [name], "records": pa.array([n], pa.int64())})
 
     joined = rows.join(refers, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to")
+    joined = joined.sortWithinPartitions("page_id", "digest", "url")  # so a task that is run again fills the same files
     return folder, cut(joined.mapInArrow(write, "archive string, records long"))
 
 
@@ -202,7 +208,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
                     out.append({"page_id": r["page_id"], "url": r["url"]} | _checked(block, r["payload_digest"], with_payload))
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    parsed = cut(spark.read.format("binaryFile").load(folder).select("path", "content").mapInArrow(parse, RECORD))
+    parsed = stored(spark.read.format("binaryFile").load(folder).select("path", "content").mapInArrow(parse, RECORD), "records")
     columns = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
     whole = parsed.where("segment is null").withColumn("record_type", F.col("kind")).select(*columns)
     parts = F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts")
