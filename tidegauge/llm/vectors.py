@@ -26,9 +26,9 @@ def usable(vectors: DataFrame, keep_zero: bool) -> DataFrame:
 
 
 def shard_rows(rows: DataFrame, key: str, dim: int, finish=None) -> DataFrame:
-    """One row a value of ``key``: its ids (int64) and vectors (float64, zeros up to ``dim``) as binaries.
+    """One row a value of ``key``: its ids (int64), vectors (zeros up to ``dim``) and row weights ``n`` as binaries.
 
-    ``finish`` turns ids and matrix into one more binary (an index).
+    Vectors are held in single precision where that is exact.  ``finish`` turns the matrix into an index, its beam and its recall.
     """
 
     def pack(table):
@@ -43,88 +43,145 @@ def shard_rows(rows: DataFrame, key: str, dim: int, finish=None) -> DataFrame:
         else:
             x = np.zeros((len(ids), dim))
             x[np.arange(dim)[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
-        extra = finish(x) if finish else b""
-        return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "x": [np.ascontiguousarray(x).tobytes()], "extra": pa.array([extra], pa.binary())})
+        weight = table.column("n").to_numpy() if "n" in table.column_names else np.ones(len(ids), np.int64)
+        with np.errstate(over="ignore"):
+            single = x.astype(np.float32)
+        exact = bool((single == x).all())
+        extra, beam, recall = finish(x) if finish else (b"", 0, 1.0)
+        held = np.ascontiguousarray(single if exact else x).tobytes()
+        return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "x": [held], "weight": [weight.astype("<i8").tobytes()], "width": pa.array([4 if exact else 8], pa.int32()), "extra": pa.array([extra], pa.binary()), "beam": pa.array([beam], pa.int32()), "recall": pa.array([recall], pa.float64())})
 
-    return rows.groupBy(key).applyInArrow(pack, f"{key} int, ids binary, x binary, extra binary")
+    return rows.groupBy(key).applyInArrow(pack, f"{key} int, ids binary, x binary, weight binary, width int, extra binary, beam int, recall double")
 
 
 def _unpack(table, dim: int, at: int = 0):
-    ids = np.frombuffer(table.column("ids")[at].as_py(), dtype="<i8")
-    return ids, np.frombuffer(table.column("x")[at].as_py()).reshape(-1, dim)
+    """ids, vectors in double precision, weights."""
+    one = lambda name, kind: np.frombuffer(table.column(name)[at].as_py(), dtype=kind)
+    return one("ids", "<i8"), one("x", f"<f{table.column('width')[at].as_py()}").astype(float).reshape(-1, dim), one("weight", "<i8")
+
+
+def _angle(cosine):
+    return np.arccos(np.clip(cosine, -1, 1))
 
 
 class SmallWorld:
-    """A hierarchical navigable small-world graph over unit vectors.
+    """A hierarchical navigable small-world graph over vectors, for links of cosine ``least`` or more.
 
-    Levels are drawn as usual (each level holds about one in ``m`` of the one below).  As a shard is
-    bounded, a node's candidates are its exact nearest among all nodes of the level and, as in
-    insertion order, among an eighth and a sixty-fourth of them, which gives the long links.  Links are chosen for
-    diversity (nearer to the node than to any link chosen before), then the nearest others fill up.
-    Searches run in lockstep for many queries.
+    Vectors are inserted in random order, in batches of at most as many as are there (4096 at most): each is sought in the graph so
+    far, takes links to diverse nodes of its beam and of its own batch, and gives links back.  A node is in level k
+    with chance m**-k.  A vector within half the links' angle of a node becomes that node's member and no node of its own,
+    so a group of near copies, however large, is one node, all of whose members are linked to each other.  Searches run in lockstep for many queries.
     """
 
-    def __init__(self, x: np.ndarray, links: list[np.ndarray] | None = None, members: list[np.ndarray] | None = None, m: int = 16):
-        self.x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
-        self.m = m
-        if links is None:
-            members, links = [np.arange(len(x))], []
-            order = np.random.default_rng(len(x)).permutation(len(x))
-            while len(members[-1]) > 4 * m:
-                members.append(np.sort(order[: len(members[-1]) // m]))
-            links = [self._link(nodes, order, 2 * m if level == 0 else m) for level, nodes in enumerate(members)]
-        self.members, self.links = members, links
-
-    def _link(self, nodes: np.ndarray, order: np.ndarray, m: int) -> np.ndarray:
-        n, x = len(nodes), self.x[nodes]
-        if n == 1:
-            return np.full((1, m), -1, dtype=np.int32)
-        rank = np.empty(len(self.x), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        by_rank = np.argsort(rank[nodes])
-        out = np.full((n, m), -1, dtype=np.int32)
-        pools = [(np.arange(n), 2 * m)] + [(np.sort(by_rank[: n // part]), m // 2) for part in (8, 64) if n // part > m]
-        for lo in range(0, n, 512):
-            base = np.arange(lo, min(n, lo + 512))
-            found = []
-            for pool, k in pools:
-                s = x[base] @ x[pool].T
-                s[base[:, None] == pool[None, :]] = -9
-                k = min(k, len(pool))
-                found.append(pool[np.argpartition(-s, k - 1, axis=1)[:, :k]])
-            out[base] = self._choose(x, base, np.concatenate(found, axis=1), m)
-        # links are made mutual; a node with too many chooses anew
-        a, b = np.repeat(np.arange(n), m), out.ravel()
-        a, b = a[b >= 0], b[b >= 0].astype(np.int64)
-        pairs = np.unique(np.concatenate([a * n + b, b * n + a]))
-        a, b = pairs // n, pairs % n
-        count = np.bincount(a, minlength=n)
-        width = int(count.max())
-        first = np.cumsum(count) - count
-        for lo in range(0, n, 256):
-            rows = np.arange(lo, min(n, lo + 256))
-            w = int(count[rows].max())
-            cand = np.full((len(rows), w), -1, dtype=np.int64)
-            mask = np.arange(w)[None, :] < count[rows][:, None]
-            cand[mask] = b[first[rows[0]] : first[rows[-1]] + count[rows[-1]]]
-            if w > 256:  # hubs: the nearest 256 are enough to choose from
-                s = np.einsum("rcd,rd->rc", x[np.maximum(cand, 0)], x[rows])
-                s[cand < 0] = -9
-                cand = np.take_along_axis(cand, np.argpartition(-s, 255, axis=1)[:, :256], axis=1)
-            out[rows] = self._choose(x, rows, cand, m)
-        return out
+    def __init__(self, x: np.ndarray, least: float, m: int = 24, ef: int = 32, seed: int = 5):
+        self.least, self.m = least, m
+        self.half = _angle(least) / 2
+        unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+        n, rng = len(unit), np.random.default_rng(seed)
+        order, level_of_row = rng.permutation(n), np.floor(-np.log(1 - rng.random(n)) / np.log(m)).astype(int)
+        self.nodes = np.zeros(n, np.int64)  # the row of each node
+        self.x = np.zeros_like(unit)
+        self.links = [np.full((n, 2 * m), -1, np.int32)]
+        self.top, self.count, self.of = 0, 0, np.full(n, -1, np.int64)
+        join, at = np.cos(self.half) + 1e-5, 0
+        while at < n:
+            rows = order[at : at + min(4096, max(256, self.count))]
+            at += len(rows)
+            q = unit[rows]
+            beams = self._descend(q, ef, 8) if self.count else []
+            if beams:
+                ids, sims = beams[0]
+                best = sims.argmax(axis=1)
+                best_sim = sims[np.arange(len(rows)), best]
+                self.of[rows] = np.where(best_sim >= join, ids[np.arange(len(rows)), best], -1)
+            open_ = np.flatnonzero(self.of[rows] < 0)
+            near = q[open_] @ q[open_].T
+            leads = self._lead(near >= join)
+            alone = np.flatnonzero(leads == np.arange(len(leads)))
+            number = np.full(len(leads), -1, np.int64)
+            number[alone] = self.count + np.arange(len(alone))
+            self.of[rows[open_]] = number[leads]
+            new, new_rows = number[alone], rows[open_][alone]
+            self.nodes[new], self.x[new] = new_rows, unit[new_rows]
+            self.count += len(new)
+            near = near[np.ix_(alone, alone)]
+            np.fill_diagonal(near, -9)
+            for level in range(int(level_of_row[new_rows].max(initial=0)) + 1):
+                if level >= len(self.links):
+                    self.links.append(np.full((n, m), -1, np.int32))
+                mine = np.flatnonzero(level_of_row[new_rows] >= level)
+                found = beams[level][0][open_][alone][mine] if level < len(beams) else np.full((len(mine), 1), -1)
+                k = min(8, len(mine) - 1)
+                if k > 0:
+                    own = near[np.ix_(mine, mine)]
+                    found = np.concatenate([found, new[mine][np.argpartition(-own, k - 1, axis=1)[:, :k]]], axis=1)
+                if found.shape[1]:
+                    self._insert(level, new[mine], found)
+            self.top = max((k for k in range(len(self.links)) if (level_of_row[self.nodes[: self.count]] >= k).any()), default=0)
+        self.entry = [np.flatnonzero(level_of_row[self.nodes[: self.count]] >= k)[:4] for k in range(self.top + 1)]
+        self._finish(x)
 
     @staticmethod
-    def _choose(x: np.ndarray, base: np.ndarray, cand: np.ndarray, m: int) -> np.ndarray:
+    def _lead(near: np.ndarray) -> np.ndarray:
+        """For each row the row that it joins: itself, or the first leader near it."""
+        out = np.arange(len(near))
+        free = np.ones(len(near), bool)
+        for i in np.flatnonzero(near.sum(axis=1) > 1):
+            if free[i]:
+                joins = near[i] & free
+                joins[: i + 1] = False
+                out[joins], free[joins] = i, False
+        return out
+
+    def _finish(self, x: np.ndarray) -> None:
+        """The members of each node and the largest angle between them and it."""
+        c = self.count
+        self.nodes, self.x = self.nodes[:c], self.x[:c]
+        self.links = [k[:c] for k in self.links[: self.top + 1]]
+        self.members = np.argsort(self.of, kind="stable")
+        self.size = np.bincount(self.of, minlength=c)
+        self.first = np.cumsum(self.size) - self.size
+        self.far = np.zeros(c)
+        norm = np.linalg.norm(x, axis=1)
+        for lo in range(0, len(x), 65536):
+            r = np.arange(lo, min(len(x), lo + 65536))
+            lead = self.nodes[self.of[r]]
+            angle = np.where(lead == r, 0.0, _angle(np.einsum("nd,nd->n", x[r], x[lead]) / (norm[r] * norm[lead])))
+            np.maximum.at(self.far, self.of[r], angle)
+
+    def _insert(self, level: int, new: np.ndarray, found: np.ndarray) -> None:
+        """Links between new nodes and the diverse ones of ``found``, both ways; what a node can't hold it chooses anew."""
+        links, m = self.links[level], self.m
+        out = self._choose(new, found, m)
+        links[new, :m] = out
+        a, b = np.repeat(new, m), out.ravel().astype(np.int64)
+        a, b = a[b >= 0], b[b >= 0]
+        order = np.argsort(b, kind="stable")
+        a, b = a[order], b[order]
+        ends, first, n = np.unique(b, return_index=True, return_counts=True)
+        width = links.shape[1]
+        for lo in range(0, len(ends), 1024):
+            e, f, c = ends[lo : lo + 1024], first[lo : lo + 1024], np.minimum(n[lo : lo + 1024], 64)
+            more = np.where(np.arange(c.max())[None, :] < c[:, None], a[np.minimum(f[:, None] + np.arange(c.max())[None, :], len(a) - 1)], -1)
+            both = np.concatenate([links[e], more], axis=1)
+            both = np.where((both[:, :, None] == both[:, None, :]).argmax(axis=2) < np.arange(both.shape[1])[None, :], -1, both)
+            both = np.take_along_axis(both, np.argsort(both < 0, axis=1, kind="stable"), axis=1)
+            fits = (both >= 0).sum(axis=1) <= width
+            links[e[fits]] = both[fits, :width]
+            if not fits.all():
+                links[e[~fits]] = self._choose(e[~fits], both[~fits], width)
+
+    def _choose(self, base: np.ndarray, cand: np.ndarray, m: int) -> np.ndarray:
+        """Up to ``m`` of each node's candidates: those nearer to it than to any chosen before, then the nearest others."""
         cand = np.sort(cand, axis=1)
         twice = np.zeros(cand.shape, dtype=bool)
         twice[:, 1:] = cand[:, 1:] == cand[:, :-1]
         cand = np.where(twice | (cand == base[:, None]), -1, cand)
-        s = np.einsum("rcd,rd->rc", x[np.maximum(cand, 0)], x[base])
+        s = (self.x[np.maximum(cand, 0)] @ self.x[base][:, :, None])[:, :, 0]
         s[cand < 0] = -9
-        near = np.argsort(-s, axis=1, kind="stable")[:, : 3 * m]
+        near = np.argsort(-s, axis=1, kind="stable")[:, : 2 * m]
         cand, s = np.take_along_axis(cand, near, axis=1), np.take_along_axis(s, near, axis=1)
-        y = x[np.maximum(cand, 0)]
+        y = self.x[np.maximum(cand, 0)]
         between = y @ y.transpose(0, 2, 1)
         r, c = cand.shape
         kept = np.zeros((r, c), dtype=bool)
@@ -140,21 +197,27 @@ class SmallWorld:
     def to_bytes(self) -> bytes:
         import pickle
 
-        return pickle.dumps((self.m, self.members, self.links), protocol=4)
+        small = np.int16 if self.count < 2**15 else np.int32
+        return pickle.dumps((self.least, self.m, self.nodes.astype(np.int32), self.of.astype(np.int32), [k.astype(small) for k in self.links], self.top, self.entry), protocol=4)
 
     @classmethod
     def from_bytes(cls, x: np.ndarray, blob: bytes) -> SmallWorld:
         import pickle
 
-        m, members, links = pickle.loads(blob)
-        return cls(x, links, members, m)
+        out = cls.__new__(cls)
+        out.least, out.m, nodes, of, links, out.top, out.entry = pickle.loads(blob)
+        out.nodes, out.of, out.links = nodes.astype(np.int64), of.astype(np.int64), links
+        out.count, out.half = len(nodes), _angle(out.least) / 2
+        led = x[out.nodes]
+        out.x = (led / np.linalg.norm(led, axis=1, keepdims=True)).astype(np.float32)
+        out._finish(x)
+        return out
 
-    def _beam(self, q: np.ndarray, level: int, entry: np.ndarray, beam: int, step: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """The best ``beam`` nodes (own numbers in the level) for each query and their similarities."""
-        nodes, links = self.members[level], self.links[level]
-        x, n, b = self.x[nodes], len(nodes), len(q)
+    def _beam(self, q: np.ndarray, level: int, entry: np.ndarray, beam: int, step: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The best ``beam`` nodes found for each query and their similarities."""
+        x, links, n, b = self.x, self.links[level], self.count, len(q)
         beam = min(beam, n)
-        row = np.arange(b)[:, None]
+        step = step or max(4, beam // 8)
         seen = np.zeros((b, n), dtype=bool)
         ids = np.full((b, beam), -1, dtype=np.int64)
         sims = np.full((b, beam), -9, dtype=np.float32)
@@ -162,7 +225,7 @@ class SmallWorld:
 
         def add(new, alive):
             nonlocal ids, sims, done
-            new_s = np.einsum("bkd,bd->bk", x[np.maximum(new, 0)], q[alive])
+            new_s = (x[np.maximum(new, 0)] @ q[alive][:, :, None])[:, :, 0]
             new_s[new < 0] = -9
             all_s = np.concatenate([sims[alive], new_s], axis=1)
             top = np.argpartition(-all_s, beam - 1, axis=1)[:, :beam] if all_s.shape[1] > beam else np.argsort(-all_s, axis=1)
@@ -194,118 +257,182 @@ class SmallWorld:
             from_ = np.where(ok, np.take_along_axis(ids[alive], pick, axis=1), -1)
             new = np.where(from_[:, :, None] >= 0, links[np.maximum(from_, 0)], -1).reshape(len(alive), -1).astype(np.int64)
             add(fresh(new, alive), alive)
-        del row
         return ids, sims
 
-    def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes and similarities of the best ``beam`` found for each unit query."""
-        ids_out, sims_out = [], []
+    def _descend(self, q: np.ndarray, beam: int, upper: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The beams of all levels, the lowest first."""
+        parts = []
         for lo in range(0, len(q), 256):
-            part = q[lo : lo + 256]
-            top = len(self.members) - 1
-            entry = np.tile(np.arange(min(4, len(self.members[top]))), (len(part), 1))
-            for level in range(top, 0, -1):
-                ids, _ = self._beam(part, level, entry, 8)
-                entry = np.where(ids >= 0, np.searchsorted(self.members[level - 1], self.members[level][np.maximum(ids, 0)]), -1)
-            ids, sims = self._beam(part, 0, entry, beam)
-            ids_out.append(ids)
-            sims_out.append(sims)
-        return np.concatenate(ids_out), np.concatenate(sims_out)
-
-
-def linked_pairs(index: SmallWorld, x: np.ndarray, q: np.ndarray, least: float, beam: int = 48, audited: int = 128, recall: float = 0.999, seed: int = 0):
-    """(query, node) numbers of all pairs found with cosine of at least ``least``, in double precision.
-
-    An audit compares a sample of the queries with all vectors of the shard; while it finds less than ``recall`` of
-    their links, or less than 0.95 of their nearest neighbours, the beam is doubled.  A query whose
-    beam is full of links is asked again with a beam four times as wide.  Where a beam would hold over an
-    eighth of the shard, the rest of its queries are compared with every vector.
+            part, out = q[lo : lo + 256], []
+            entry = self.entry[-1] if hasattr(self, "entry") else np.flatnonzero((self.links[self.top][: self.count] >= 0).any(axis=1))[:4]
+            entry = np.tile(entry if len(entry) else np.arange(min(4, self.count)), (len(part), 1))
+            for level in range(self.top, -1, -1):
+                out.append(self._beam(part, level, entry, beam if level == 0 else upper))
+                entry = out[-1][0]
+            parts.append(out[::-1])
+        wide = lambda arrays, fill: np.concatenate([np.pad(a, ((0, 0), (0, max(x.shape[1] for x in arrays) - a.shape[1])), constant_values=fill) for a in arrays])
+        return [(wide([p[k][0] for p in parts], -1), wide([p[k][1] for p in parts], -9)) for k in range(self.top + 1)]
+
+    def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes and similarities of the best ``beam`` found for each unit query; a beam as wide as the graph holds every node."""
+        if beam >= self.count:
+            return np.tile(np.arange(self.count), (len(q), 1)), q @ self.x.T
+        return self._descend(q, beam, 8)[0]
+
+
+def audited_beam(index: SmallWorld, x: np.ndarray, recall: float = 0.999, probes: int = 1024, seed: int = 0) -> tuple[int, float]:
+    """The beam at which an audit passes, and the recall found.
+
+    Probes are vectors of the shard, turned at random until the cosine is ``least`` (every other one: half that
+    angle), so each has a link that must be found: its vector's node has to be in the beam.  The beam is doubled until ``recall`` of
+    the probes pass, at last up to the whole graph, which can miss nothing.
     """
-    unit = (q / np.linalg.norm(q, axis=1, keepdims=True)).astype(np.float32)
-    slack, n = least - 1e-4, len(x)
-    sample = np.sort(np.random.default_rng(seed).permutation(len(q))[:audited])
-    s = unit[sample] @ index.x.T
-    truth, nearest = s >= least, s.argmax(axis=1)
-    while beam <= n // 8:
-        ids, _ = index.search(unit[sample], beam)
-        got = np.zeros(truth.shape, dtype=bool)
-        r, c = np.nonzero(ids >= 0)
-        got[r, ids[r, c]] = True
-        full = truth.sum(axis=1) >= beam  # asked again below in any case
-        want, have = truth[~full].sum(), (truth & got)[~full].sum()
-        if have >= recall * want and got[np.arange(len(sample)), nearest].mean() >= 0.95:
-            break
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(0, len(x), probes)
+    u = x[rows] / np.linalg.norm(x[rows], axis=1, keepdims=True)
+    o = rng.standard_normal(u.shape)
+    o -= (o * u).sum(axis=1, keepdims=True) * u
+    o /= np.maximum(np.linalg.norm(o, axis=1, keepdims=True), 1e-12)
+    turn = np.where(np.arange(probes) % 2, 1.0, 2.0)[:, None] * index.half
+    q, beam = (np.cos(turn) * u + np.sin(turn) * o).astype(np.float32), 16
+    while True:
+        found = float((index.search(q, beam)[0] == index.of[rows][:, None]).any(axis=1).mean())
+        if found >= recall or beam >= index.count:
+            return beam, found
         beam *= 2
-    out_q, out_n, todo = [], [], np.arange(len(q))
-    while len(todo) and beam <= n // 8:
-        ids, sims = index.search(unit[todo], beam)
-        hit = (sims >= slack) & (ids >= 0)
-        full = hit.all(axis=1)
-        r, c = np.nonzero(hit & ~full[:, None])
-        out_q.append(todo[r])
-        out_n.append(ids[r, c])
-        todo, beam = todo[full], beam * 4
-    for lo in range(0, len(todo), 256):
-        r, c = np.nonzero(unit[todo[lo : lo + 256]] @ index.x.T >= slack)
-        out_q.append(todo[lo : lo + 256][r])
-        out_n.append(c)
-    a, b = (np.concatenate(v) if v else np.empty(0, dtype=np.int64) for v in (out_q, out_n))
-    norm_q, norm_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
-    ok = np.zeros(len(a), dtype=bool)
-    for lo in range(0, len(a), 65536):
-        i, j = a[lo : lo + 65536], b[lo : lo + 65536]
-        ok[lo : lo + 65536] = np.einsum("nd,nd->n", q[i], x[j]) / (norm_q[i] * norm_x[j]) >= least
-    return a[ok], b[ok]
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int = 8192) -> DataFrame:
-    """vec_id, n_links, component_id and kept for every vec_id.
+def linked(index: SmallWorld, x: np.ndarray, q: np.ndarray, beam: int):
+    """Links of queries to the vectors of a shard, as (query, node) with all the node's members, and (query, row).
 
-    Each shard gets a graph; each pair of shards is one piece of work, in which the vectors of the lower
-    shard query the graph of the other (of a shard with itself: pairs are taken once).  What leaves a piece is a
-    count a vector and a spanning forest of the links, not the links.  Vectors that can't be compared
+    A query links with all members of a node if its angle to the node and the members' largest angle to it add up to no more than
+    the links' angle, with none if their difference is larger; the members of the nodes between are verified one by one in double
+    precision.  A query whose beam is full of nodes that may hold links is asked again with a beam four times as wide.
+    """
+    norm_q, norm_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
+    unit, wide = (q / norm_q[:, None]).astype(np.float32), 2 * index.half
+    slack = np.cos(np.minimum(np.pi, wide + index.far)) - 1e-4  # a node's cosine from which on a member may be linked
+    all_q, all_n, one_q, one_r = [], [], [], []
+    todo = np.arange(len(q))
+    while len(todo):
+        again = []
+        for lo in range(0, len(todo), 1024 if beam < index.count else 64):
+            part = todo[lo : lo + (1024 if beam < index.count else 64)]
+            ids, sims = index.search(unit[part], beam)
+            hit = (ids >= 0) & (sims >= slack[np.maximum(ids, 0)])
+            full = (hit | (ids < 0)).all(axis=1) & (beam < index.count)
+            again.append(part[full])
+            r, c = np.nonzero(hit & ~full[:, None])
+            a, k = part[r], ids[r, c]
+            lead = index.nodes[k]
+            angle = _angle(np.einsum("nd,nd->n", q[a], x[lead]) / (norm_q[a] * norm_x[lead]))
+            sure = angle + index.far[k] <= wide - 1e-7
+            all_q.append(a[sure])
+            all_n.append(k[sure])
+            a, k = a[~sure], k[~sure]
+            ends = np.cumsum(index.size[k])
+            at = 0
+            while at < len(a):  # about a million members at a time
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), side="right")))
+                size = index.size[k[at:to]]
+                who = np.repeat(a[at:to], size)
+                place = np.repeat(index.first[k[at:to]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                row = index.members[place]
+                for x0 in range(0, len(who), 65536):
+                    i, j = who[x0 : x0 + 65536], row[x0 : x0 + 65536]
+                    ok = np.einsum("nd,nd->n", q[i], x[j]) / (norm_q[i] * norm_x[j]) >= index.least
+                    one_q.append(i[ok])
+                    one_r.append(j[ok])
+                at = to
+        todo, beam = np.concatenate(again), beam * 4
+    whole = lambda v: np.concatenate(v) if v else np.empty(0, dtype=np.int64)
+    return whole(all_q), whole(all_n), whole(one_q), whole(one_r)
+
+
+def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int = 32_768, rows_a_block: int = 8192, with_recall: bool = False) -> DataFrame:
+    """vec_id, n_links, component_id and kept for every vec_id (and the least audited recall of all shards if asked).
+
+    Equal vectors are one entry that counts as often as it has vec_ids.  Each shard of entries gets a graph, built and audited
+    once; a block of a shard's entries meets each shard of no lower number as one piece of work.  What leaves a piece is a
+    count an entry and a spanning forest of the links, not the links.  Vectors that can't be compared
     (null, empty, zero, null or non-finite components) link with nothing; shorter vectors count as ending in
-    zeros; equal vec_ids are one node and don't link with themselves; a null vec_id has no component.
+    zeros; of a vec_id with several vectors that of the least content key counts; a null vec_id has no component.
     """
-    good = usable(vectors, keep_zero=False)
-    size = good.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
-    dim, shards = size["d"] or 1, max(1, -(-size["n"] // rows_a_shard))
-    rows = good.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    packed = cut(shard_rows(rows, "shard", dim, lambda x: SmallWorld(x).to_bytes()))
-    asks = packed.select("ids", "x", F.col("shard").alias("i"), F.explode(F.sequence("shard", F.lit(shards - 1))).alias("j"))
-    holds = packed.select("ids", "x", "extra", F.explode(F.sequence(F.lit(0), "shard")).alias("i"), F.col("shard").alias("j"))
+    keys = [F.xxhash64(F.lit(k), "v").alias(f"k{k}") for k in (1, 2)]
+    good = usable(vectors, keep_zero=False).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).select("vec_id", "v", *keys)
+    entry = good.groupBy("vec_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("vec_id", "k.k1", "k.k2")
+    classes = cut(entry.groupBy("k1", "k2").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("n")))
+    size = good.agg(F.max(F.size("v")).alias("d")).first()
+    dim, entries = size["d"] or 1, classes.count()
+    shards = max(1, -(-entries // rows_a_shard))
+    blocks = max(1, -(-entries // shards // rows_a_block))
+    same = [good.vec_id == classes.first_id, good.k1 == classes.k1, good.k2 == classes.k2]
+    rows = good.join(classes, same).select("vec_id", "v", "n").dropDuplicates(["vec_id"])
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+
+    def build(x):
+        index = SmallWorld(x, least)
+        return index.to_bytes(), *audited_beam(index, x)
+
+    packed = cut(shard_rows(rows, "shard", dim, build))
+
+    def split(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                (ids, x, weight), width = _unpack(batch, dim, at), batch.column("width")[at].as_py()
+                for b in range(blocks):
+                    held = x[b::blocks].astype(f"<f{width}").tobytes()
+                    yield pa.RecordBatch.from_arrays([batch.column("shard").slice(at, 1), pa.array([b], pa.int32()), pa.array([ids[b::blocks].tobytes()]), pa.array([held]), pa.array([weight[b::blocks].tobytes()]), pa.array([width], pa.int32())], ["i", "b", "ids", "x", "weight", "width"])
+
+    parts = packed.select("shard", "ids", "x", "weight", "width").mapInArrow(split, "i int, b int, ids binary, x binary, weight binary, width int")
+    asks = parts.withColumn("j", F.explode(F.sequence("i", F.lit(shards - 1))))
+    holds = packed.select("ids", "x", "weight", "width", "extra", "beam", F.explode(F.sequence(F.lit(0), "shard")).alias("i"), F.col("shard").alias("j"))
+    holds = holds.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def meet(key, left, right):
         import pyarrow as pa
 
         empty = pa.table({"vec_id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-        if not left.num_rows or not right.num_rows:
-            return empty
-        ids, x = _unpack(right, dim)
-        ids_q, q = _unpack(left, dim)
-        index = SmallWorld.from_bytes(x, right.column("extra")[0].as_py())
-        a, b = linked_pairs(index, x, q, least)
-        a, b = ids_q[a], ids[b]
-        keep = a != b
-        a, b = a[keep], b[keep]
-        if key[0].as_py() == key[1].as_py():  # both directions were sought
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            if len(a):
-                a, b = np.unique(np.stack([a, b]), axis=1)
-        if not len(a):
+        if not left.num_rows or not right.num_rows or not len(left.column("ids")[0].as_py()):
             return empty
-        nodes, root = forest(a, b)
-        ends, n = np.unique(np.concatenate([a, b]), return_counts=True)
-        return pa.table({"vec_id": nodes, "n": n[np.searchsorted(ends, nodes)].astype(np.int64), "root": root})
-
-    found = asks.groupBy("i", "j").cogroup(holds.groupBy("i", "j")).applyInArrow(meet, "vec_id long, n long, root long")
-    found = cut(found)
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    comp = components(found.select("vec_id", "root")).select(F.col("node").alias("vec_id"), "component")
+        ids, x, weight = _unpack(right, dim)
+        ids_q, q, weight_q = _unpack(left, dim)
+        index, own = SmallWorld.from_bytes(x, right.column("extra")[0].as_py()), key[0].as_py() == key[2].as_py()
+        all_q, all_n, one_q, one_r = linked(index, x, q, right.column("beam")[0].as_py())
+        held = np.bincount(index.of, weight, index.count)
+        n_q = np.bincount(all_q, held[all_n], len(q)) + np.bincount(one_q, weight[one_r], len(q))
+        if own:  # each entry asks in its own shard, so its links are counted on its side; it finds itself
+            n_q = n_q - weight_q
+            nodes, counts = ids_q, n_q
+        else:
+            by_node = np.bincount(all_n, weight_q[all_q], index.count)[index.of] + np.bincount(one_r, weight_q[one_q], len(x))
+            nodes, counts = np.concatenate([ids_q, ids]), np.concatenate([n_q, by_node])
+        a, b = np.concatenate([ids_q[all_q], ids_q[one_q]]), np.concatenate([ids[index.nodes[all_n]], ids[one_r]])
+        if not own:  # a query that links with all members links them to their node
+            led = np.flatnonzero(np.isin(index.of, all_n))
+            a, b = np.concatenate([a, ids[led]]), np.concatenate([b, ids[index.nodes[index.of[led]]]])
+        a, b = a[a != b], b[a != b]
+        some = counts > 0
+        nodes, counts = nodes[some], np.rint(counts[some]).astype(np.int64)
+        ends, root = forest(a, b) if len(a) else (a, b)
+        nodes, roots = np.concatenate([nodes, ends]), np.concatenate([nodes, root])
+        counts = np.concatenate([counts, np.zeros(len(ends), np.int64)])
+        return pa.table({"vec_id": nodes, "n": counts, "root": roots})
+
+    found = cut(asks.groupBy("i", "b", "j").cogroup(holds.groupBy("i", "b", "j")).applyInArrow(meet, "vec_id long, n long, root long"))
+    counts = found.groupBy("vec_id").agg(F.sum("n").alias("others")).withColumnRenamed("vec_id", "first_id")
+    comp = components(found.where("vec_id <> root").select("vec_id", "root")).select(F.col("node").alias("first_id"), "component")
+    told = classes.join(counts, "first_id", "left").join(comp, "first_id", "left")
+    n_links, component = F.coalesce("others", F.lit(0)) + F.col("n") - 1, F.coalesce("component", "first_id")
+    told = entry.join(told.select("k1", "k2", n_links.alias("n_links"), component.alias("component_id")), ["k1", "k2"]).drop("k1", "k2")
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    out = every.join(counts, "vec_id", "left").join(comp, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    out = every.join(told, "vec_id", "left").withColumn("component_id", F.coalesce("component_id", "vec_id")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    out = out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    if with_recall:
+        out = out.crossJoin(F.broadcast(packed.agg(F.coalesce(F.min("recall"), F.lit(1.0)).alias("recall"))))  # one row
+    return out
 
 
 def threshold_top(x: np.ndarray, ids: np.ndarray, order: np.ndarray, q: np.ndarray, own: int, k: int, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
@@ -347,7 +474,7 @@ def exact_top(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 25
     Components become floor(scale * x), the score is their integer inner product (exact below 2**63); ties go to the smaller vec_id.  Vectors
     that are null, empty or hold null or non-finite components take no part; shorter ones end in zeros; a
     query's own vec_id is no partner; rows of a repeated vec_id all count.  Each shard is sorted by
-    dimension and answers each block of queries by the threshold algorithm; at most k rows a query and
+    dimension once and answers each block of queries by the threshold algorithm; at most k rows a query and
     shard are merged.
     """
     good = usable(vectors, keep_zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
@@ -357,7 +484,11 @@ def exact_top(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 25
     whole = dim * (size["top"] or 0) ** 2 < 2**53  # then doubles are exact
     rows = good.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     queries = good.where(asked).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-    holds = cut(shard_rows(rows, "shard", dim)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def orders(x):
+        return np.argsort(x, axis=0, kind="stable").astype("<u2" if len(x) < 65536 else "<i4").tobytes(), 0, 1.0
+
+    holds = cut(shard_rows(rows, "shard", dim, orders)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asks = cut(shard_rows(queries, "block", dim)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
     def meet(key, left, right):
@@ -365,10 +496,11 @@ def exact_top(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 25
 
         out = ([], [], [])
         if left.num_rows and right.num_rows:
-            ids, x = _unpack(right, dim)
-            ids_q, q = _unpack(left, dim)
+            ids, x, _ = _unpack(right, dim)
+            ids_q, q, _ = _unpack(left, dim)
             x, q = (x, q) if whole else (x.astype(np.int64), q.astype(np.int64))
-            order = np.argsort(x, axis=0, kind="stable")
+            held = right.column("extra")[0].as_py()
+            order = np.frombuffer(held, "<u2" if len(x) < 65536 else "<i4").reshape(x.shape).astype(np.int64)
             for i, v in zip(ids_q.tolist(), q):
                 best, score = threshold_top(x, ids, order, v, i, k)
                 for c, values in zip(out, ([i] * len(best), best, score.astype(np.int64))):
