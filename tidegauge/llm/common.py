@@ -63,6 +63,15 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def drawn(rows: DataFrame, most: int) -> DataFrame:
+    """The rows of ``most`` doc_ids drawn by hash (null ids aren't).
+
+    The ids are drawn alone and sent to all tasks (at most ``most`` longs), so that texts neither move nor meet in one task.
+    """
+    ids = rows.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
 def row_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     """Adds a 128-bit content key of the row as ``__k1``, ``__k2`` (equal for identical rows)."""
     marked = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]

@@ -10,15 +10,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import drawn, id_and_text
 
 # Fixed values of the contract: the three base patterns, kinds in their order, least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "markov"]
+#: What the method scores: long runs of the alphabet, then runs of letters and digits (not of digits alone) in what is left.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+SHORT = r"(?<![A-Za-z0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{12,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
+#: Matches that are walked at a time, so that the work of a text stays about linear in its matches.
+WALK = 256
+
+
+def masked(text: Column, pattern: str, chosen=None) -> Column:
+    """``text`` with the matches (those that ``chosen`` picks) replaced by as many spaces, so that places stay."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
+    zipped = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("before"), found.alias("whole"))
+    blank = lambda m: F.repeat(F.lit(" "), F.length(m["whole"]))
+    put = lambda m: F.concat(m["before"], F.when(chosen(m["whole"]), blank(m)).otherwise(m["whole"]) if chosen else blank(m))
+    return F.when(text.rlike(pattern), F.concat(F.array_join(F.transform(zipped, put), ""), F.element_at(pieces, -1))).otherwise(text)
 
 
 def spans(text: Column, pattern: str, kind: str, group: int | None = None, least: int = 0) -> Column:
@@ -31,16 +45,23 @@ def spans(text: Column, pattern: str, kind: str, group: int | None = None, least
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     zipped = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("before"), found.alias("whole"), groups.alias("part"))
-    start = lambda acc: acc["at"]
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+
+    def walk(matches: Column) -> Column:
+        """(at, out): the length of these matches with what lies before each, and their spans."""
+        begin = lambda acc, m: acc["at"] + F.length(m["before"])
+        end = lambda acc, m: begin(acc, m) + F.length(m["whole"])
+        span = lambda acc, m: F.struct(begin(acc, m).alias("start"), F.lit(order).alias("kind"), end(acc, m).alias("end"), m["part"].alias("value"))
+        return F.aggregate(matches, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda acc, m: F.struct(end(acc, m).alias("at"), F.concat(acc["out"], F.array(span(acc, m))).alias("out")))
+
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / WALK).cast("int")), lambda b: walk(F.slice(zipped, b * WALK + 1, WALK)))
+    shift = lambda s, by: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"), s["value"].alias("value"))
+    nested = F.array().cast("array<array<struct<start:int,kind:int,end:int,value:string>>>")
     walked = F.aggregate(
-        zipped,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, m: F.struct(
-            (start(acc) + F.length(m["before"]) + F.length(m["whole"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((start(acc) + F.length(m["before"])).alias("start"), F.lit(order).alias("kind"), (start(acc) + F.length(m["before"]) + F.length(m["whole"])).alias("end"), m["part"].alias("value")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
+        blocks,
+        F.struct(F.lit(0).alias("at"), nested.alias("out")),
+        lambda acc, b: F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], F.array(F.transform(b["out"], lambda s: shift(s, acc["at"])))).alias("out")),
+        lambda acc: F.flatten(acc["out"]),
     )
     kept = F.filter(walked, lambda s: F.length(s["value"]) >= least) if least else walked
     return F.when(text.rlike(pattern), kept).otherwise(empty)
@@ -55,22 +76,30 @@ def _bigrams(words: DataFrame) -> DataFrame:
 
 
 def samples(docs: DataFrame, sampled: int = 2000) -> DataFrame:
-    """Labelled words: label 1 random, 0 ordinary.  ``sampled`` bounds the documents drawn, by hash of doc_id."""
-    drawn = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sampled)
-    words = drawn.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]+(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("word")).where(F.length("word") >= 4)
+    """Labelled words: label 1 random, 0 ordinary.  ``sampled`` bounds the documents drawn, by hash of doc_id.
+
+    Ordinary ones are words and identifiers of the texts, with at most four digits at their end.  Random ones are made of digests of the
+    ids: in base 16, 36 and 64, whole and of 12 to 19 characters, and of letters only, so that digits alone don't tell.
+    """
+    texts = drawn(docs, sampled)
+    word = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]+[0-9]{0,4}(?![A-Za-z0-9+/_=-])"
+    words = texts.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(word), F.lit(0))).alias("word")).where(F.length("word") >= 4)
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("doc_id").cast("string")), 256)
     base64 = F.substring(F.base64(F.unhex(digest)), 1, 40)
     base36 = F.concat(*[F.conv(F.substring(digest, 1 + 12 * i, 12), 16, 36) for i in range(4)])
-    mixed = F.array(F.substring(digest, 1, 40), base64, F.lower(base36), base36)
-    return words.union(drawn.where("doc_id is not null").select(F.lit(1).alias("label"), F.explode(mixed).alias("word")))
+    letters = F.translate(base36, "0123456789", "QZXJKVWYBG")
+    short = lambda s: F.substring(s, F.lit(3), 12 + F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int"))
+    mixed = F.array(F.substring(digest, 1, 40), base64, F.lower(base36), base36, F.lower(letters), short(base64), short(F.lower(base36)), short(base36))
+    ids = texts.select("doc_id").distinct()
+    return words.union(ids.select(F.lit(1).alias("label"), F.explode(mixed).alias("word")))
 
 
-def train(words: DataFrame) -> tuple[list[float], float]:
-    """The log-likelihood ratio of each pair of characters (row by row), and the calibrated threshold.
+def train(words: DataFrame) -> tuple[list[float], float, float]:
+    """The log-likelihood ratio of each pair of characters (row by row), and the calibrated thresholds of long and of short words.
 
-    A pair's chance falls back on that of its second character with the weight of ten pairs.  The threshold halves the way between the 99.99th hundredth of the
-    ordinary words' scores and the hundredth of the random strings' scores, but is at least 0.3 a character.  At most
-    67 x 67 counts come to the driver.
+    A pair's chance falls back on that of its second character with the weight of ten pairs.  A threshold is half way between the 99.9th
+    hundredth of the ordinary words' scores (of 12 characters or more; a few of them may be secrets) and the hundredth of the random
+    strings' scores, but at least 0.3 a character.  At most 67 x 67 counts come to the driver.
     """
     import numpy as np
 
@@ -82,10 +111,11 @@ def train(words: DataFrame) -> tuple[list[float], float]:
     single = (single / single.sum(axis=1, keepdims=True))[:, None, :]
     logs = np.log((counts + 10 * single) / (counts.sum(axis=2, keepdims=True) + 10))
     ratio = np.round(logs[1] - logs[0], 6).ravel().tolist()
-    scored = words.where(F.length("word") >= 12).select("label", score(F.col("word"), ratio).alias("s"))
-    q = {r["label"]: r for r in scored.groupBy("label").agg(F.percentile("s", F.lit(0.9999)).alias("high"), F.percentile("s", F.lit(0.01)).alias("low")).collect()}
-    high, low = (q[0]["high"] if 0 in q else 0.0), (q[1]["low"] if 1 in q else 1.0)
-    return ratio, max(0.3, (high + low) / 2)
+    scored = words.where(F.length("word") >= 12).select("label", (F.length("word") >= 20).alias("long"), score(F.col("word"), ratio).alias("s"))
+    q = {(r["label"], r["long"]): r for r in scored.groupBy("label", "long").agg(F.percentile("s", F.lit(0.999)).alias("high"), F.percentile("s", F.lit(0.01)).alias("low")).collect()}
+    high = max((r["high"] for (label, _), r in q.items() if label == 0), default=0.0)
+    least = [max(0.3, (high + (q[1, long]["low"] if (1, long) in q else 1.0)) / 2) for long in (True, False)]
+    return ratio, *least
 
 
 def score(word: Column, ratio: list[float]) -> Column:
@@ -104,18 +134,26 @@ def score(word: Column, ratio: list[float]) -> Column:
 def scan(docs: DataFrame, sampled: int = 2000) -> DataFrame:
     """doc_id, text and found: the array of (start, kind, end, value) of every row, by start, then kind.
 
-    Base spans are found by pattern and stay.  Any run of 20 or more characters of the alphabet that
-    touches no base span and whose score is over the threshold is added as kind ``markov``.  Null texts count as empty and have
-    no spans; rows are kept as they are, repeated or not; an empty table gives no rows.
+    Base spans are found by pattern and stay.  In what lies outside them, runs of 20 or more characters of the alphabet are
+    scored, then runs of 12 or more letters and digits in what that leaves (so a key in a path or beside a base span is seen); those over
+    their threshold are added as kind ``markov``, and touch no base span.  Of spans that start together the kinds' order decides; repeated
+    rows are kept as they are; null texts count as empty and have no spans; an empty table gives no rows.
     """
     rows = id_and_text(docs)
-    ratio, least = train(samples(rows, sampled))
-    base = rows.select("doc_id", "text", spans(F.col("text"), ASSIGN, "assign", 1, 6).alias("assign"), spans(F.col("text"), ACCESS, "access").alias("access"), spans(F.col("text"), HEX, "hex").alias("hex"), spans(F.col("text"), CANDIDATE, "markov").alias("candidate"))
-    known = base.select("*", F.concat("assign", "access", "hex").alias("known"))
-    apart = lambda c: ~F.exists("known", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    likely = F.filter("candidate", lambda c: apart(c) & (score(c["value"], ratio) > least))
-    added = known.select("*", F.when(F.size("candidate") > 0, likely).otherwise(F.col("candidate")).alias("added"))
-    return added.select("doc_id", "text", "assign", "access", "hex", "added", F.array_sort("known").alias("known"), F.array_sort(F.concat("known", "added")).alias("found"))
+    ratio, least_long, least_short = train(samples(rows, sampled))
+    text = F.col("text")
+    base = rows.select("doc_id", "text", spans(text, ASSIGN, "assign", 1, 6).alias("assign"), spans(text, ACCESS, "access").alias("access"), spans(text, HEX, "hex").alias("hex"))
+    assigned = F.when(F.size("assign") > 0, masked(text, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 1)) >= 6)).otherwise(text)
+    rest = base.withColumn("rest", assigned)
+    for name, pattern in (("access", ACCESS), ("hex", HEX)):
+        rest = rest.withColumn("rest", F.when(F.size(name) > 0, masked(F.col("rest"), pattern)).otherwise(F.col("rest")))
+    likely = lambda least: lambda word: score(word, ratio) > least
+    over = lambda pattern, least: F.filter(spans(F.col("rest"), pattern, "markov"), lambda c: likely(least)(c["value"]))
+    long = rest.withColumn("long", over(CANDIDATE, least_long))
+    left = F.when(F.size("long") > 0, masked(F.col("rest"), CANDIDATE, likely(least_long))).otherwise(F.col("rest"))
+    added = long.withColumn("rest", left).withColumn("added", F.concat("long", over(SHORT, least_short)))
+    known = F.concat("assign", "access", "hex")
+    return added.select("doc_id", "text", "assign", "access", "hex", "added", F.array_sort(known).alias("known"), F.array_sort(F.concat(known, "added")).alias("found"))
 
 
 def said(found: Column) -> Column:
