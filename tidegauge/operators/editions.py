@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import months
 from ..functions.classify import UNIDENTIFIED
+from .text_and_audit import counts_said, free
 
 CREDIT_SENSITIVE = ("Construção", "Comércio")
 OUT = ("above", "below")
@@ -122,15 +123,32 @@ def renderings(facts: DataFrame) -> DataFrame:
 
 def table_only(tokens: DataFrame, facts: DataFrame, in_text: DataFrame) -> DataFrame:
     """Number tokens that some fact explains, but none of those that running text may use."""
-    own = lambda df: df.select(F.col("value").cast("double").alias("value")).distinct()
-    free = F.col("value").between(1, 12) | F.col("value").between(2019, 2035)
-    return tokens.where(~free).join(own(facts), "value", "left_semi").join(own(in_text), "value", "left_anti")
+    asked = tokens.withColumn("value", F.abs("value"))
+    asked = asked.where(F.col("thousands") | ~free(F.col("value")))
+    return asked.join(counts_said(facts), ["value", "thousands"], "left_semi").join(counts_said(in_text), ["value", "thousands"], "left_anti")
+
+
+CHUNK = r"[\p{L}\p{N}_.,$]+"
 
 
 def thousands(text: Column) -> Column:
-    """Dots into whole numbers of four digits and more; years (1990 to 2100) without currency or decimals stay."""
-    out = F.regexp_replace(text, r"(?<![\w.,])(R\$\s?)?(\d{4,})(,\d+)?(?!\w)", "$1\u0001$2\u0002$3")
-    out = F.regexp_replace(out, r"(?<!R\$\s?)\x01(199\d|20\d\d|2100)\x02(?!,\d)", "$1")
-    out = F.regexp_replace(out, r"\x010+(?=\d)", "\u0001")
-    out = F.regexp_replace(out, r"(?<=\x01\d{1,30})(?=(?:\d{3})+\x02)", ".")
-    return F.translate(out, "\u0001\u0002", "")
+    """Dots into whole numbers of four digits and more; years (1990 to 2100) without currency or decimals stay.
+
+    The text is cut into runs of letters, digits, dots, commas and dollar signs; a run that begins with such a number (perhaps
+    after R$) has its digits grouped from the right.
+    """
+    runs, between = F.regexp_extract_all(text, F.lit(CHUNK), F.lit(0)), F.split(text, CHUNK, -1)
+
+    def shown(run: Column, at: Column) -> Column:
+        sign = F.regexp_extract(run, r"^R\$", 0)
+        body = F.substr(run, F.length(sign) + 1)
+        whole = F.regexp_extract(body, "^[0-9]{4,}", 0)
+        rest = F.substr(body, F.length(whole) + 1)
+        after_sign = (at > 0) & F.coalesce(F.try_element_at(runs, at).endswith("R$"), F.lit(False)) & (F.length(F.get(between, at)) == 1)
+        year = (F.length(whole) == 4) & whole.between("1990", "2100") & (sign == "") & ~after_sign & ~rest.rlike("^,[0-9]")
+        plain = (whole == "") | year | rest.rlike(r"^[\p{L}\p{N}_]")
+        digits = F.regexp_replace(whole, "^0+(?=[0-9])", "")
+        return F.when(plain, run).otherwise(F.concat(sign, F.reverse(F.regexp_replace(F.reverse(digits), "([0-9]{3})(?=[0-9])", "$1.")), rest))
+
+    parts = F.transform(runs, lambda run, at: F.concat(F.get(between, at), shown(run, at)))
+    return F.concat(F.array_join(parts, ""), F.element_at(between, -1))

@@ -163,6 +163,11 @@ QUERIES = {
     "event_windows": lambda s, d: T.table(s, d, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(cents(F.col("value"))).alias("cents")).select(F.col("w.start").alias("day"), "event_type", "n", "cents"),
 }
 
+# This SQL has no look-around, so signs between words are doubled and one of each is taken into the match.
+_PARTED = r"select doc_id, text, regexp_replace(text, '([^\pL\pN_.,])', '\1\1', 'g') x from documents"
+_NUMBER = r"(?:^|[^\pL\pN_.,])([−-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)(?:([[:space:]]+(?i:mil))(?:[^\pL\pN_]|$)|[^\pL\pN_]|$)"
+_PERCENT = r"(?:^|[^\pL\pN_.,])[−-]?[0-9]{{1,3}}(?:\.[0-9]{{3}})*{}(?:[[:space:]][[:space:]])?%"
+
 TOTALS = {
     "tot": """select s.territory, s.month, coalesce(f.admissions,0) admissions, coalesce(f.separations,0) separations, s.net, s.stock from
  (select territory, month, cast(sum(net) as bigint) net, case when count(stock)=count(*) then cast(sum(stock) as bigint) end stock from level group by 1,2) s
@@ -187,7 +192,10 @@ TOTALS = {
     "sc": "select quality=1 truth, (doc_id*37%101)/100.0e0 p from labels",
     "led": "select user_id run, case event_type when 'signup' then 'reserve' when 'purchase' then 'call' when 'error' then 'close' end kind, ts, event_id, cast(round(value*100) as bigint) cents from events where event_type in ('signup','purchase','error')",
     "runs_": """select run, count(*) filter (kind='call') calls, cast(coalesce(sum(cents) filter (kind='call'),0) as bigint) as cost, coalesce(max_by(cents, row(ts, event_id)) filter (kind='reserve'),0) reserve, bool_or(kind='close') closed from led group by 1""",
-    "num": """select doc_id, cast(unnest(range(len(t))) as int) place, unnest(t) token from (select doc_id, regexp_extract_all(text, '[+-]?[0-9]+(?:\\.[0-9]{3})*(?:,[0-9]+)?') t from documents)""",
+    "facts": "select cast(o_orderkey as double) v from orders",
+    "num": rf"""select doc_id, place, token, mil, abs(try_cast(replace(replace(replace(token,'.',''),',','.'),'−','-') as double)) v, try_cast(replace(replace(replace(token,'.',''),',','.'),'−','-') as double) as value from (
+ select doc_id, cast(unnest(range(len(t))) as int) place, unnest(t) token, coalesce(unnest(k),'')<>'' mil from (select doc_id, regexp_extract_all(x, '{_NUMBER}', 1) t, regexp_extract_all(x, '{_NUMBER}', 2) k from ({_PARTED})))""",
+    "said": "select abs(v) v, false mil from facts union select round(cast(v as decimal(24,6))*0.001,0), true from facts union select round(cast(v as decimal(24,6))*0.001,1), true from facts union select v/1000.0, true from facts",
     "offi": """select month, "grouping", case when month%13<>0 then net+case when month%7=0 then 1 else 0 end end net from rec where month%11<>0""",
 }
 
@@ -258,10 +266,12 @@ SQL = {
     "ind_yoy": _f("select * from yt"),
     "ind_relative": _f("select a.territory, a.month, round(a.growth_n-b.growth_n,2) points from yt a join ys b on b.territory=left(a.territory,2) and b.month=a.month"),
     "code_check_digit": _f("""select territory, cast(c*10+(10-(select sum(case when p>9 then p-9 else p end) from (select (c//cast(10**(5-i) as bigint)%10)*(1+i%2) p from range(6) r(i)))%10)%10 as bigint) code7 from (select territory, cast(territory as bigint) c from terr where kind='municipality')"""),
-    "text_numbers": _f("select *, try_cast(replace(replace(token,'.',''),',','.') as double) as value from num"),
-    "ungrounded_numbers": _f("select doc_id, place, token from (select *, try_cast(replace(replace(token,'.',''),',','.') as double) v from num) where not (v between 1 and 12 or v between 2019 and 2035) and v not in (select cast(o_orderkey as double) from orders)"),
-    "identification_flags": "select doc_id, lower(regexp_extract(text, '(?i)(ltda|cnpj|s/a|gmbh|inc\\.)', 1)) as found from documents where regexp_matches(text, '(?i)(ltda|cnpj|s/a|gmbh|inc\\.)')",
-    "style_flags": """select doc_id, rule, n from (select doc_id, unnest(['dash','percent','minus','ellipsis','shouting']) rule, unnest([len(regexp_extract_all(text,'—|--')), len(regexp_extract_all(text,'[0-9]%')), len(regexp_extract_all(text,'-[0-9]')), len(regexp_extract_all(text,'\\.\\.\\.')), len(regexp_extract_all(text,'!!'))]) n from documents) where n>0""",
+    "text_numbers": _f("select doc_id, place, token, value, mil as thousands from num"),
+    "ungrounded_numbers": _f("select doc_id, place, token from num where (mil or not (v=floor(v) and (v between 1 and 12 or v between 2019 and 2035))) and not exists (select 1 from said where said.v=num.v and said.mil=num.mil)"),
+    "identification_flags": rf"select doc_id, cast(unnest(range(len(t))) as int) as place, unnest(t) as found from (select doc_id, regexp_extract_all(text, '{A.IDENTITY}') t from documents)",
+    "style_flags": rf"""select doc_id, rule, n from (select doc_id, unnest(['dash','phrase','relative_month','minus','caveat','percent']) rule,
+ unnest([len(regexp_extract_all(text,'{A.STYLE['dash']}')), len(regexp_extract_all(lower(text),'{A.STYLE['phrase']}')), len(regexp_extract_all(lower(text),'{A.STYLE['relative_month']}')), len(regexp_extract_all(lower(text),'{A.STYLE['minus']}')), len(regexp_extract_all(lower(text),'{A.STYLE['caveat']}')),
+ len(regexp_extract_all(x,'{_PERCENT.format('(?:,[0-9]+)?')}')) - len(regexp_extract_all(x,'{_PERCENT.format(',[0-9]{2}')}'))]) n from ({_PARTED})) where n>0""",
     "threshold_sweep": _f("""select threshold, fp, fn, cost, accuracy, tied and k=(c+1)//2 best from (select *, row_number() over (partition by tied order by threshold) k, count(*) over (partition by tied) c from (select *, cost=min(cost) over () tied from (
  select threshold, count(*) filter (p>=threshold and not truth) fp, count(*) filter (p<threshold and truth) fn, 3*count(*) filter (p>=threshold and not truth)+count(*) filter (p<threshold and truth) as cost, round(count(*) filter ((p>=threshold)=truth)/count(*),4) accuracy from sc, (select unnest(range(1,10))/10.0e0 threshold) t group by 1)))"""),
     "reliability_bins": _f("select least(cast(floor(p*5) as bigint),4) bin, count(*) n, round(avg(cast(truth as int)),4) share_true from sc group by 1"),

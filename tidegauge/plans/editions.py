@@ -153,6 +153,7 @@ SQL = {
     "allowed_numbers": f"""select distinct id, cast(u.value as double) as value, u.thousands from (select id, unnest(case when unit='percent' then [{{'value': cast(round(a,0) as decimal(24,6)), 'thousands': false}}, {{'value': cast(round(a,1) as decimal(24,6)), 'thousands': false}}, {{'value': cast(round(a,2) as decimal(24,6)), 'thousands': false}}]
  when unit='money' then [{{'value': cast(round(a,2) as decimal(24,6)), 'thousands': false}}, {{'value': cast(round(a,0) as decimal(24,6)), 'thousands': false}}]
  else [{{'value': a, 'thousands': false}}, {{'value': cast(round(cast(a*0.001 as decimal(30,9)),1) as decimal(24,6)), 'thousands': true}}, {{'value': cast(round(cast(a*0.001 as decimal(30,9)),0) as decimal(24,6)), 'thousands': true}}] end) u from (select id, abs(v) a, unit from ({_VALUES}) where v is not null))""",
-    "table_only_numbers": _f("""select doc_id, place, token from (select *, try_cast(replace(replace(token,'.',''),',','.') as double) v from num) where not (v between 1 and 12 or v between 2019 and 2035) and v in (select cast(o_orderkey as double) from orders) and v not in (select cast(o_orderkey as double) from orders where o_orderstatus='O')"""),
+    "table_only_numbers": sql("""select doc_id, place, token from num where (mil or not (v=floor(v) and (v between 1 and 12 or v between 2019 and 2035))) and exists (select 1 from said where said.v=num.v and said.mil=num.mil)
+ and not exists (select 1 from kept where kept.v=num.v and kept.mil=num.mil)""", **Q.TOTALS, open_="select cast(o_orderkey as double) v from orders where o_orderstatus='O'", kept=Q.TOTALS["said"].replace("facts", "open_")),
     "thousands_format": """select o_orderkey, 'R$ '||replace(format('{:,}', cast(round(o_totalprice*100) as bigint)),',','.')||' em 1998 por '||case when o_orderkey between 1990 and 2100 then cast(o_orderkey as varchar) else replace(format('{:,}', o_orderkey),',','.') end||' itens' as text from orders""",
 }
