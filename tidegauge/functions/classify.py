@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 SECTIONS = {"A": (1, 3), "B": (5, 9), "C": (10, 33), "D": (35, 35), "E": (36, 39), "F": (41, 43), "G": (45, 47), "H": (49, 53), "I": (55, 56), "J": (58, 63), "K": (64, 66), "L": (68, 68), "M": (69, 75), "N": (77, 82), "O": (84, 84), "P": (85, 85), "Q": (86, 88), "R": (90, 93), "S": (94, 96), "T": (97, 97), "U": (99, 99)}
 GROUPINGS = ["Agropecuária", "Indústria", "Construção", "Comércio", "Serviços", "Não Identificado"]
 UNIDENTIFIED = GROUPINGS[-1]
+# Sections -> subgrouping.
+SUBGROUPINGS = {
+    "A": "Agropecuária",
+    "C": "Indústrias de Transformação",
+    "BDE": "Indústria geral",
+    "F": "Construção",
+    "G": "Comércio, reparação de veículos automotores e motocicletas",
+    "H": "Transporte, armazenagem e correio",
+    "I": "Alojamento e alimentação",
+    "JKLMN": "Informação, comunicação e atividades financeiras, imobiliárias, profissionais e administrativas",
+    "OPQ": "Administração pública, defesa, seguridade social, educação, saúde humana e serviços sociais",
+    "RSU": "Outros serviços",
+    "T": "Serviços domésticos",
+}
 NO_SUBCLASS = 9999999
 AGE_BANDS = [(17, "até 17"), (24, "18 a 24"), (29, "25 a 29"), (39, "30 a 39"), (49, "40 a 49"), (64, "50 a 64")]
 
@@ -26,6 +40,14 @@ def grouping_of(section: Column) -> Column:
     return g.when(section == "F", GROUPINGS[2]).when(section == "G", GROUPINGS[3]).when(section.isNull() | (section == "Z"), UNIDENTIFIED).otherwise(GROUPINGS[4])
 
 
+def subgrouping_of(section: Column) -> Column:
+    """The second level: twelve classes of sections."""
+    out = None
+    for letters, label in SUBGROUPINGS.items():
+        out = (F.when if out is None else out.when)(section.isin(*letters), label)
+    return out.otherwise(UNIDENTIFIED)
+
+
 def division_label(subclass: Column) -> Column:
     """Two-digit division; NI where the activity isn't identified."""
     known = subclass.isNotNull() & (subclass != NO_SUBCLASS)

@@ -67,6 +67,17 @@ def repeated(rows: DataFrame, *grain: str) -> DataFrame:
     return rows.groupBy(*grain).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def repeated_in(marts: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """mart, n of every key of a mart that occurs more than once."""
+    return reduce(DataFrame.union, [repeated(rows, *grain).select(F.lit(name).alias("mart"), "n") for name, (rows, grain) in marts.items()])
+
+
+def same_by(rows: DataFrame, column: str, values: list[str], other: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    """Keys, one part of ``rows`` at a time, whose sums differ from the other's, with the part they are of."""
+    parts = [same_net(rows.where(F.col(column) == v), other, keys, measures).withColumn(column, F.lit(v)) for v in values]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def volume_anomaly(counts: DataFrame, key: str, share: float = 0.5, least: int = 3) -> DataFrame:
     """Months with less than ``share`` of the median of the key's other months.
 

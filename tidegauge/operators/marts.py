@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import months
-from ..functions.classify import GROUPINGS, age_band, cents, division_label, effect, rounded_mean, sex_label
+from ..functions.classify import GROUPINGS, age_band, cents, division_label, effect, rounded_mean, sex_label, subgrouping_of
 
 VALID_WAGE = "sign = 1 and wage_unit = 5 and wage > 0"
 
@@ -78,7 +78,7 @@ def stock(events: DataFrame, territories: DataFrame, reference: DataFrame, refer
     The months run from the first (of all events, unless given) to the last of the on-time feed.  All six
     groupings are present where the territory has a reference.  No reference, or one ahead of the data: null.
     """
-    flow = effects(events, territories).groupBy("territory", "grouping", "month").agg(F.sum("effect").alias("net"))
+    flow = by_territory(events, territories, "grouping", "month").select("territory", "grouping", "month", "net")
     ref = reference_by_territory(reference, territories)
     span = events.agg(F.lit(first_month).cast("long").alias("lo") if first_month else F.min("month").alias("lo"), F.max(F.when(F.col("feed") == "MOV", F.col("month"))).alias("hi"))
     spine = span.select("hi", F.explode(months.between(F.col("lo"), F.col("hi"))).alias("month"))
@@ -105,23 +105,33 @@ def stock_region(levels: DataFrame, territories: DataFrame) -> DataFrame:
     return out.withColumn("rate", F.col("net") / F.nullif(before, F.lit(0)))
 
 
-def reconciled_counts():
-    """Admissions and separations of effect rows: an exclusion counts -1 on the side of its own sign."""
+def by_territory(events: DataFrame, territories: DataFrame, *keys: str) -> DataFrame:
+    """Admissions, separations and net by territory and ``keys``: an exclusion counts -1 on the side of its own sign.
+
+    Events are summed by municipality first, so what is fanned out to municipalities and states are the sums.
+    """
     weight = F.when(F.col("feed") == "EXC", -1).otherwise(1)
-    return [F.coalesce(F.sum(F.when(F.col("sign") == s, weight)), F.lit(0)).alias(n) for n, s in (("admissions", 1), ("separations", -1))] + [F.sum("effect").alias("net")]
+    side = lambda s, name: F.coalesce(F.sum(F.when(F.col("sign") == s, weight)), F.lit(0)).alias(name)
+    net = F.sum(effect(F.col("feed"), F.col("sign"))).alias("net")
+    sums = events.groupBy("municipality", "state", *keys).agg(side(1, "admissions"), side(-1, "separations"), net)
+    return fan_out(sums, territories).groupBy("territory", *keys).agg(*[F.sum(c).alias(c) for c in ("admissions", "separations", "net")])
 
 
-def flow(events: DataFrame, territories: DataFrame) -> DataFrame:
-    """Reconciled flows by territory, month, grouping and division."""
-    rows = effects(events, territories, "sign", division_label(F.col("subclass")).alias("division"))
-    return rows.groupBy("territory", "month", "grouping", "division").agg(*reconciled_counts())
+def flow(events: DataFrame, territories: DataFrame, divisions: DataFrame) -> DataFrame:
+    """Reconciled flows by territory, month, grouping, subgrouping and division, with the division's description.
+
+    ``divisions``: division, description; a division that it lacks has none, the unidentified one has its label.
+    """
+    rows = events.withColumn("subgrouping", subgrouping_of(F.col("section"))).withColumn("division", division_label(F.col("subclass")))
+    out = by_territory(rows, territories, "month", "grouping", "subgrouping", "division").join(F.broadcast(divisions), "division", "left")
+    return out.withColumn("description", F.when(F.col("division") == "NI", "Não identificada").otherwise(F.col("description")))
 
 
 def profile(events: DataFrame, territories: DataFrame) -> DataFrame:
     """Reconciled flows by sex and by age band, from one pass over an unpivoted column."""
     pair = F.explode(F.array(F.struct(F.lit("sex").alias("dimension"), sex_label(F.col("sex")).alias("category")), F.struct(F.lit("age").alias("dimension"), age_band(F.col("age")).alias("category"))))
-    rows = effects(events, territories, "sign", "sex", "age").withColumn("pair", pair)
-    return rows.groupBy("territory", "month", "pair.dimension", "pair.category").agg(*reconciled_counts())
+    rows = events.withColumn("pair", pair).withColumn("dimension", F.col("pair.dimension")).withColumn("category", F.col("pair.category"))
+    return by_territory(rows, territories, "month", "dimension", "category")
 
 
 def hiring_wage(events: DataFrame, territories: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from ..operators import forecast as P
 from ..operators import marts as M
 from ..operators import text_and_audit as A
 from ..sources import tables as T
-from .marts import flagship_levels, levels, report
+from ..sources.store import built
+from .marts import flagship_levels, flow, levels, monthly, profile, reconciled, region, report, wages
 from .sql import sql
 
 GRAIN = ["territory", "grouping", "month"]
@@ -23,24 +24,8 @@ def ev(s, d):
     return T.events(s, d)
 
 
-def flow(s, d):
-    return M.flow(T.events(s, d), T.territories(s, d))
-
-
-def region(s, d):
-    return M.stock_region(levels(s, d), T.territories(s, d))
-
-
-def wages(s, d):
-    return M.hiring_wage(T.events(s, d), T.territories(s, d))
-
-
-def profile(s, d):
-    return M.profile(T.events(s, d), T.territories(s, d))
-
-
 def total(s, d):
-    return X.totals(flow(s, d), levels(s, d))
+    return built(s, d, "totals", lambda: X.totals(flow(s, d), levels(s, d)))
 
 
 def series(s, d):
@@ -59,7 +44,7 @@ def entries(s, d):
 
 def official(s, d) -> DataFrame:
     """The reconciled nets with known differences: one more in months 7 divides, none in those 11 divides, null where 13 does."""
-    rows = M.reconciled(ev(s, d)).where("month % 11 <> 0")
+    rows = reconciled(s, d).where("month % 11 <> 0")
     return rows.select("month", "grouping", F.when(F.col("month") % 13 != 0, F.col("net") + F.when(F.col("month") % 7 == 0, 1).otherwise(0)).alias("net"))
 
 
@@ -98,8 +83,8 @@ def text_facts(s, d):
 
 QUERIES = {
     "dq_stock_coherent": lambda s, d: C.stock_coherent(levels(s, d)),
-    "dq_reconciled_coherent": lambda s, d: C.same_net(M.reconciled(ev(s, d)).select("month", "grouping", F.col("net_mov").alias("net")), M.monthly_by_grouping(ev(s, d)), ["month", "grouping"], ["net"]),
-    "dq_net_coherent": lambda s, d: M.monthly_by_grouping(ev(s, d)).where("net <> admissions - separations").select("month", "grouping", "net"),
+    "dq_reconciled_coherent": lambda s, d: C.same_net(reconciled(s, d).select("month", "grouping", F.col("net_mov").alias("net")), monthly(s, d), ["month", "grouping"], ["net"]),
+    "dq_net_coherent": lambda s, d: monthly(s, d).where("net <> admissions - separations").select("month", "grouping", "net"),
     "dq_late_files_continuity": lambda s, d: C.missing_months(ev(s, d).where("feed <> 'MOV'").select("feed", "file_month"), "feed", "file_month"),
     "dq_month_continuity": lambda s, d: C.missing_months(ev(s, d).where("feed = 'MOV'").select("municipality", "month"), "municipality", "month"),
     "dq_stock_matches_reference": lambda s, d: C.stock_matches_reference(levels(s, d), M.reference_by_territory(T.reference_stock(s, d), T.territories(s, d)), T.REFERENCE_MONTH),
@@ -109,16 +94,16 @@ QUERIES = {
     "dq_exclusion_sign": lambda s, d: C.exclusion_sign(ev(s, d)),
     "dq_wage_range": lambda s, d: C.wage_range(wages(s, d)),
     "dq_flow_matches_stock": lambda s, d: C.same_net(flow(s, d), levels(s, d), GRAIN, ["net"]),
-    "dq_flow_matches_reconciled": lambda s, d: C.same_net(flow(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), M.reconciled(ev(s, d)), ["month", "grouping"], ["admissions", "separations"]),
-    "dq_mean_vs_median": lambda s, d: C.mean_vs_median(M.monthly_by_grouping(ev(s, d))),
-    "dq_profile_matches_flow": lambda s, d: C.same_net(profile(s, d).where("dimension = 'sex'"), flow(s, d), ["territory", "month"], ["admissions", "separations"]),
+    "dq_flow_matches_reconciled": lambda s, d: C.same_net(flow(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), reconciled(s, d), ["month", "grouping"], ["admissions", "separations"]),
+    "dq_mean_vs_median": lambda s, d: C.mean_vs_median(monthly(s, d)),
+    "dq_profile_matches_flow": lambda s, d: C.same_by(profile(s, d), "dimension", ["sex", "age"], flow(s, d), ["territory", "month"], ["admissions", "separations"]),
     "dq_region_members_active": lambda s, d: T.territories(s, d).where("region is not null and not active").select("territory", "region"),
-    "dq_wage_base_matches": lambda s, d: C.same_net(M.monthly_by_grouping(ev(s, d)), wages(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), ["month"], ["n_wages"]),
+    "dq_wage_base_matches": lambda s, d: C.same_net(monthly(s, d), wages(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), ["month"], ["n_wages"]),
     "dq_individual_wage": lambda s, d: ev(s, d).where(M.VALID_WAGE).where("wage > 50000").select("municipality", "month", "wage"),
     "dq_territory_without_reference": lambda s, d: T.territories(s, d).where("active").join(M.reference_by_territory(T.reference_stock(s, d), T.territories(s, d)), "territory", "left_anti").select("territory"),
     "dq_grain_stock": lambda s, d: C.repeated(levels(s, d), *GRAIN),
-    "dq_grain_marts": lambda s, d: C.repeated(flow(s, d), "territory", "month", "grouping", "division").select(F.lit("flow").alias("mart"), "n").union(C.repeated(profile(s, d), "territory", "month", "dimension", "category").select(F.lit("profile"), "n")),
-    "dq_grain_monthly": lambda s, d: C.repeated(M.monthly_by_grouping(ev(s, d)), "month", "grouping"),
+    "dq_grain_marts": lambda s, d: C.repeated_in({"flow": (flow(s, d), ["territory", "month", "grouping", "subgrouping", "division"]), "profile": (profile(s, d), ["territory", "month", "dimension", "category"]), "region": (region(s, d), ["region", "grouping", "month"]), "wage": (wages(s, d), ["territory", "month"])}),
+    "dq_grain_monthly": lambda s, d: C.repeated(monthly(s, d), "month", "grouping"),
     "dq_anchor_adjustment": lambda s, d: M.anchor_adjustment(ev(s, d), T.territories(s, d), 199912, 200006).where("adjustment <> 0").select("territory", "grouping", "adjustment"),
     "dq_generic": generic,
     "dq_volume_anomaly": lambda s, d: C.volume_anomaly(ev(s, d).where("feed = 'MOV'").groupBy("municipality", "month").agg(F.count("*").alias("n")), "municipality"),
@@ -157,7 +142,7 @@ QUERIES = {
     "reliability_bins": lambda s, d: A.reliability(scored(s, d)),
     "ledger_run_cost": lambda s, d: A.ledger_runs(entries(s, d)).select("run", "calls", "cost"),
     "ledger_spend": lambda s, d: A.ledger_runs(entries(s, d)).select("run", "closed", "reserve", "committed"),
-    "mart_vs_official": lambda s, d: A.compare(M.reconciled(ev(s, d)).select("month", "grouping", "net"), official(s, d), ["month", "grouping"], ["net"]),
+    "mart_vs_official": lambda s, d: A.compare(reconciled(s, d).select("month", "grouping", "net"), official(s, d), ["month", "grouping"], ["net"]),
     "feed_vs_staging": lambda s, d: A.multiset_difference(ev(s, d).where("feed = 'MOV'"), ev(s, d).where("feed = 'MOV' and sex is not null"), ["month", "section", "sign"]),
     "residual_category": lambda s, d: A.residual(report(s, d), "TOTAL", ["Agropecuária", "Indústria", "Construção", "Comércio", "Serviços"]),
     "event_windows": lambda s, d: T.table(s, d, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(cents(F.col("value"))).alias("cents")).select(F.col("w.start").alias("day"), "event_type", "n", "cents"),
@@ -226,13 +211,14 @@ SQL = {
     "dq_flow_matches_stock": _f(_compare("select * from flow", "select * from level", ["territory", "grouping", "month"], ["net"])),
     "dq_flow_matches_reconciled": _f(_compare("select * from flow where territory=(select cast(municipality as varchar) from flag)", "select * from rec", ["month", "grouping"], ["admissions", "separations"])),
     "dq_mean_vs_median": _f('select month, "grouping", n_wages, median_wage, mean_wage from monthly where n_wages>=5 and mean_wage>1.2e0*median_wage'),
-    "dq_profile_matches_flow": _f(_compare("select * from profile where dimension='sex'", "select * from flow", ["territory", "month"], ["admissions", "separations"])),
+    "dq_profile_matches_flow": _f(" union all ".join("select *, '" + x + "' as dimension from (" + _compare(f"select * from profile where dimension='{x}'", "select * from flow", ["territory", "month"], ["admissions", "separations"]) + ")" for x in ("sex", "age"))),
     "dq_region_members_active": _f("select territory, region from terr where region is not null and not active"),
     "dq_wage_base_matches": _f(_compare("select * from monthly", "select * from wage where territory=(select cast(municipality as varchar) from flag)", ["month"], ["n_wages"])),
     "dq_individual_wage": _f("select municipality, month, wage from ev where sign=1 and wage_unit=5 and wage>50000"),
     "dq_territory_without_reference": _f("select territory from terr where active and territory not in (select territory from ref)"),
     "dq_grain_stock": _f('select territory, "grouping", month, count(*) n from level group by all having count(*)>1'),
-    "dq_grain_marts": _f("""select 'flow' mart, count(*) n from flow group by territory, month, "grouping", division having count(*)>1 union all select 'profile', count(*) from profile group by territory, month, dimension, category having count(*)>1"""),
+    "dq_grain_marts": _f("""select 'flow' mart, count(*) n from flow group by territory, month, "grouping", subgrouping, division having count(*)>1 union all select 'profile', count(*) from profile group by territory, month, dimension, category having count(*)>1
+ union all select 'region', count(*) from stock_region group by region, "grouping", month having count(*)>1 union all select 'wage', count(*) from wage group by territory, month having count(*)>1"""),
     "dq_grain_monthly": _f('select month, "grouping", count(*) n from monthly group by all having count(*)>1'),
     "dq_anchor_adjustment": _f('select territory, "grouping", adjustment from adjustment where adjustment<>0'),
     "dq_generic": _f("""select unnest(['sign','wage_unit','sex_known','age_known','section']) as rule, unnest([count(*) filter (sign not in (1,-1)), count(*) filter (wage_unit not in (1,2,3,4,5,6,7,99)), count(*) filter (sex is null), count(*) filter (age is null), count(*) filter (section='Z')]) violations from ev"""),

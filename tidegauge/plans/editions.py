@@ -73,9 +73,17 @@ def fact_values(s, d):
     return part(wages, "median_wage", "money").union(part(wages, "mean_wage", "money")).union(part(pan, "rate_month", "percent")).union(part(pan, "stock", "people"))
 
 
+def registry(s, d):
+    """The registry after two loads: all files but those of the last month, then those of the last six months again."""
+    rows = feeds.registry_rows(T.events(s, d)).withColumn("load", F.lit(1))
+    first = rows.where(F.col("file_month") < T.LAST_MONTH)
+    return feeds.upsert(first, rows.where(F.col("file_month") > T.LAST_MONTH - 6).withColumn("load", F.lit(2)), "feed", "file_month")
+
+
 QUERIES = {
     "anchor_stock": lambda s, d: anchors(s, d).withColumn("reference_date", F.col("reference_date").cast("string")),
-    "dq_grain_registry": lambda s, d: C.repeated(feeds.registry_rows(T.events(s, d)), "feed", "file_month"),
+    "ingestion_registry": registry,
+    "dq_grain_registry": lambda s, d: C.repeated(registry(s, d), "feed", "file_month"),
     "dq_snapshot_rebuild": snapshots,
     "dq_anchor_complete": lambda s, d: K.incomplete(anchors(s, d)),
     "dq_territory_without_anchor": lambda s, d: T.territories(s, d).where("active").join(anchors(s, d), "territory", "left_anti").select("territory"),
@@ -119,7 +127,8 @@ _VALUES = f"""select territory||'/'||month||'/median_wage' id, cast(median_wage
 
 SQL = {
     "anchor_stock": _f(_ANCHORS.replace("date '1999-12-31'", "'1999-12-31'")),
-    "dq_grain_registry": _f("select feed, file_month, count(*) n from (select feed, file_month, count(*) from ev group by 1,2) group by 1,2 having count(*)>1"),
+    "ingestion_registry": _f("select feed, file_month, count(*) as rows, case when file_month>200105 then 2 else 1 end as load from ev group by 1,2"),
+    "dq_grain_registry": _f("select feed, file_month, count(*) n from (select feed, file_month, count(*) from ev where file_month<=200105 group by 1,2 union all select feed, file_month, count(*) from ev where file_month>200105 group by 1,2) group by 1,2 having count(*)>1"),
     "dq_snapshot_rebuild": _f("""select *, rebuilt-panel_stock difference from (select p.territory, p."grouping", p.pm as month, p.reference panel_stock, cast(p.reference+coalesce(sum(e.effect) filter (e.file_month<=200106 and ((e.month>199912 and e.month<=p.pm) or (e.feed<>'MOV' and e.month<=199912 and e.file_month>200006))),0) as bigint) rebuilt
  from (select ref.*, cast(m as bigint) pm from ref, (values (200006),(200012),(200106)) v(m)) p left join fan e on e.territory=p.territory and e."grouping"=p."grouping" group by 1,2,3,4) where rebuilt<>panel_stock"""),
     "dq_anchor_complete": _f('select territory, count(*) as rows, count(distinct "grouping") groupings, count(distinct 1) dates, count(distinct 1) cuts from ref group by 1 having count(*)<>6 or count(distinct "grouping")<>6'),

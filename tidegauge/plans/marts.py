@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import marts as M
 from ..sources import tables as T
+from ..sources.store import built
 
 ANCHOR, KNOWN_UNTIL = 199912, 200006
 
@@ -16,31 +17,54 @@ def parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
 
 
 def levels(spark, d):
-    return M.stock(*parts(spark, d), T.REFERENCE_MONTH)
+    return built(spark, d, "stock", lambda: M.stock(*parts(spark, d), T.REFERENCE_MONTH))
+
+
+def region(spark, d):
+    return built(spark, d, "stock_region", lambda: M.stock_region(levels(spark, d), T.territories(spark, d)))
+
+
+def flow(spark, d):
+    return built(spark, d, "flow", lambda: M.flow(T.events(spark, d), T.territories(spark, d), T.divisions(spark, d)))
+
+
+def profile(spark, d):
+    return built(spark, d, "profile", lambda: M.profile(T.events(spark, d), T.territories(spark, d)))
+
+
+def wages(spark, d):
+    return built(spark, d, "hiring_wage", lambda: M.hiring_wage(T.events(spark, d), T.territories(spark, d)))
+
+
+def reconciled(spark, d):
+    return built(spark, d, "reconciled", lambda: M.reconciled(T.events(spark, d)))
+
+
+def monthly(spark, d):
+    return built(spark, d, "monthly_by_grouping", lambda: M.monthly_by_grouping(T.events(spark, d)))
 
 
 def flagship_levels(spark, d):
-    e = T.events(spark, d)
-    return levels(spark, d).join(F.broadcast(M.flagship(e).select(F.col("municipality").cast("string").alias("territory"))), "territory")
+    flagship = built(spark, d, "flagship", lambda: M.flagship(T.events(spark, d)))
+    return levels(spark, d).join(F.broadcast(flagship.select(F.col("municipality").cast("string").alias("territory"))), "territory")
 
 
 def report(spark, d):
-    e = T.events(spark, d)
-    return M.report_table(M.reconciled(e), M.monthly_by_grouping(e), flagship_levels(spark, d))
+    return built(spark, d, "report_table", lambda: M.report_table(reconciled(spark, d), monthly(spark, d), flagship_levels(spark, d)))
 
 
 QUERIES = {
     "stg_events": lambda s, d: T.events(s, d),
     "stg_reference_stock": lambda s, d: T.reference_stock(s, d),
     "effect_on_balance": lambda s, d: M.effects(T.events(s, d), T.territories(s, d)),
-    "monthly_by_grouping": lambda s, d: M.monthly_by_grouping(T.events(s, d)),
-    "reconciled": lambda s, d: M.reconciled(T.events(s, d)),
+    "monthly_by_grouping": monthly,
+    "reconciled": reconciled,
     "stock": levels,
-    "stock_region": lambda s, d: M.stock_region(levels(s, d), T.territories(s, d)),
-    "flow": lambda s, d: M.flow(T.events(s, d), T.territories(s, d)),
-    "profile": lambda s, d: M.profile(T.events(s, d), T.territories(s, d)),
-    "hiring_wage": lambda s, d: M.hiring_wage(T.events(s, d), T.territories(s, d)),
+    "stock_region": region,
+    "flow": flow,
+    "profile": profile,
+    "hiring_wage": wages,
     "anchor_adjustment": lambda s, d: M.anchor_adjustment(T.events(s, d), T.territories(s, d), ANCHOR, KNOWN_UNTIL),
     "report_table": report,
-    "report_summary": lambda s, d: M.report_summary(report(s, d), M.reconciled(T.events(s, d))),
+    "report_summary": lambda s, d: M.report_summary(report(s, d), reconciled(s, d)),
 }

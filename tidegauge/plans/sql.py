@@ -52,8 +52,13 @@ RELATIONS = {
     "regional": """select region, "grouping", month, case when count(net)=max(m) then cast(sum(net) as bigint) end net, case when count(stock)=max(m) then cast(sum(stock) as bigint) end stock
  from level join member using (territory) join (select region, count(*) m from member group by 1) using (region) group by 1,2,3""",
     "stock_region": """select *, net/nullif(lag(stock) over (partition by region, "grouping" order by month),0) rate from regional""",
-    "flow": """select territory, month, "grouping", case when subclass=9999999 then 'NI' else lpad(cast(subclass//100000 as varchar),2,'0') end division,
- cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=1),0) as bigint) admissions, cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=-1),0) as bigint) separations, cast(sum(effect) as bigint) net from fan group by 1,2,3,4""",
+    "divs": "select lpad(cast(1+p_partkey%99 as varchar),2,'0') division, min_by(p_name, p_partkey) description from part group by 1",
+    "flow": """select f.* replace (case when f.division='NI' then 'Não identificada' else d.description end as description) from (select territory, month, "grouping",
+ case when section='A' then 'Agropecuária' when section='C' then 'Indústrias de Transformação' when section in ('B','D','E') then 'Indústria geral' when section='F' then 'Construção' when section='G' then 'Comércio, reparação de veículos automotores e motocicletas'
+ when section='H' then 'Transporte, armazenagem e correio' when section='I' then 'Alojamento e alimentação' when section in ('J','K','L','M','N') then 'Informação, comunicação e atividades financeiras, imobiliárias, profissionais e administrativas'
+ when section in ('O','P','Q') then 'Administração pública, defesa, seguridade social, educação, saúde humana e serviços sociais' when section in ('R','S','U') then 'Outros serviços' when section='T' then 'Serviços domésticos' else 'Não Identificado' end subgrouping,
+ case when subclass=9999999 then 'NI' else lpad(cast(subclass//100000 as varchar),2,'0') end division, null description,
+ cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=1),0) as bigint) admissions, cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=-1),0) as bigint) separations, cast(sum(effect) as bigint) net from fan group by 1,2,3,4,5) f left join divs d on d.division=f.division""",
     "profile": """select territory, month, dimension, category, cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=1),0) as bigint) admissions, cast(coalesce(sum(case when feed='EXC' then -1 else 1 end) filter (sign=-1),0) as bigint) separations, cast(sum(effect) as bigint) net from (
  select *, 'sex' dimension, case when sex=1 then 'Homem' when sex=3 then 'Mulher' else 'Não Identificado' end category from fan union all
  select *, 'age', case when age is null then 'Não Identificado' when age<=17 then 'até 17' when age<=24 then '18 a 24' when age<=29 then '25 a 29' when age<=39 then '30 a 39' when age<=49 then '40 a 49' when age<=64 then '50 a 64' else '65 ou mais' end from fan) group by 1,2,3,4""",

@@ -59,3 +59,9 @@ def reference_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     section = section_of(1 + F.col("c_custkey") % 99)
     out = rows.select(((10 + F.col("n_regionkey")) * 10000 + F.col("n_nationkey")).cast("string").alias("municipality"), (10 + F.col("n_regionkey")).cast("string").alias("state"), F.coalesce(section, F.lit("Z")).alias("section"), (1 + F.col("c_custkey") % 50).cast("long").alias("stock"))
     return out.withColumn("grouping", grouping_of(F.col("section"))).select("municipality", "state", "section", "grouping", "stock")
+
+
+def divisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """division, description: at most 99 rows, named after the first part of each."""
+    number = (1 + F.col("p_partkey") % 99).cast("string")
+    return table(spark, sf_dir, "part").groupBy(F.lpad(number, 2, "0").alias("division")).agg(F.min_by("p_name", "p_partkey").alias("description"))
