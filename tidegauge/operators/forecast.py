@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +31,12 @@ def _ahead(rows: DataFrame, horizon: int) -> DataFrame:
     return last.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")).withColumn("month", months.shift(F.col("last"), F.col("h")))
 
 
-def seasonal_rates(rows: DataFrame, horizon: int = 12, years: int = 3) -> DataFrame:
-    """Rates on the level before, averaged over the last ``years`` same months; the level is a running product."""
+def seasonal_rates(rows: DataFrame, horizon: int = 12, years: int = 3, excluded: tuple[int, ...] = ()) -> DataFrame:
+    """Rates on the level before, averaged over the last ``years`` same months, without ``excluded`` years; the level is a running product."""
     by = Window.partitionBy("territory").orderBy("month")
     before = F.lag("level").over(by)
     r = rows.select("territory", "month", (F.col("admissions") / F.nullif(before, F.lit(0))).alias("ra"), (F.col("separations") / F.nullif(before, F.lit(0))).alias("rd")).where("ra is not null")
+    r = r.where(~F.floor(F.col("month") / 100).isin(*excluded)) if excluded else r
     recent = r.withColumn("k", F.row_number().over(Window.partitionBy("territory", F.col("month") % 100).orderBy(F.desc("month")))).where(F.col("k") <= years)
     mean = recent.groupBy("territory", (F.col("month") % 100).alias("moy")).agg(F.avg("ra").alias("ra"), F.avg("rd").alias("rd"))
     ahead = _ahead(rows, horizon).withColumn("moy", F.col("month") % 100).join(mean, ["territory", "moy"])
@@ -55,7 +58,7 @@ def naive(rows: DataFrame, horizon: int = 24) -> DataFrame:
 
 
 def backtest(rows: DataFrame, horizon: int = 12, first_origin: int = 24) -> DataFrame:
-    """Errors of the naive level from every origin that has ``first_origin`` months before it.
+    """Errors (real less forecast) of the naive level from every origin that has ``first_origin`` months before it.
 
     With running nets C, the naive level from origin o at o + h is S(o) + C(o + h - 12) - C(o - 12); all origins
     and horizons are one join.
@@ -68,45 +71,64 @@ def backtest(rows: DataFrame, horizon: int = 12, first_origin: int = 24) -> Data
     ends = c.select("territory", (F.col("t") + 12).alias("e"), F.col("c").alias("c_end"))
     real = c.select("territory", F.col("t").alias("e"), F.col("level").alias("real"))
     out = year.withColumn("e", F.col("o") + F.col("h")).join(ends, ["territory", "e"]).join(real, ["territory", "e"])
-    return out.select("territory", months.from_index(F.col("o")).alias("origin"), "h", (F.col("level") + F.col("c_end") - F.col("c_year") - F.col("real")).alias("error"))
+    return out.select("territory", months.from_index(F.col("o")).alias("origin"), "h", (F.col("real") - F.col("level") - F.col("c_end") + F.col("c_year")).alias("error"))
+
 
+def band(errors: DataFrame, least: int = 8, horizon: int = 24) -> DataFrame:
+    """Tenth and ninetieth hundredths of the errors by horizon, to be added to a forecast.
 
-def band(errors: DataFrame, least: int = 8) -> DataFrame:
-    """Tenth and ninetieth hundredths of the errors by horizon, widened so that they never narrow."""
+    A horizon of fewer than ``least`` errors takes those of the last horizon k* that has enough, times sqrt(h / k*).  A band
+    never narrows with the horizon.  n is null where it is carried on.
+    """
+    key, run = Window.partitionBy("territory"), Window.partitionBy("territory").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
     q = errors.groupBy("territory", "h").agg(F.count("*").alias("n"), F.percentile("error", F.lit(0.1)).alias("lo"), F.percentile("error", F.lit(0.9)).alias("hi")).where(F.col("n") >= least)
-    run = Window.partitionBy("territory").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    return q.select("territory", "h", "n", F.round(F.min("lo").over(run), 4).alias("low"), F.round(F.max("hi").over(run), 4).alias("high"))
+    every = q.select("territory").distinct().select("territory", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
+    held = every.join(q, ["territory", "h"], "left").withColumn("k", F.max(F.when(F.col("n").isNotNull(), F.col("h"))).over(key))
+    for c in ("lo", "hi"):
+        last = F.max(F.when(F.col("h") == F.col("k"), F.col(c))).over(key)
+        held = held.withColumn(c, F.coalesce(F.col(c), last * F.sqrt(F.col("h") / F.col("k"))))
+    return held.select("territory", "h", "n", F.round(F.min("lo").over(run), 4).alias("low"), F.round(F.max("hi").over(run), 4).alias("high"))
 
 
 def mae(errors: DataFrame) -> DataFrame:
     return errors.groupBy("territory", "h").agg(F.round(F.avg(F.abs("error")), 4).alias("mae"))
 
 
+def _smoothed(z, weights):
+    """Squared errors one step ahead, level, trend and season of additive smoothing with a damped trend, for each row of weights."""
+    import numpy as np
+
+    a, b, g, p = (w[:, None] for w in weights.T)
+    first = z[:12].mean()
+    level = np.full((len(weights), 1), first)
+    trend = np.full((len(weights), 1), (z[12:24].mean() - first) / 12 if len(z) >= 24 else 0.0)
+    season, cost = np.tile(z[:12] - first, (len(weights), 1)), np.zeros(len(weights))
+    for t in range(len(z)):
+        s = season[:, t % 12 : t % 12 + 1]
+        before = level + p * trend
+        cost += (z[t] - before[:, 0] - s[:, 0]) ** 2
+        now = a * (z[t] - s) + (1 - a) * before
+        trend, level = b * (now - level) + (1 - b) * p * trend, now
+        season[:, t % 12 : t % 12 + 1] = g * (z[t] - now) + (1 - g) * s
+    return cost, level[:, 0], trend[:, 0], season
+
+
 def _damped(y, horizon: int):
-    """Additive damped trend and season of twelve on log flows, by a search over the four weights."""
+    """Additive damped trend and season of twelve on log flows; weights by a coarse grid, then ever finer ones around the best."""
+    from itertools import product
+
     import numpy as np
 
     z = np.log(np.maximum(y, 0.5))
-    n, best = len(z), (np.inf, None)
-    level0, season0 = z[:12].mean(), z[:12] - z[:12].mean()
-    trend0 = (z[12:24].mean() - z[:12].mean()) / 12 if n >= 24 else 0.0
-    grid = [(a, b, g, p) for a in (0.1, 0.3, 0.6) for b in (0.0, 0.05, 0.2) for g in (0.05, 0.2, 0.5) for p in (0.85, 0.95)]
-    a, b, g, p = (np.array(v)[:, None] for v in zip(*grid))
-    level, trend, season = np.full((len(grid), 1), level0), np.full((len(grid), 1), trend0), np.tile(season0, (len(grid), 1))
-    cost = np.zeros(len(grid))
-    for t in range(n):
-        s = season[:, t % 12 : t % 12 + 1]
-        guess = level + p * trend + s
-        cost += (z[t] - guess[:, 0]) ** 2
-        new = a * (z[t] - s) + (1 - a) * (level + p * trend)
-        trend = b * (new - level) + (1 - b) * p * trend
-        season[:, t % 12 : t % 12 + 1] = g * (z[t] - new) + (1 - g) * s
-        level = new
-    k = int(cost.argmin())
+    weights = np.array(list(product((0.1, 0.3, 0.6), (0.0, 0.05, 0.2), (0.05, 0.2, 0.5), (0.85, 0.95))))
+    for step in (0.1, 0.04, 0.015, None):
+        cost, level, trend, season = _smoothed(z, weights)
+        k = int(cost.argmin())
+        if step:
+            near = np.array(list(product((-1, 0, 1), repeat=4))) * [step, step, step, step / 3]
+            weights = np.clip(weights[k] + near, [0.01, 0, 0, 0.8], [0.99, 0.99, 0.99, 0.98])
     h = np.arange(1, horizon + 1)
-    damp = np.cumsum(p[k, 0] ** h)
-    del best
-    return np.exp(level[k, 0] + damp * trend[k, 0] + season[k, (n + h - 1) % 12])
+    return np.exp(level[k] + np.cumsum(weights[k, 3] ** h) * trend[k] + season[k, (len(z) + h - 1) % 12])
 
 
 def holt_winters(rows: DataFrame, horizon: int = 12) -> DataFrame:
@@ -135,8 +157,64 @@ def combined(seasonal: DataFrame, smooth: DataFrame) -> DataFrame:
     return first.withColumn("level", F.first("base").over(by.rowsBetween(Window.unboundedPreceding, 0)) + run).drop("base")
 
 
-def guards(forecast: DataFrame, bands: DataFrame) -> DataFrame:
-    """Rows of a forecast that may not be published: negative flow, missing level, band that leaves out the centre."""
-    rows = forecast.join(bands, ["territory", "h"], "left")
-    rule = F.when(F.isnan("level") | F.col("level").isNull(), "no level").when((F.col("admissions") < 0) | (F.col("separations") < 0), "negative flow").when((F.col("low") > 0) | (F.col("high") < 0), "band without centre")
-    return rows.select("territory", "h", rule.alias("rule")).where("rule is not null")
+def by_origin(rows: DataFrame, first_origin: int = 24) -> DataFrame:
+    """Each series as known at each origin that has ``first_origin`` months before it and one after, as a series of its own.
+
+    Its territory is "territory@origin", so all methods run on all origins at once.
+    """
+    by = Window.partitionBy("territory")
+    at = rows.select("territory", F.col("month").alias("origin"), F.row_number().over(by.orderBy("month")).alias("i"), F.max("month").over(by).alias("last"))
+    origins = at.where((F.col("i") > first_origin) & (F.col("origin") < F.col("last"))).select("territory", "origin")
+    known = rows.join(origins, "territory").where("month <= origin")
+    return known.withColumn("territory", F.concat_ws("@", "territory", F.col("origin").cast("string"))).drop("origin")
+
+
+def methods(rows: DataFrame, horizon: int = 24) -> DataFrame:
+    """method, territory, h, month, admissions, separations, level by seasonal rates, smoothing, their mean and the naive way."""
+    columns = ["territory", "h", "month", "admissions", "separations", "level"]
+    seasonal, smooth = seasonal_rates(rows, horizon), holt_winters(rows, horizon)
+    ahead = _ahead(rows, horizon).select("territory", "h", "month")
+    every = {"seasonal": seasonal, "smooth": smooth.join(ahead, ["territory", "h"]), "combined": combined(seasonal, smooth), "naive": naive(rows, horizon)}
+    doubles = [F.col(c).cast("double").alias(c) for c in columns[3:]]
+    return reduce(DataFrame.unionByName, [f.select(F.lit(m).alias("method"), *columns[:3], *doubles) for m, f in every.items()])
+
+
+def backtest_methods(rows: DataFrame, horizon: int = 24, first_origin: int = 24) -> DataFrame:
+    """method, territory, origin, h, error (of the level) and error_net of every method: real less forecast."""
+    told = methods(by_origin(rows, first_origin), horizon)
+    part = F.split("territory", "@")
+    told = told.select("method", part[0].alias("territory"), part[1].cast("long").alias("origin"), "h", "month", "admissions", "separations", F.col("level").alias("said"))
+    real = rows.select("territory", "month", F.col("net").alias("real_net"), F.col("level").alias("real"))
+    both = told.join(real, ["territory", "month"])
+    return both.select("method", "territory", "origin", "h", (F.col("real") - F.col("said")).alias("error"), (F.col("real_net") - F.col("admissions") + F.col("separations")).alias("error_net"))
+
+
+def mae_methods(errors: DataFrame) -> DataFrame:
+    """method, territory, mae_net (up to twelve months ahead) and mae_level (twelve ahead)."""
+    net, level = F.when(F.col("h") <= 12, F.abs("error_net")), F.when(F.col("h") == 12, F.abs("error"))
+    return errors.groupBy("method", "territory").agg(F.round(F.avg(net), 1).alias("mae_net"), F.round(F.avg(level), 1).alias("mae_level"))
+
+
+def guards(forecast: DataFrame, bands: DataFrame, anchors: DataFrame, accuracy: DataFrame, revised: DataFrame) -> DataFrame:
+    """territory, h, rule, severity of what bars a forecast (block) or is told of it (warn).
+
+    Block: no level, a negative flow, a level that isn't the anchor and the running net, a band that leaves out the centre or is missing.
+    Warn: less accurate than the naive method, a revision wider than the band.  ``anchors``: territory, anchor; ``accuracy``: see
+    ``mae_methods``; ``revised``: territory, beyond_band.
+    """
+    run = Window.partitionBy("territory").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    rows = forecast.join(anchors, "territory", "left").withColumn("identity", F.col("anchor") + F.sum(F.col("admissions") - F.col("separations")).over(run))
+    rows = rows.join(bands.select("territory", "h", "low", "high"), ["territory", "h"], "left")
+    missing = F.isnan("level") | F.col("level").isNull()
+    broken = {
+        "no level": missing,
+        "negative flow": (F.col("admissions") < 0) | (F.col("separations") < 0),
+        "identity broken": ~missing & ~F.coalesce(F.abs(F.col("level") - F.col("identity")) <= 0.01, F.lit(False)),
+        "band without centre": F.coalesce((F.col("low") > 0) | (F.col("high") < 0), F.lit(True)),
+    }
+    rules = F.filter(F.array(*[F.when(c, F.lit(r)) for r, c in broken.items()]), lambda r: r.isNotNull())
+    blocks = rows.select("territory", "h", F.explode(rules).alias("rule"), F.lit("block").alias("severity"))
+    side = lambda m, s: accuracy.where(F.col("method") == m).select("territory", F.col("mae_net").alias(f"net{s}"), F.col("mae_level").alias(f"level{s}"))
+    worse = side("combined", "_c").join(side("naive", "_n"), "territory").where("net_c > net_n or level_c > level_n")
+    warn = lambda df, rule: df.select("territory", F.lit(None).cast("int").alias("h"), F.lit(rule).alias("rule"), F.lit("warn").alias("severity"))
+    return blocks.union(warn(worse, "worse than naive")).union(warn(revised.where("beyond_band"), "revision wider than band"))

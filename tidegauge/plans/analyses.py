@@ -29,7 +29,27 @@ def total(s, d):
 
 
 def series(s, d):
-    return P.backcast(P.series(total(s, d)))
+    return built(s, d, "fc_series", lambda: P.backcast(P.series(total(s, d))))
+
+
+def method_errors(s, d):
+    return built(s, d, "fc_errors", lambda: P.backtest_methods(series(s, d)))
+
+
+def forecast(s, d):
+    rows = series(s, d)
+    return built(s, d, "fc_combined", lambda: P.combined(P.seasonal_rates(rows, 24), P.holt_winters(rows, 24)))
+
+
+def combined_band(s, d):
+    return P.band(method_errors(s, d).where("method = 'combined'"))
+
+
+def guards(s, d):
+    from .editions import revision
+
+    anchors = series(s, d).groupBy("territory").agg(F.max_by("level", "month").alias("anchor"))
+    return P.guards(forecast(s, d), combined_band(s, d), anchors, P.mae_methods(method_errors(s, d)), revision(s, d))
 
 
 def scored(s, d):
@@ -129,8 +149,12 @@ QUERIES = {
     "fc_band": lambda s, d: P.band(P.backtest(series(s, d))),
     "fc_mae": lambda s, d: P.mae(P.backtest(series(s, d))),
     "fc_holt_winters": lambda s, d: P.holt_winters(series(s, d)),
-    "fc_combined": lambda s, d: P.combined(P.seasonal_rates(series(s, d)), P.holt_winters(series(s, d))),
-    "fc_guards": lambda s, d: P.guards(P.combined(P.seasonal_rates(series(s, d)), P.holt_winters(series(s, d))), P.band(P.backtest(series(s, d)))),
+    "fc_combined": forecast,
+    "fc_methods": lambda s, d: P.methods(series(s, d)),
+    "fc_backtest_methods": method_errors,
+    "fc_band_combined": combined_band,
+    "fc_mae_methods": lambda s, d: P.mae_methods(method_errors(s, d)),
+    "fc_guards": guards,
     "ind_yoy": yearly,
     "ind_relative": relative,
     "code_check_digit": lambda s, d: T.territories(s, d).where("kind = 'municipality'").select("territory", check_digit(F.col("territory").cast("long")).alias("code7")),
@@ -167,8 +191,10 @@ TOTALS = {
     "rates": """select territory, moy, avg(ra) ra, avg(rd) rd from (select territory, month%100 moy, ra, rd, row_number() over (partition by territory, month%100 order by month desc) k from (select *, admissions/nullif(lag(level) over (partition by territory order by month),0) ra, separations/nullif(lag(level) over (partition by territory order by month),0) rd from back) where ra is not null) where k<=3 group by 1,2""",
     "seas": "select territory, h, month, ra, rd, anchor*product(1+ra-rd) over (partition by territory order by h) lv from ahead join rates using (territory) where h<=12 and moy=month%100",
     "cumu": "select territory, month//100*12+month%100-1 t, level, sum(net) over (partition by territory order by month) c, row_number() over (partition by territory order by month) i from back",
-    "errs": """select o.territory, ((o.t//12)*100+o.t%12+1) origin, h, cast(o.level+e.c-y.c-r.level as bigint) error from cumu o, (select unnest(range(1,13)) h) x, cumu e, cumu y, cumu r
+    "errs": """select o.territory, ((o.t//12)*100+o.t%12+1) origin, h, cast(r.level-o.level-e.c+y.c as bigint) error from cumu o, (select unnest(range(1,13)) h) x, cumu e, cumu y, cumu r
  where o.i>24 and e.territory=o.territory and y.territory=o.territory and r.territory=o.territory and e.t=o.t+h-12 and y.t=o.t-12 and r.t=o.t+h""",
+    "bandq": "select territory, h, count(*) n, quantile_cont(cast(error as double),0.1) lo, quantile_cont(cast(error as double),0.9) hi from errs group by 1,2 having count(*)>=8",
+    "bandk": "select territory, max(h) k, max_by(lo,h) lo, max_by(hi,h) hi from bandq group by 1",
     "buy": """select 10+n_regionkey st, cast((10+n_regionkey)*10000+n_nationkey as varchar) town, cast(year(o_orderdate)*100+month(o_orderdate) as bigint) as month, c_custkey, cast(round(o_totalprice*100) as bigint) cents from orders join customer on c_custkey=o_custkey join nation on n_nationkey=c_nationkey""",
     "bt": "select town territory, month, count(distinct c_custkey) n, cast(sum(cents) as bigint) cents from buy group by 1,2",
     "bs": "select cast(st as varchar) territory, month, count(distinct c_custkey) n, cast(sum(cents) as bigint) cents from buy group by 1,2",
@@ -247,7 +273,8 @@ SQL = {
     "fc_seasonal_rates": _f("select territory, h, month, round(lv/(1+ra-rd)*ra,4) admissions, round(lv/(1+ra-rd)*rd,4) separations, round(lv,4) as level from seas"),
     "fc_naive": _f("""select a.territory, a.h, a.month, b.admissions, b.separations, cast(anchor+sum(b.admissions-b.separations) over (partition by a.territory order by a.h) as bigint) as level from ahead a join back b on b.territory=a.territory and b.month=a.month-100*((a.h+11)//12)"""),
     "fc_backtest": _f("select * from errs"),
-    "fc_band": _f("select territory, h, n, round(min(lo) over w,4) low, round(max(hi) over w,4) high from (select territory, h, count(*) n, quantile_cont(cast(error as double),0.1) lo, quantile_cont(cast(error as double),0.9) hi from errs group by 1,2 having count(*)>=8) window w as (partition by territory order by h)"),
+    "fc_band": _f("""select territory, h, n, round(min(lo) over w,4) low, round(max(hi) over w,4) high from (select k.territory, x.h, q.n, coalesce(q.lo, k.lo*sqrt(1.0e0*x.h/k.k)) lo, coalesce(q.hi, k.hi*sqrt(1.0e0*x.h/k.k)) hi
+ from bandk k cross join (select cast(unnest(range(1,25)) as bigint) h) x left join bandq q on q.territory=k.territory and q.h=x.h) z window w as (partition by territory order by h)"""),
     "fc_mae": _f("select territory, h, round(avg(abs(error)),4) mae from errs group by 1,2"),
     "ind_yoy": _f("select * from yt"),
     "ind_relative": _f("select a.territory, a.month, round(a.growth_n-b.growth_n,2) points from yt a join ys b on b.territory=left(a.territory,2) and b.month=a.month"),
