@@ -1,5 +1,7 @@
 """Scans by name, replacement by key and streams on small files."""
 
+import pytest
+
 from tidegauge.sources import feeds
 from tidegauge.streaming.ingest import daily, ingest, reconcile
 
@@ -51,3 +53,35 @@ def test_stream_and_table_agree(spark, tmp_path):
     stream.writeStream.outputMode("complete").format("memory").queryName("nets").trigger(availableNow=True).start().awaitTermination()
     assert sorted(map(tuple, spark.table("nets").collect())) == sorted(map(tuple, reconcile(rows).collect()))
     assert daily(spark.sql("select timestamp_ntz'2024-01-01 10:00' ts, 'a' event_type")).first()["n"] == 1
+
+
+def test_strict_scan_takes_nothing_else(spark, tmp_path):
+    good = tmp_path / "good.csv"
+    good.write_bytes("municipality;section;grouping;stock\n120001;A;Agropecuária;5\n130001;F;Construção;7\n".encode("latin-1"))
+    assert [tuple(r) for r in feeds.reference_scan(spark, str(good), "12").collect()] == [("120001", "A", "Agropecuária", 5)]
+    for k, text in enumerate(("municipality;section;stock;grouping\n120001;A;5;x\n", "municipality;section;grouping;stock\n120001;A;x\n", "municipality;section;grouping;stock\n120001;A;x;5;6\n", "municipality;section;grouping;stock\n120001;A;x;five\n")):
+        bad = tmp_path / f"bad{k}.csv"
+        bad.write_bytes(text.encode("latin-1"))
+        with pytest.raises(Exception):
+            feeds.reference_scan(spark, str(bad), "12").collect()
+
+
+def test_pending_counts_staged_months_and_redone_ones(spark):
+    files = spark.createDataFrame([(f, m) for m in (202001, 202002, 202003) for f in ("EXC", "FOR", "MOV")], "feed string, file_month long")
+    known = files.where("file_month = 202001")
+    got = feeds.pending(files, known, spark.createDataFrame([(202002,)], "file_month long")).collect()
+    assert [tuple(r) for r in got] == [("FOR", 202002), ("EXC", 202002), ("MOV", 202003), ("FOR", 202003), ("EXC", 202003)]
+    assert feeds.pending(files, files, redo=[202003]).count() == 3
+
+
+def test_upsert_replaces_by_key(spark):
+    old = spark.createDataFrame([("MOV", 202001, 5), ("MOV", 202002, 6)], "feed string, file_month long, rows long")
+    new = spark.createDataFrame([("MOV", 202002, 8, "f0"), ("FOR", 202002, 1, "a1")], "feed string, file_month long, rows long, digest string")
+    got = {tuple(r) for r in feeds.upsert(old, new, "feed", "file_month").collect()}
+    assert got == {("MOV", 202001, 5, None), ("MOV", 202002, 8, "f0"), ("FOR", 202002, 1, "a1")}
+
+
+def test_export_refuses_repeated_keys(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 202001, "x", 1, 2)] * 2, "territory string, month long, grouping string, net long, stock long")
+    with pytest.raises(ValueError):
+        feeds.export_long(rows, str(tmp_path / "out"))

@@ -62,7 +62,64 @@ def upsert(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
     return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def pending(published: DataFrame, registry: DataFrame) -> DataFrame:
-    """Published files not yet in the registry, oldest month first, then MOV, FOR, EXC."""
+def pending(published: DataFrame, registry: DataFrame, staged: DataFrame | None = None, redo: Iterable[int] = ()) -> DataFrame:
+    """Published files not yet taken in, oldest month first, then MOV, FOR, EXC.
+
+    A file is taken in if the registry has it; an on-time file also if its month is ``staged`` (file_month).  Months in ``redo`` are
+    wanted again in any case.
+    """
     rank = F.when(F.col("feed") == "MOV", 0).when(F.col("feed") == "FOR", 1).otherwise(2)
-    return published.join(registry, ["feed", "file_month"], "left_anti").orderBy("file_month", rank)
+    done = registry.select("feed", "file_month")
+    if staged is not None:
+        done = done.union(staged.select(F.lit("MOV"), "file_month")).distinct()
+    done = done.where(~F.col("file_month").isin(*redo)) if redo else done
+    return published.join(done, ["feed", "file_month"], "left_anti").orderBy("file_month", rank)
+
+
+def strict_scan(spark: SparkSession, path: str, columns: list[str], sep: str = ";", encoding: str = "ISO-8859-1") -> DataFrame:
+    """All-string rows of files whose header is exactly ``columns`` and whose lines have exactly as many fields; anything else is an error."""
+    reader = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("sep", sep).option("header", True).option("encoding", encoding)
+    return reader.option("enforceSchema", False).option("mode", "FAILFAST").option("quote", "").csv(path)
+
+
+def reference_scan(spark: SparkSession, path: str, state: str) -> DataFrame:
+    """municipality, section, grouping, stock of one state's municipalities from a reference-stock file."""
+    rows = strict_scan(spark, path, ["municipality", "section", "grouping", "stock"])
+    return cast_columns(rows.where(F.col("municipality").startswith(state)), {"municipality": ("municipality", "string"), "section": ("section", "string"), "grouping": ("grouping", "string"), "stock": ("stock", "long")})
+
+
+def panel_scan(spark: SparkSession, path: str) -> DataFrame:
+    """territory, grouping, month, stock (empty: null) and file_name of a folder of panel files; a byte-order mark may lead each."""
+    spec = {"territory": ("territory", "string"), "grouping": ("grouping", "string"), "month": ("month", "long"), "stock": ("stock", "long")}
+    return cast_columns(scan(spark, [path]), spec, keep=["file_name"])
+
+
+def ledger_scan(spark: SparkSession, path: str) -> DataFrame:
+    """run, entry, kind, at, cents of a ledger in JSON lines; a line that doesn't fit is an error."""
+    return spark.read.schema("run long, entry long, kind string, at timestamp, cents long").option("mode", "FAILFAST").json(path)
+
+
+def indicator_scan(spark: SparkSession, path: str) -> DataFrame:
+    """town, month, n of an indicator's JSON: one object a municipality with its months."""
+    rows = spark.read.schema("town string, series array<struct<month: long, n: long>>").option("mode", "FAILFAST").json(path)
+    return rows.select("town", F.explode("series").alias("v")).select("town", "v.month", "v.n")
+
+
+def replace_whole(rows: DataFrame, path: str, log_path: str, label: str) -> None:
+    """Replaces the whole table and adds a line to the load log, only after all rows have been written elsewhere."""
+    staged = f"{path}-staged"
+    rows.write.mode("overwrite").parquet(staged)
+    whole = rows.sparkSession.read.parquet(staged)
+    whole.write.mode("overwrite").parquet(path)
+    whole.agg(F.lit(label).alias("label"), F.count("*").alias("rows"), F.current_timestamp().alias("at")).write.mode("append").parquet(log_path)
+
+
+def export_long(levels: DataFrame, path: str) -> None:
+    """Levels with a TOTAL row a territory and month, by month, territory, TOTAL first, grouping, as CSV; a repeated key is an error."""
+    total = levels.groupBy("territory", "month").agg(F.lit("TOTAL").alias("grouping"), F.sum("net").alias("net"), F.when(F.count("stock") == F.count("*"), F.sum("stock")).alias("stock"))
+    rows = levels.select("territory", "month", "grouping", "net", "stock").unionByName(total)
+    twice = rows.groupBy("territory", "month", "grouping").agg(F.count("*").alias("n")).where("n > 1").first()
+    if twice:
+        raise ValueError(f"more than one row of {twice['territory']}, {twice['month']}, {twice['grouping']}")
+    order = ["month", "territory", F.col("grouping") != "TOTAL", "grouping"]
+    rows.orderBy(*order).write.option("header", True).csv(path)
