@@ -92,9 +92,18 @@ def generic(s, d):
     return C.generic(e, {"sign": F.col("sign").isin(1, -1), "wage_unit": F.col("wage_unit").isin(1, 2, 3, 4, 5, 6, 7, 99), "sex_known": F.col("sex").isNotNull(), "age_known": F.col("age").isNotNull(), "section": F.col("section") != "Z"})
 
 
+#: Checks whose findings are told, not barred.
+WARNED = {"dq_unidentified_negative", "dq_month_continuity", "dq_late_files_continuity", "dq_wage_range", "dq_mean_vs_median", "dq_individual_wage", "dq_territory_without_reference", "dq_anchor_adjustment", "dq_volume_anomaly", "dq_freshness", "dq_exclusion_sign"}
+UNCOUNTED = {"dq_generic", "dq_summary"}
+
+
+def checks() -> list[str]:
+    return [n for n in QUERIES if n.startswith("dq_") and n not in UNCOUNTED]
+
+
 def dq_summary(s, d):
-    lv = levels(s, d)
-    return C.summary({"stock_coherent": (C.SEVERITY_ERROR, C.stock_coherent(lv)), "stock_negative": (C.SEVERITY_ERROR, C.negative(lv, False)), "unidentified_negative": (C.SEVERITY_WARN, C.negative(lv, True)), "grain_stock": (C.SEVERITY_ERROR, C.repeated(lv, *GRAIN))})
+    """check, severity, violations, status of every check."""
+    return C.summary({n: (C.SEVERITY_WARN if n in WARNED else C.SEVERITY_ERROR, QUERIES[n](s, d)) for n in checks()})
 
 
 def text_facts(s, d):
@@ -250,10 +259,6 @@ SQL = {
     "dq_generic": _f("""select unnest(['sign','wage_unit','sex_known','age_known','section']) as rule, unnest([count(*) filter (sign not in (1,-1)), count(*) filter (wage_unit not in (1,2,3,4,5,6,7,99)), count(*) filter (sex is null), count(*) filter (age is null), count(*) filter (section='Z')]) violations from ev"""),
     "dq_volume_anomaly": _f("""select a.municipality, a.month, a.n, median(b.n) median_others from mm a join mm b on a.municipality=b.municipality and a.month<>b.month group by 1,2,3 having count(*)>=3 and a.n<0.5*median(b.n)""".replace("mm", "(select municipality, month, count(*) n from ev where feed='MOV' group by 1,2)")),
     "dq_freshness": _f("""select municipality, month, date_diff('day', last_day(make_date(cast(month//100 as int), cast(month%100 as int), 1)), date '2002-01-31') as days from (select municipality, max(month) as month from ev where feed='MOV' group by 1) where date_diff('day', last_day(make_date(cast(month//100 as int), cast(month%100 as int), 1)), date '2002-01-31')>60"""),
-    "dq_summary": _f("""select *, case when violations=0 then 'PASS' when severity='warn' then 'WARN' else 'ERROR' end status from (
- select 'stock_coherent' "check", 'error' severity, count(*) violations from (select stock-lag(stock) over (partition by territory, "grouping" order by month) moved, net from level) where moved<>net
- union all select 'stock_negative','error',count(*) from level where stock<0 and "grouping"<>'Não Identificado' union all select 'unidentified_negative','warn',count(*) from level where stock<0 and "grouping"='Não Identificado'
- union all select 'grain_stock','error',count(*) from (select 1 from level group by territory, "grouping", month having count(*)>1))"""),
     "fact_panorama": _f("""select t.*, b.stock stock_before, y.net net_year_ago, y.stock stock_year_ago, 0+sign(1.0e0*((t.stock-b.stock)))*sign(1.0e0*(b.stock))*floor((20000*abs((t.stock-b.stock))+abs(b.stock))/nullif(2.0e0*abs(b.stock),0))/100.0e0 rate_month, 0+sign(1.0e0*((t.stock-y.stock)))*sign(1.0e0*(y.stock))*floor((20000*abs((t.stock-y.stock))+abs(y.stock))/nullif(2.0e0*abs(y.stock),0))/100.0e0 rate_year from tot t
  left join tot b on b.territory=t.territory and b.month//100*12+b.month%100+1=t.month//100*12+t.month%100 left join tot y on y.territory=t.territory and y.month+100=t.month"""),
     "fact_decomposition": _f("""select territory, month, x from_admissions, y from_separations, x+y change, case when x*y>0 and 3*least(abs(x),abs(y))>=greatest(abs(x),abs(y)) then 'both' when abs(x)>=abs(y) then 'admissions' else 'separations' end driver from (select t.territory, t.month, t.admissions-p.admissions x, p.separations-t.separations y from tot t join tot p on p.territory=t.territory and p.month+100=t.month)"""),
@@ -295,3 +300,5 @@ SQL = {
     "residual_category": _f("""select month, max(net) filter ("grouping"='TOTAL')-max(net) filter ("grouping"='Agropecuária')-max(net) filter ("grouping"='Indústria')-max(net) filter ("grouping"='Construção')-max(net) filter ("grouping"='Comércio')-max(net) filter ("grouping"='Serviços') residual from report group by 1"""),
     "event_windows": "select date_trunc('day', ts)::timestamp as day, event_type, count(*) n, cast(sum(cast(round(value*100) as bigint)) as bigint) cents from events group by 1,2",
 }
+
+SQL["dq_summary"] = "select *, case when violations=0 then 'PASS' when severity='warn' then 'WARN' else 'ERROR' end as status from (" + " union all ".join(f"select '{n}' as \"check\", '{'warn' if n in WARNED else 'error'}' as severity, count(*) as violations from ({SQL[n]})" for n in checks()) + ")"
