@@ -14,14 +14,14 @@ from ..operators import marts as M
 from ..operators import text_and_audit as A
 from ..sources import tables as T
 from ..sources.store import built
-from .marts import flagship_levels, flow, levels, monthly, profile, reconciled, region, report, wages
+from .marts import events, flagship_levels, flow, levels, monthly, profile, reconciled, region, report, wages
 from .sql import sql
 
 GRAIN = ["territory", "grouping", "month"]
 
 
 def ev(s, d):
-    return T.events(s, d)
+    return events(s, d)
 
 
 def total(s, d):

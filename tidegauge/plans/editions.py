@@ -15,7 +15,7 @@ from ..operators import text_and_audit as A
 from ..sources import feeds
 from ..sources import tables as T
 from . import analyses as Q
-from .marts import ANCHOR, KNOWN_UNTIL, levels, report
+from .marts import ANCHOR, KNOWN_UNTIL, events, levels, report
 from .sql import sql
 
 PANEL_MONTHS, PANEL_UNTIL = (200006, 200012, 200106), 200106
@@ -29,7 +29,7 @@ def anchors(s, d):
 
 def snapshots(s, d):
     panel = anchors(s, d).select("territory", "grouping", F.explode(F.array(*[F.lit(m).cast("long") for m in PANEL_MONTHS])).alias("month"), F.col("stock").alias("panel_stock"), F.lit(PANEL_UNTIL).cast("long").alias("panel_known_until"))
-    return K.snapshot_difference(panel, anchors(s, d), M.effects(T.events(s, d), T.territories(s, d)))
+    return K.snapshot_difference(panel, anchors(s, d), M.effects(events(s, d), T.territories(s, d)))
 
 
 def season_of_total(s, d):
@@ -75,7 +75,7 @@ def fact_values(s, d):
 
 def registry(s, d):
     """The registry after two loads: all files but those of the last month, then those of the last six months again."""
-    rows = feeds.registry_rows(T.events(s, d)).withColumn("load", F.lit(1))
+    rows = feeds.registry_rows(events(s, d)).withColumn("load", F.lit(1))
     first = rows.where(F.col("file_month") < T.LAST_MONTH)
     return feeds.upsert(first, rows.where(F.col("file_month") > T.LAST_MONTH - 6).withColumn("load", F.lit(2)), "feed", "file_month")
 

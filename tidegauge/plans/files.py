@@ -11,7 +11,7 @@ from ..sources import feeds
 from ..sources import tables as T
 from ..sources.store import shared_dir
 from . import analyses as Q
-from .marts import levels
+from .marts import events, levels
 from .sql import sql
 
 STATE = "12"
@@ -67,7 +67,7 @@ def replaced_reference(s, d):
 
 
 def pending_files(s, d):
-    files = T.events(s, d).select("feed", "file_month").distinct()
+    files = events(s, d).select("feed", "file_month").distinct()
     return feeds.pending(files, files.where("file_month < 200101"), files.where("feed = 'MOV' and file_month < 200107"), redo=[200012])
 
 

@@ -7,17 +7,22 @@ from pyspark.sql import functions as F
 
 from ..operators import marts as M
 from ..sources import tables as T
-from ..sources.store import built
+from ..sources.store import built, is_built
 
 ANCHOR, KNOWN_UNTIL = 199912, 200006
 
 
-def parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return T.events(spark, d), T.territories(spark, d), T.reference_stock(spark, d)
+def events(spark: SparkSession, d: str) -> DataFrame:
+    """The staging table: events typed and placed once."""
+    return built(spark, d, "events", lambda: T.events(spark, d))
+
+
 
 
 def levels(spark, d):
-    return built(spark, d, "stock", lambda: M.stock(*parts(spark, d), T.REFERENCE_MONTH))
+    """Levels out of the staging table where there is one; alone they need few columns, so they don't wait for it."""
+    source = events if is_built(spark, d, "events") else T.events
+    return built(spark, d, "stock", lambda: M.stock(source(spark, d), T.territories(spark, d), T.reference_stock(spark, d), T.REFERENCE_MONTH))
 
 
 def region(spark, d):
@@ -25,27 +30,27 @@ def region(spark, d):
 
 
 def flow(spark, d):
-    return built(spark, d, "flow", lambda: M.flow(T.events(spark, d), T.territories(spark, d), T.divisions(spark, d)))
+    return built(spark, d, "flow", lambda: M.flow(events(spark, d), T.territories(spark, d), T.divisions(spark, d)))
 
 
 def profile(spark, d):
-    return built(spark, d, "profile", lambda: M.profile(T.events(spark, d), T.territories(spark, d)))
+    return built(spark, d, "profile", lambda: M.profile(events(spark, d), T.territories(spark, d)))
 
 
 def wages(spark, d):
-    return built(spark, d, "hiring_wage", lambda: M.hiring_wage(T.events(spark, d), T.territories(spark, d)))
+    return built(spark, d, "hiring_wage", lambda: M.hiring_wage(events(spark, d), T.territories(spark, d)))
 
 
 def reconciled(spark, d):
-    return built(spark, d, "reconciled", lambda: M.reconciled(T.events(spark, d)))
+    return built(spark, d, "reconciled", lambda: M.reconciled(events(spark, d)))
 
 
 def monthly(spark, d):
-    return built(spark, d, "monthly_by_grouping", lambda: M.monthly_by_grouping(T.events(spark, d)))
+    return built(spark, d, "monthly_by_grouping", lambda: M.monthly_by_grouping(events(spark, d)))
 
 
 def flagship_levels(spark, d):
-    flagship = built(spark, d, "flagship", lambda: M.flagship(T.events(spark, d)))
+    flagship = built(spark, d, "flagship", lambda: M.flagship(events(spark, d)))
     return levels(spark, d).join(F.broadcast(flagship.select(F.col("municipality").cast("string").alias("territory"))), "territory")
 
 
@@ -54,9 +59,9 @@ def report(spark, d):
 
 
 QUERIES = {
-    "stg_events": lambda s, d: T.events(s, d),
+    "stg_events": lambda s, d: events(s, d),
     "stg_reference_stock": lambda s, d: T.reference_stock(s, d),
-    "effect_on_balance": lambda s, d: M.effects(T.events(s, d), T.territories(s, d)),
+    "effect_on_balance": lambda s, d: M.effects(events(s, d), T.territories(s, d)),
     "monthly_by_grouping": monthly,
     "reconciled": reconciled,
     "stock": levels,
@@ -64,7 +69,7 @@ QUERIES = {
     "flow": flow,
     "profile": profile,
     "hiring_wage": wages,
-    "anchor_adjustment": lambda s, d: M.anchor_adjustment(T.events(s, d), T.territories(s, d), ANCHOR, KNOWN_UNTIL),
+    "anchor_adjustment": lambda s, d: M.anchor_adjustment(events(s, d), T.territories(s, d), ANCHOR, KNOWN_UNTIL),
     "report_table": report,
     "report_summary": lambda s, d: M.report_summary(report(s, d), reconciled(s, d)),
 }

@@ -43,6 +43,10 @@ def built(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFr
     return spark.read.parquet(_BUILT[key])
 
 
+def is_built(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    return (spark.sparkContext.applicationId, sf_dir, name) in _BUILT
+
+
 def forget(sf_dir: str) -> None:
     """Marts of a folder whose tables have changed are built anew."""
     for key in [k for k in _BUILT if k[1] == sf_dir]:
