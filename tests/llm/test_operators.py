@@ -450,3 +450,38 @@ def test_mixing_keeps_clean_documents_where_a_domain_is_scarce(spark):
         assert abs(got["t0"] / good - 1) < 0.01
         for d, (n, w) in enumerate(zip(want, (0.01, 0.02)), 1):
             assert abs(got[f"t{d}"] - min(n, good / 0.97 * w)) <= 0.01 * n
+
+
+def test_mixing_tells_domains_of_documents_unseen(spark):
+    rng = random.Random(21)
+    vile = ["vile" + x for x in ("um", "as", "or", "et", "in", "ox")]  # each in few of the texts
+    rows, truth = [], []
+    for i in range(2400):
+        domain = 1 if i % 9 == 0 else 2 if i % 9 == 1 else 0
+        words = [rng.choice("aeiou") + rng.choice("lmnrst") + rng.choice("aeiou") + rng.choice("dgkp") for _ in range(60)]
+        if domain == 1:  # every word over and over
+            words = [w for w in words[:6] for _ in range(10)]
+        if domain == 2:
+            words[5:7] = rng.sample(vile, 2)
+        rows.append((i, " ".join(words)))
+        truth.append((i, int(domain != 1), int(domain == 2)))
+    df, all_labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(truth, "doc_id long, quality int, toxic int")
+    got = mixing.rates(df, all_labels.where("doc_id < 1600")).join(all_labels.where("doc_id >= 1600"), "doc_id").collect()
+    right = [max(mixing.DOMAINS, key=lambda d: r[f"p_{d}"]) == ("poor" if not r["quality"] else "toxic" if r["toxic"] else "good") for r in got]
+    assert len(got) == 800 and sum(right) >= 0.99 * len(right)
+    for d, own in (("poor", lambda r: not r["quality"]), ("toxic", lambda r: r["toxic"])):
+        assert abs(sum(r[f"p_{d}"] for r in got) - sum(map(own, got))) <= 8
+
+
+def test_mixing_calibration_and_slots():
+    rng = np.random.default_rng(5)
+    raw = rng.normal(0, 3, (3000, 2))
+    e = np.exp(np.column_stack([np.zeros(3000), raw * 0.4 - 1]))  # scores two and a half times too sure
+    p = e / e.sum(1, keepdims=True)
+    domain = [int(rng.choice(3, p=x)) for x in p]
+    fitted = np.array(mixing._calibrated([(a, b, 1.0, d) for (a, b), d in zip(raw.tolist(), domain)], [0.0, 0.0, 0.0]))
+    assert np.abs(fitted - [[0.4, 0, -1], [0, 0.4, -1]]).max() < 0.15
+    assert mixing._calibrated([], [0.0, -1.0, -2.0]) == [[1.0, 0.0, -1.0], [0.0, 1.0, -2.0]]
+    odds = {int(h): [1.0, 2.0] for h in rng.integers(-(2**63), 2**63, 500)} | {0: [3.0, 4.0], -1: [5.0, 6.0]}
+    shift, size, slots = mixing._slots(odds)
+    assert all(slots[(h >> shift) % size] == (h, *w) for h, w in odds.items())
