@@ -68,3 +68,29 @@ def test_checks_find_what_is_broken(spark):
     assert checks.stock_coherent(rows.dropDuplicates()).first()["moved"] == 4
     counts = spark.createDataFrame([("a", 202001 + i, n) for i, n in enumerate([10, 10, 12, 2])], "k string, month long, n long")
     assert [r["month"] for r in checks.volume_anomaly(counts, "k").collect()] == [202004]
+
+
+def test_drilldown_prefers_subgroupings_and_counts_the_unidentified(spark):
+    flow = spark.createDataFrame(
+        [("t", 202401, "Serviços", "a", "60", "x", 6, 0, 6), ("t", 202401, "Serviços", "b", "NI", None, 2, 2, 0), ("t", 202301, "Serviços", "a", "60", "x", 1, 0, 1),
+         ("t", 202401, "Comércio", "c", "45", "y", 5, 0, 5), ("t", 202401, "Comércio", "c", "46", "z", 0, 1, -1),
+         ("t", 202401, "Construção", "d", "41", "w", 9, 0, 9)],
+        "territory string, month long, grouping string, subgrouping string, division string, description string, admissions long, separations long, net long",
+    )
+    chosen = spark.createDataFrame([("t", "Serviços", 202401, 6), ("t", "Comércio", 202401, 4), ("t", "Construção", 202401, 9)], "territory string, grouping string, month long, net long")
+    got = [(r["grouping"], r["level"], r["code"], r["net"], r["net_of_rest"], r["net_year_ago"], r["share"], r["rank"]) for r in facts.drilldown(flow, chosen).orderBy("rank").collect()]
+    assert got == [("Serviços", "subgrouping", "a", 6, 0, 1, 60.0, 1), ("Comércio", "division", "45", 5, -1, 0, 83.33, 2)]
+
+
+def test_highlights_leave_the_rest(spark):
+    rows = [("t", "Serviços", 202401, 9, "inside"), ("t", "Comércio", 202401, -7, "inside"), ("t", "Indústria", 202401, 4, "above"), ("t", "Construção", 202401, 3, "inside"), ("t", "Não Identificado", 202401, 50, "above")]
+    season = spark.createDataFrame(rows, "territory string, grouping string, month long, net long, position string")
+    got = facts.highlights(season).collect()
+    assert {r["grouping"]: r["rank"] for r in got} == {"Serviços": 1, "Comércio": 2, "Indústria": 3} and {r["rest"] for r in got} == {53}
+
+
+def test_profiles_are_relevant_by_balance_or_by_change(spark):
+    rows = [("t", 202301, "sex", "Homem", 50, 0, 50), ("t", 202301, "sex", "Mulher", 50, 0, 50)]
+    rows += [("t", 202401, "sex", "Homem", 60, 55, 5), ("t", 202401, "sex", "Mulher", 29, 0, 29), ("t", 202401, "sex", "Não Identificado", 31, 0, 31)]
+    got = facts.profile_share(spark.createDataFrame(rows, "territory string, month long, dimension string, category string, admissions long, separations long, net long")).where("month = 202401")
+    assert {r["category"]: (r["small_base"], r["unidentified"], r["relevant"]) for r in got.collect()} == {"Homem": (False, False, False), "Mulher": (True, False, False), "Não Identificado": (False, True, False)}

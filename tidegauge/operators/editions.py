@@ -24,7 +24,7 @@ def triggers(total: DataFrame, total_season: DataFrame, notable: DataFrame, sect
         ("seasonal total", total_season.where(F.col("position").isin(*OUT)), F.col("position")),
         ("seasonal grouping", notable.where(F.col("position").isin(*OUT)), F.concat_ws(":", "grouping", "position")),
         ("concentration", sectors.where((F.col("share_of_movement") >= concentration) & (F.abs("net") >= least) & (F.col("grouping") != UNIDENTIFIED)), F.col("grouping")),
-        ("dominant activity", activities, F.concat_ws(":", "grouping", "division")),
+        ("dominant activity", activities, F.concat_ws(":", "grouping", "code")),
         ("small base profile", shares.where("small_base"), F.concat_ws(":", "dimension", "category")),
         ("small base wage", wages.where("small_base"), F.lit(None)),
         ("total near zero", total.where(F.abs("net") < least_total), F.lit(None)),

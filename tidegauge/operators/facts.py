@@ -55,48 +55,92 @@ def seasonality(levels: DataFrame, least_years: int = 3) -> DataFrame:
     return out.withColumn("position", place)
 
 
-def sector(levels: DataFrame, least_total: int = 5) -> DataFrame:
-    """Share of level, contribution to the total net, and share of absolute movement of each grouping."""
+def sector(levels: DataFrame, flow: DataFrame, least_total: int = 5) -> DataFrame:
+    """Flows, level and monthly rate, share of level, contribution to the total net, and share of absolute movement of each grouping."""
     by = Window.partitionBy("territory", "month")
     total, moved = F.sum("net").over(by), F.sum(F.abs("net")).over(by)
     whole = F.when(F.count("stock").over(by) == F.count(F.lit(1)).over(by), F.sum("stock").over(by))
-    out = levels.select("territory", "month", "grouping", "net", "stock", total.alias("total"), moved.alias("moved"), whole.alias("whole"))
+    before = F.lag("stock").over(Window.partitionBy("territory", "grouping").orderBy("month"))
+    out = levels.select("territory", "month", "grouping", "net", "stock", total.alias("total"), moved.alias("moved"), whole.alias("whole"), percent(F.col("net"), before).alias("rate_month"))
+    flows = flow.groupBy("territory", "month", "grouping").agg(F.sum("admissions").alias("admissions"), F.sum("separations").alias("separations"))
+    out = out.join(flows, ["territory", "month", "grouping"], "left")
     contribution = F.when(F.abs("total") >= least_total, percent(F.col("net"), F.col("total")))
-    return out.select("territory", "month", "grouping", "net", "stock", percent(F.col("stock"), F.col("whole")).alias("share_of_stock"), contribution.alias("contribution"), percent(F.abs("net"), F.col("moved")).alias("share_of_movement"))
+    return out.select(
+        "territory", "month", "grouping", "net", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("admissions", "separations")], "stock", "rate_month",
+        percent(F.col("stock"), F.col("whole")).alias("share_of_stock"), contribution.alias("contribution"), percent(F.abs("net"), F.col("moved")).alias("share_of_movement"),
+    )
 
 
 def highlights(season: DataFrame, k: int = 2, least: int = 3) -> DataFrame:
-    """The k largest balances by size, above a minimum and identified, and any grouping out of its band."""
-    place = Window.partitionBy("territory", "month").orderBy(F.desc(F.abs("net")), "grouping")
+    """The k largest balances by size, above a minimum and identified, and any such grouping out of its band.
+
+    ``rest`` is the joint balance of all groupings that aren't highlights, the unidentified one included; null where there is none.
+    """
     fit = (F.col("grouping") != UNIDENTIFIED) & (F.abs("net") >= least)
-    ranked = season.where(fit).withColumn("rank", F.row_number().over(place))
-    return ranked.where((F.col("rank") <= k) | F.col("position").isin("above", "below")).select("territory", "month", "grouping", "net", "position", "rank")
+    place = Window.partitionBy("territory", "month", "fit").orderBy(F.desc(F.abs("net")), "grouping")
+    ranked = season.withColumn("fit", fit).withColumn("rank", F.row_number().over(place))
+    chosen = ranked.withColumn("chosen", F.col("fit") & ((F.col("rank") <= k) | F.col("position").isin("above", "below")))
+    rest = F.sum(F.when(~F.col("chosen"), F.col("net"))).over(Window.partitionBy("territory", "month"))
+    return chosen.withColumn("rest", rest).where("chosen").select("territory", "month", "grouping", "net", "position", "rank", "rest")
+
+
+def persistence(chosen: DataFrame, levels: DataFrame) -> DataFrame:
+    """The balances of highlights in the two months before, null where the series has none."""
+    keys = ["territory", "grouping"]
+    out = chosen.select(*keys, "month", "net")
+    for k in (1, 2):
+        out = out.join(ago(levels, k, {"net": f"net_{k}_before"}, *keys), [*keys, "month"], "left")
+    return out
 
 
 def comparison(levels: DataFrame, region: DataFrame) -> DataFrame:
-    """Territories, regions and states side by side: net and level over all groupings, absent if incomplete."""
+    """Territories, regions and states side by side: net, level and its rates over one and twelve months; absent if a grouping has no level."""
     a = levels.select(F.col("territory").alias("place"), "month", "net", "stock")
     rows = a.union(region.select("region", "month", "net", "stock"))
-    return rows.groupBy("place", "month").agg(F.sum("net").alias("net"), F.sum("stock").alias("stock"), F.count_if(F.col("stock").isNull()).alias("gaps")).where("gaps = 0").drop("gaps")
-
-
-def drilldown(flow: DataFrame, chosen: DataFrame, share: float = 0.4) -> DataFrame:
-    """Divisions with ``share`` of a highlighted grouping's twelve-month movement, if it has more than one."""
-    moved = flow.where("division <> 'NI'").select("territory", "grouping", "division", "month", (F.col("admissions") + F.col("separations")).alias("moved"), "net")
-    asked = chosen.select("territory", "grouping", "month", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("back"))
-    asked = asked.select("territory", "grouping", F.col("month").alias("at"), months.shift(F.col("month"), -F.col("back")).alias("month"))
-    year = asked.join(moved, ["territory", "grouping", "month"]).groupBy("territory", "grouping", "at", "division").agg(F.sum("moved").alias("moved"), F.sum(F.when(F.col("month") == F.col("at"), F.col("net")).otherwise(0)).alias("net"))
-    by = Window.partitionBy("territory", "grouping", "at")
-    out = year.withColumn("of", F.sum("moved").over(by)).withColumn("n", F.count("*").over(by))
-    return out.where((F.col("n") > 1) & (F.col("moved") >= share * F.col("of"))).select("territory", "grouping", F.col("at").alias("month"), "division", "net", "moved", percent(F.col("moved"), F.col("of")).alias("share"))
-
-
-def profile_share(profile: DataFrame) -> DataFrame:
-    """Share of admissions by category, that of a year ago, and the change in points."""
+    out = rows.groupBy("place", "month").agg(F.sum("net").alias("net"), F.sum("stock").alias("stock"), F.count_if(F.col("stock").isNull()).alias("gaps")).where("gaps = 0").drop("gaps")
+    both = out.join(ago(out, 1, {"stock": "before"}, "place"), ["place", "month"], "left").join(ago(out, 12, {"stock": "year_ago"}, "place"), ["place", "month"], "left")
+    return both.select("place", "month", "net", "stock", percent(F.col("net"), F.col("before")).alias("rate_month"), percent(F.col("stock") - F.col("year_ago"), F.col("year_ago")).alias("rate_year"))
+
+
+def drilldown(flow: DataFrame, chosen: DataFrame, share: float = 0.4, most: int = 3) -> DataFrame:
+    """Activities with ``share`` of a highlighted grouping's movement over twelve months, at most ``most`` a territory and month.
+
+    Subgroupings come first; only a grouping without a dominant one goes down to its divisions.  A level at which the grouping has
+    but one activity says nothing; the unidentified division counts in the whole and is never chosen.  ``net_of_rest`` is the
+    balance of the grouping without the activity.  The largest balances by size stay, ties by grouping and code.
+    """
+    keys = ["territory", "grouping", "level", "code"]
+    pair = F.explode(F.array(F.struct(F.lit("subgrouping").alias("level"), F.col("subgrouping").alias("code"), F.col("subgrouping").alias("name")), F.struct(F.lit("division").alias("level"), F.col("division").alias("code"), F.col("description").alias("name"))))
+    long = flow.withColumn("pair", pair).select("territory", "grouping", "month", "pair.*", "admissions", "separations", "net")
+    moved = long.groupBy(*keys, "month").agg(*[F.sum(c).alias(c) for c in ("admissions", "separations", "net")], F.min("name").alias("name"))
+    codes = moved.groupBy("territory", "grouping", "level").agg(F.count_distinct(F.coalesce("code", F.lit(""))).alias("codes"))
+    asked = chosen.select("territory", "grouping", F.col("month").alias("at"), F.col("net").alias("of_net"), F.explode(F.sequence(F.lit(0), F.lit(12))).alias("back"))
+    asked = asked.withColumn("month", months.shift(F.col("at"), -F.col("back")))
+    on = lambda k, c: F.sum(F.when(F.col("back") == k, F.col(c)).otherwise(0))
+    year = asked.join(moved, ["territory", "grouping", "month"]).groupBy(*keys, "at", "of_net").agg(
+        F.min("name").alias("name"), F.sum(F.when(F.col("back") < 12, F.col("admissions") + F.col("separations")).otherwise(0)).alias("moved"),
+        on(0, "net").alias("net"), on(0, "admissions").alias("admissions"), on(0, "separations").alias("separations"), on(12, "net").alias("net_year_ago"),
+    )
+    whole = F.sum("moved").over(Window.partitionBy("territory", "grouping", "level", "at"))
+    large = year.withColumn("of", whole).join(codes, ["territory", "grouping", "level"]).where((F.col("codes") > 1) & (F.col("of") > 0) & (F.col("moved") >= share * F.col("of")) & (F.col("code") != "NI"))
+    first = large.withColumn("top", F.max("level").over(Window.partitionBy("territory", "grouping", "at"))).where("level = top")
+    place = Window.partitionBy("territory", "at").orderBy(F.desc(F.abs("net")), "grouping", "code")
+    kept = first.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= most)
+    return kept.select("territory", "grouping", F.col("at").alias("month"), "level", "code", "name", "net", (F.col("of_net") - F.col("net")).alias("net_of_rest"), "admissions", "separations", "net_year_ago", "moved", percent(F.col("moved"), F.col("of")).alias("share"), "rank")
+
+
+def profile_share(profile: DataFrame, least: int = 20, points: float = 5.0, base: int = 30) -> DataFrame:
+    """Share of admissions by category, that of a year ago, and the change in points.
+
+    A category of fewer than ``base`` admissions is small; one that is neither small nor unidentified is relevant if its balance is at
+    least ``least`` by size or its share changed by ``points`` or more.
+    """
     of = F.sum("admissions").over(Window.partitionBy("territory", "month", "dimension"))
-    share = profile.select("territory", "month", "dimension", "category", F.when(of > 0, percent(F.col("admissions"), of)).alias("share"), of.alias("base"))
+    share = profile.select("territory", "month", "dimension", "category", "admissions", "separations", "net", F.when(of > 0, percent(F.col("admissions"), of)).alias("share"), of.alias("base"))
     out = share.join(ago(share, 12, {"share": "share_year_ago"}, "territory", "dimension", "category"), ["territory", "dimension", "category", "month"], "left")
-    return out.withColumn("change", F.round(F.col("share") - F.col("share_year_ago"), 2)).withColumn("small_base", F.col("base") < 30)
+    out = out.withColumn("change", F.round(F.col("share") - F.col("share_year_ago"), 2)).withColumn("small_base", F.col("admissions") < base).withColumn("unidentified", F.col("category") == UNIDENTIFIED)
+    told = (F.abs("net") >= least) | F.coalesce(F.abs("change") >= points, F.lit(False))
+    return out.withColumn("relevant", ~F.col("small_base") & ~F.col("unidentified") & told)
 
 
 def wage(wages: DataFrame, least: int = 30) -> DataFrame:

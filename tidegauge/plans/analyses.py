@@ -142,8 +142,9 @@ QUERIES = {
     "fact_decomposition": lambda s, d: X.decomposition(total(s, d)),
     "fact_accumulated": lambda s, d: X.accumulated(total(s, d)),
     "fact_seasonality": lambda s, d: X.seasonality(levels(s, d)),
-    "fact_sector": lambda s, d: X.sector(levels(s, d)),
+    "fact_sector": lambda s, d: X.sector(levels(s, d), flow(s, d)),
     "fact_highlights": lambda s, d: X.highlights(X.seasonality(levels(s, d))),
+    "fact_persistence": lambda s, d: X.persistence(X.highlights(X.seasonality(levels(s, d))), levels(s, d)),
     "fact_drilldown": lambda s, d: X.drilldown(flow(s, d), X.highlights(X.seasonality(levels(s, d)))),
     "fact_comparison": lambda s, d: X.comparison(levels(s, d), region(s, d)),
     "fact_profile": lambda s, d: X.profile_share(profile(s, d)),
@@ -186,13 +187,20 @@ _PARTED = r"select doc_id, text, regexp_replace(text, '([^\pL\pN_.,])', '\1\1',
 _NUMBER = r"(?:^|[^\pL\pN_.,])([−-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)(?:([[:space:]]+(?i:mil))(?:[^\pL\pN_]|$)|[^\pL\pN_]|$)"
 _PERCENT = r"(?:^|[^\pL\pN_.,])[−-]?[0-9]{{1,3}}(?:\.[0-9]{{3}})*{}(?:[[:space:]][[:space:]])?%"
 
+
+def _pct(x: str, y: str) -> str:
+    """100 x / y to two digits, halves away from zero."""
+    return f"0+sign(1.0e0*({x}))*sign(1.0e0*({y}))*floor((20000*abs({x})+abs({y}))/nullif(2.0e0*abs({y}),0))/100.0e0"
+
+
 TOTALS = {
     "tot": """select s.territory, s.month, coalesce(f.admissions,0) admissions, coalesce(f.separations,0) separations, s.net, s.stock from
  (select territory, month, cast(sum(net) as bigint) net, case when count(stock)=count(*) then cast(sum(stock) as bigint) end stock from level group by 1,2) s
  left join (select territory, month, cast(sum(admissions) as bigint) admissions, cast(sum(separations) as bigint) separations from flow group by 1,2) f using (territory, month)""",
     "season": """select territory, "grouping", month, net, min(net) over w low, max(net) over w high, count(net) over w as years from level window w as (partition by territory, "grouping", month%100 order by month rows between unbounded preceding and 1 preceding)""",
     "placed": """select *, case when years<3 then 'insufficient' when net>high then 'above' when net<low then 'below' else 'inside' end position from season""",
-    "notable": """select * from (select territory, month, "grouping", net, position, case when "grouping"<>'Não Identificado' and abs(net)>=3 then row_number() over (partition by territory, month, "grouping"<>'Não Identificado' and abs(net)>=3 order by abs(net) desc, "grouping") end rank from placed) where "grouping"<>'Não Identificado' and abs(net)>=3 and (rank<=2 or position in ('above','below'))""",
+    "notable": """select territory, month, "grouping", net, position, rank, rest from (select *, cast(sum(net) filter (not chosen) over (partition by territory, month) as bigint) rest from (select *, fit and (rank<=2 or position in ('above','below')) chosen from (
+ select *, row_number() over (partition by territory, month, fit order by abs(net) desc, "grouping") rank from (select *, "grouping"<>'Não Identificado' and abs(net)>=3 fit from placed)))) where chosen""",
     "ser": """select territory, month, admissions, separations, admissions-separations net, stock from (select *, count(*) over (partition by territory) n, (max(month) over (partition by territory)//100*12+max(month) over (partition by territory)%100)-(min(month) over (partition by territory)//100*12+min(month) over (partition by territory)%100)+1 span from tot) where n=span""",
     "back": """select territory, month, admissions, separations, net, cast(max_by(stock, month) over (partition by territory) - coalesce(sum(net) over (partition by territory order by month rows between 1 following and unbounded following),0) as bigint) as level from ser""",
     "ends_": "select territory, max(month) last, max_by(level, month) anchor from back group by 1",
@@ -264,12 +272,31 @@ SQL = {
     "fact_decomposition": _f("""select territory, month, x from_admissions, y from_separations, x+y change, case when x*y>0 and 3*least(abs(x),abs(y))>=greatest(abs(x),abs(y)) then 'both' when abs(x)>=abs(y) then 'admissions' else 'separations' end driver from (select t.territory, t.month, t.admissions-p.admissions x, p.separations-t.separations y from tot t join tot p on p.territory=t.territory and p.month+100=t.month)"""),
     "fact_accumulated": sql("select a.*, b.ytd ytd_year_ago from acc a left join acc b on b.territory=a.territory and b.month+100=a.month", **TOTALS, acc="""select territory, month, cast(sum(net) over (partition by territory, month//100 order by month) as bigint) ytd, case when count(*) over w=12 then cast(sum(net) over w as bigint) end last_12 from tot window w as (partition by territory order by month//100*12+month%100 range between 11 preceding and current row)"""),
     "fact_seasonality": _f("select * from placed"),
-    "fact_sector": _f("""select territory, month, "grouping", net, stock, 0+sign(1.0e0*(stock))*sign(1.0e0*(w))*floor((20000*abs(stock)+abs(w))/nullif(2.0e0*abs(w),0))/100.0e0 share_of_stock, case when abs(t)>=5 then 0+sign(1.0e0*(net))*sign(1.0e0*(t))*floor((20000*abs(net)+abs(t))/nullif(2.0e0*abs(t),0))/100.0e0 end contribution, 0+sign(1.0e0*(abs(net)))*sign(1.0e0*(m))*floor((20000*abs(abs(net))+abs(m))/nullif(2.0e0*abs(m),0))/100.0e0 share_of_movement from (select *, sum(net) over p t, sum(abs(net)) over p m, case when count(stock) over p=count(*) over p then sum(stock) over p end w from level window p as (partition by territory, month))"""),
+    "fact_sector": _f(f"""select x.territory, x.month, x."grouping", x.net, coalesce(f.admissions,0) admissions, coalesce(f.separations,0) separations, stock, {_pct("x.net", "b")} rate_month,
+ {_pct("stock", "w")} share_of_stock, case when abs(t)>=5 then {_pct("x.net", "t")} end contribution, {_pct("abs(x.net)", "m")} share_of_movement
+ from (select *, sum(net) over p t, sum(abs(net)) over p m, case when count(stock) over p=count(*) over p then sum(stock) over p end w, lag(stock) over (partition by territory, "grouping" order by month) b from level window p as (partition by territory, month)) x
+ left join (select territory, month, "grouping", cast(sum(admissions) as bigint) admissions, cast(sum(separations) as bigint) separations from flow group by 1,2,3) f on f.territory=x.territory and f.month=x.month and f."grouping"=x."grouping" """),
     "fact_highlights": _f("select * from notable"),
-    "fact_drilldown": _f("""select territory, "grouping", month, division, net, moved, 0+sign(1.0e0*(moved))*sign(1.0e0*(o))*floor((20000*abs(moved)+abs(o))/nullif(2.0e0*abs(o),0))/100.0e0 share from (select *, sum(moved) over p o, count(*) over p n from (
- select h.territory, h."grouping", h.month, f.division, cast(sum(f.admissions+f.separations) as bigint) moved, cast(sum(case when f.month=h.month then f.net else 0 end) as bigint) net from notable h join flow f on f.territory=h.territory and f."grouping"=h."grouping" and f.division<>'NI' and (h.month//100*12+h.month%100)-(f.month//100*12+f.month%100) between 0 and 11 group by 1,2,3,4) window p as (partition by territory, "grouping", month)) where n>1 and moved>=0.4*o"""),
-    "fact_comparison": _f("select place, month, cast(sum(net) as bigint) net, cast(sum(stock) as bigint) stock from (select territory place, month, net, stock from level union all select region, month, net, stock from regional) group by 1,2 having count(*)=count(stock)"),
-    "fact_profile": sql("select a.*, b.share share_year_ago, round(a.share-b.share,2) change, a.base<30 small_base from ps a left join ps b on b.territory=a.territory and b.dimension=a.dimension and b.category=a.category and b.month+100=a.month", ps="""select territory, month, dimension, category, case when sum(admissions) over p>0 then 0+sign(1.0e0*admissions)*floor((20000*abs(admissions)+sum(admissions) over p)/(2.0e0*sum(admissions) over p))/100.0e0 end share, cast(sum(admissions) over p as bigint) base from profile window p as (partition by territory, month, dimension)"""),
+    "fact_persistence": _f("""select n.territory, n.month, n."grouping", n.net, a.net net_1_before, b.net net_2_before from notable n
+ left join level a on a.territory=n.territory and a."grouping"=n."grouping" and a.month//100*12+a.month%100+1=n.month//100*12+n.month%100
+ left join level b on b.territory=n.territory and b."grouping"=n."grouping" and b.month//100*12+b.month%100+2=n.month//100*12+n.month%100"""),
+    "fact_drilldown": sql(
+        f"""select territory, "grouping", month, level, code, name, net, of_net-net net_of_rest, admissions, separations, net_year_ago, moved, {_pct("moved", "o")} share, rank from (
+ select *, row_number() over (partition by territory, month order by abs(net) desc, "grouping", code) rank from (
+ select *, max(level) over (partition by territory, "grouping", month) top from (
+ select *, sum(moved) over (partition by territory, "grouping", level, month) o from yearly) x join (select territory, "grouping", level, count(distinct code) codes from acts group by 1,2,3) c using (territory, "grouping", level)
+ where codes>1 and o>0 and moved>=0.4*o and code<>'NI') where level=top) where rank<=3""",
+        **TOTALS,
+        acts="""select territory, "grouping", month, 'subgrouping' level, subgrouping code, subgrouping name, admissions, separations, net from flow union all select territory, "grouping", month, 'division', division, description, admissions, separations, net from flow""",
+        yearly="""select territory, "grouping", level, code, shown as month, of_net, min(name) as name, cast(coalesce(sum(admissions+separations) filter (back<12),0) as bigint) moved, cast(coalesce(sum(net) filter (back=0),0) as bigint) net,
+ cast(coalesce(sum(admissions) filter (back=0),0) as bigint) admissions, cast(coalesce(sum(separations) filter (back=0),0) as bigint) separations, cast(coalesce(sum(net) filter (back=12),0) as bigint) net_year_ago
+ from (select a.*, h.month shown, h.net of_net, (h.month//100*12+h.month%100)-(a.month//100*12+a.month%100) back from notable h join acts a on a.territory=h.territory and a."grouping"=h."grouping") where back between 0 and 12 group by 1,2,3,4,5,6""",
+    ),
+    "fact_comparison": sql(
+        f"select c.*, {_pct('c.net', 'b.stock')} rate_month, {_pct('(c.stock-y.stock)', 'y.stock')} rate_year from compared c left join compared b on b.place=c.place and b.month//100*12+b.month%100+1=c.month//100*12+c.month%100 left join compared y on y.place=c.place and y.month+100=c.month",
+        compared="select place, month, cast(sum(net) as bigint) net, cast(sum(stock) as bigint) stock from (select territory place, month, net, stock from level union all select region, month, net, stock from regional) group by 1,2 having count(*)=count(stock)",
+    ),
+    "fact_profile": sql("select *, not small_base and not unidentified and (abs(net)>=20 or coalesce(abs(change)>=5,false)) relevant from (select a.*, b.share share_year_ago, round(a.share-b.share,2) change, a.admissions<30 small_base, a.category='Não Identificado' unidentified from ps a left join ps b on b.territory=a.territory and b.dimension=a.dimension and b.category=a.category and b.month+100=a.month)", ps="""select territory, month, dimension, category, admissions, separations, net, case when sum(admissions) over p>0 then 0+sign(1.0e0*admissions)*floor((20000*abs(admissions)+sum(admissions) over p)/(2.0e0*sum(admissions) over p))/100.0e0 end share, cast(sum(admissions) over p as bigint) base from profile window p as (partition by territory, month, dimension)"""),
     "fact_wage": _f("select a.*, b.median_wage median_year_ago, 0+sign(1.0e0*((a.median_wage-b.median_wage)))*sign(1.0e0*(b.median_wage))*floor((20000*abs((a.median_wage-b.median_wage))+abs(b.median_wage))/nullif(2.0e0*abs(b.median_wage),0))/100.0e0 variation, a.n_wages<30 small_base from wage a left join wage b on b.territory=a.territory and b.month+100=a.month"),
     "fact_registry": _f("select territory||'/'||month||'/'||measure id, value, 'people' unit from (select territory, month, 'admissions' measure, admissions as value from tot union all select territory, month, 'separations', separations from tot union all select territory, month, 'net', net from tot union all select territory, month, 'stock', stock from tot) where value is not null"),
     "fact_tables": _f('select month, "grouping", admissions, separations, net, stock from report'),

@@ -42,7 +42,7 @@ def notable(s, d):
 
 def triggers(s, d):
     high = notable(s, d)
-    return E.triggers(Q.total(s, d), season_of_total(s, d), high, X.sector(levels(s, d)), X.drilldown(Q.flow(s, d), high), X.profile_share(Q.profile(s, d)), X.wage(Q.wages(s, d)))
+    return E.triggers(Q.total(s, d), season_of_total(s, d), high, X.sector(levels(s, d), Q.flow(s, d)), X.drilldown(Q.flow(s, d), high), X.profile_share(Q.profile(s, d)), X.wage(Q.wages(s, d)))
 
 
 def figures(s, d):
@@ -141,7 +141,7 @@ SQL = {
  select user_id source, ts, event_id entry, case when event_type<>'error' then event_type end as content from events))""",
     "fact_triggers": f"""select territory, month, 'provisional' kind, cast(null as varchar) detail from ({_f("select territory, month, (max(month) over (partition by territory)//100*12+max(month) over (partition by territory)%100)-(month//100*12+month%100) age from tot")}) where age<12
  union all select territory, month, 'seasonal total', position from ({_f(_TS)}) where position in ('above','below') union all select territory, month, 'seasonal grouping', "grouping"||':'||position from {_of("fact_highlights")} where position in ('above','below')
- union all select territory, month, 'concentration', "grouping" from {_of("fact_sector")} where share_of_movement>=60 and abs(net)>=3 and "grouping"<>'Não Identificado' union all select territory, month, 'dominant activity', "grouping"||':'||division from {_of("fact_drilldown")}
+ union all select territory, month, 'concentration', "grouping" from {_of("fact_sector")} where share_of_movement>=60 and abs(net)>=3 and "grouping"<>'Não Identificado' union all select territory, month, 'dominant activity', "grouping"||':'||code from {_of("fact_drilldown")}
  union all select territory, month, 'small base profile', dimension||':'||category from {_of("fact_profile")} where small_base union all select territory, month, 'small base wage', null from {_of("fact_wage")} where small_base
  union all select territory, month, 'total near zero', null from ({_f("select * from tot")}) where abs(net)<5""",
     "fc_kpis": _f(_KPI),
