@@ -72,14 +72,14 @@ def test_checks_find_what_is_broken(spark):
 
 def test_drilldown_prefers_subgroupings_and_counts_the_unidentified(spark):
     flow = spark.createDataFrame(
-        [("t", 202401, "Serviços", "a", "60", "x", 6, 0, 6), ("t", 202401, "Serviços", "b", "NI", None, 2, 2, 0), ("t", 202301, "Serviços", "a", "60", "x", 1, 0, 1),
+        [("t", 202401, "Serviços", "a", "60", "x", 6, 0, 6), ("t", 202401, "Serviços", "b", "NI", None, 1, 1, 0), ("t", 202301, "Serviços", "a", "60", "x", 1, 0, 1),
          ("t", 202401, "Comércio", "c", "45", "y", 5, 0, 5), ("t", 202401, "Comércio", "c", "46", "z", 0, 1, -1),
          ("t", 202401, "Construção", "d", "41", "w", 9, 0, 9)],
         "territory string, month long, grouping string, subgrouping string, division string, description string, admissions long, separations long, net long",
     )
     chosen = spark.createDataFrame([("t", "Serviços", 202401, 6), ("t", "Comércio", 202401, 4), ("t", "Construção", 202401, 9)], "territory string, grouping string, month long, net long")
     got = [(r["grouping"], r["level"], r["code"], r["net"], r["net_of_rest"], r["net_year_ago"], r["share"], r["rank"]) for r in facts.drilldown(flow, chosen).orderBy("rank").collect()]
-    assert got == [("Serviços", "subgrouping", "a", 6, 0, 1, 60.0, 1), ("Comércio", "division", "45", 5, -1, 0, 83.33, 2)]
+    assert got == [("Serviços", "subgrouping", "a", 6, 0, 1, 75.0, 1), ("Comércio", "division", "45", 5, -1, 0, 83.33, 2)]
 
 
 def test_highlights_leave_the_rest(spark):
