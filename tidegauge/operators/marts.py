@@ -151,21 +151,24 @@ def anchor_adjustment(events: DataFrame, territories: DataFrame, anchor: int, kn
 def report_table(rec: DataFrame, monthly: DataFrame, levels: DataFrame) -> DataFrame:
     """Reconciled counts with on-time wages and levels; groupings with a level only come in with zero counts.
 
-    ``levels`` holds one territory.  Each month gets a TOTAL row; its level is null unless all groupings have one.
+    ``levels`` holds one territory.  Each month gets a TOTAL row; its level is null unless all groupings have one, and
+    its rate is its net over the total level of the month before.
     """
     keys = ["month", "grouping"]
-    wages = monthly.select(*keys, "n_wages", "median_wage", "mean_wage")
-    out = rec.select(*keys, "admissions", "separations", "net").join(levels.select(*keys, "stock"), keys, "full")
+    wages = monthly.select(*keys, "n_wages", "median_wage", "mean_wage", "palma")
+    out = rec.select(*keys, "admissions", "separations", "net").join(levels.select(*keys, "stock", "rate"), keys, "full")
     for c in ("admissions", "separations", "net"):
         out = out.withColumn(c, F.coalesce(c, F.lit(0)))
     out = out.join(wages, keys, "left")
     total = out.groupBy("month").agg(F.lit("TOTAL").alias("grouping"), F.sum("admissions").alias("admissions"), F.sum("separations").alias("separations"), F.sum("net").alias("net"), F.when(F.count("stock") == F.count("*"), F.sum("stock")).alias("stock"))
+    before = total.select(months.shift(F.col("month"), 1).alias("month"), F.col("stock").alias("before"))
+    total = total.join(before, "month", "left").withColumn("rate", F.col("net") / F.nullif("before", F.lit(0))).drop("before")
     return out.unionByName(total, allowMissingColumns=True)
 
 
 def report_summary(report: DataFrame, rec: DataFrame) -> DataFrame:
     """Totals of each month beside the month before and the year before; null where there is none."""
-    total = report.where("grouping = 'TOTAL'").select("month", "admissions", "separations", "net", "stock")
+    total = report.where("grouping = 'TOTAL'").select("month", "admissions", "separations", "net", "stock", "rate")
     on_time = rec.groupBy("month").agg(F.sum("net_mov").alias("net_on_time"))
     past = lambda k, name: total.select(months.shift(F.col("month"), k).alias("month"), F.col("net").alias(name))
     return total.join(on_time, "month", "left").join(past(1, "net_month_before"), "month", "left").join(past(12, "net_year_before"), "month", "left")

@@ -64,11 +64,12 @@ RELATIONS = {
  select *, 'age', case when age is null then 'Não Identificado' when age<=17 then 'até 17' when age<=24 then '18 a 24' when age<=29 then '25 a 29' when age<=39 then '30 a 39' when age<=49 then '40 a 49' when age<=64 then '50 a 64' else '65 ou mais' end from fan) group by 1,2,3,4""",
     "wage": """select territory, month, n n_wages, med median_wage, ((2*c+n)//(2*n))/100.0e0 mean_wage from (select territory, month, count(*) n, quantile_disc(wage,0.5) med, cast(sum(cast(round(wage*100) as bigint)) as bigint) c from fan where feed='MOV' and sign=1 and wage_unit=5 and wage>0 group by 1,2)""",
     "adjustment": """select territory, "grouping", count(*) as rows, cast(sum(effect) as bigint) adjustment, min(file_month) first_file, max(file_month) last_file from fan where feed<>'MOV' and month<=199912 and file_month>200006 group by 1,2""",
-    "lines": """select coalesce(r.month,l.month) as month, coalesce(r."grouping",l."grouping") as "grouping", coalesce(r.admissions,0) admissions, coalesce(r.separations,0) separations, coalesce(r.net,0) net, l.stock
- from rec r full join (select * from level where territory=(select cast(municipality as varchar) from flag)) l on l.month=r.month and l."grouping"=r."grouping" """,
-    "report": """select l.*, m.n_wages, m.median_wage, m.mean_wage from lines l left join monthly m on m.month=l.month and m."grouping"=l."grouping" union all
- select month, 'TOTAL', cast(sum(admissions) as bigint), cast(sum(separations) as bigint), cast(sum(net) as bigint), case when count(stock)=count(*) then cast(sum(stock) as bigint) end, null, null, null from lines group by month""",
-    "total": """select month, admissions, separations, net, stock from report where "grouping"='TOTAL'""",
+    "lines": """select coalesce(r.month,l.month) as month, coalesce(r."grouping",l."grouping") as "grouping", coalesce(r.admissions,0) admissions, coalesce(r.separations,0) separations, coalesce(r.net,0) net, l.stock, l.rate
+ from rec r full join (select * from stock where territory=(select cast(municipality as varchar) from flag)) l on l.month=r.month and l."grouping"=r."grouping" """,
+    "totals_": """select month, cast(sum(admissions) as bigint) admissions, cast(sum(separations) as bigint) separations, cast(sum(net) as bigint) net, case when count(stock)=count(*) then cast(sum(stock) as bigint) end stock from lines group by month""",
+    "report": """select l.*, m.n_wages, m.median_wage, m.mean_wage, m.palma from lines l left join monthly m on m.month=l.month and m."grouping"=l."grouping" union all
+ select t.month, 'TOTAL', t.admissions, t.separations, t.net, t.stock, t.net/nullif(b.stock,0), null, null, null, null from totals_ t left join totals_ b on b.month//100*12+b.month%100+1=t.month//100*12+t.month%100""",
+    "total": """select month, admissions, separations, net, stock, rate from report where "grouping"='TOTAL'""",
     "summary": """select t.*, o.net_on_time, b.net net_month_before, y.net net_year_before from total t left join (select month, cast(sum(net_mov) as bigint) net_on_time from rec group by 1) o using (month)
  left join total b on b.month//100*12+b.month%100+1=t.month//100*12+t.month%100 left join total y on y.month+100=t.month""",
 }
