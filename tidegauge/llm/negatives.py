@@ -96,7 +96,7 @@ def hard_negatives(vectors: DataFrame, label: Column, every: int = 100, positive
 
     Anchors are the rows whose vec_id ``every`` divides; an anchor's positives are the best ``positives`` other rows of its label, a positive's
     negatives the best ``negatives`` rows of other labels with low * p <= 100 * n <= high * p.  Scores are integer inner products of
-    floor(scale * x), exact below 2**63; ties go to the smaller vec_id; ranks count from 1.  Rows without a vec_id, label or vector, or with a null
+    floor(scale * x), exact below 2**63 (an error if they may pass that); ties go to the smaller vec_id; ranks count from 1.  Rows without a vec_id, label or vector, or with a null
     or non-finite component, take no part; shorter vectors end in zeros; rows of a repeated vec_id all count, an
     anchor's twin too.  No rows: no result.
     """
@@ -104,6 +104,8 @@ def hard_negatives(vectors: DataFrame, label: Column, every: int = 100, positive
     size = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"), F.count(F.when(F.pmod("vec_id", F.lit(every)) == 0, 1)).alias("q"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))).alias("top")).first()
     dim, shards, blocks = max(1, size["d"] or 1), max(1, -(-size["n"] // rows_a_shard)), max(1, -(-size["q"] // rows_a_block))
     whole = dim * (size["top"] or 0) ** 2 < 2**53
+    if dim * (size["top"] or 0) ** 2 >= 2**63:
+        raise ValueError("scores may pass 64 bits")
     holds = cut(packed(rows.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int")), "shard", dim))
     anchors = rows.where(F.pmod("vec_id", F.lit(every)) == 0).withColumn("block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(blocks)).cast("int"))
 

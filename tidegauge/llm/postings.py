@@ -247,13 +247,13 @@ def _near(phrase, place, code, ends, size, keys, width, slop, overlap):
     return got[:, 0], got[:, 1], got[:, 2]
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10, slack: int | None = None) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, slack: int | None = None, size: int = 1 << 24) -> DataFrame:
     """doc_id, n_words, n_hit, item_ids, contaminated of every row of ``docs``: words inside an occurrence of a run of an item.
 
     Null and empty texts have no words; repeated rows get a row each; an empty table of items hits nothing.  Other columns
     of either table aren't looked at.
     """
-    index = build(docs, length - 1 + max(0, slack or 0))
+    index = build(docs, length - 1 + max(0, slack or 0), size)
     found = search(index, windows(items, length), slack)
     over = lambda held, s: F.struct((held.n + F.greatest(F.lit(0), s.hi - F.greatest(s.lo, held.end))).alias("n"), F.greatest(held.end, s.hi).alias("end"))
     hit = F.aggregate("spans", F.expr("named_struct('n', 0L, 'end', 0L)"), over, lambda held: held.n)
