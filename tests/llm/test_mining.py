@@ -119,7 +119,7 @@ def test_contamination(spark, texts, size, block):
     got = postings.contamination(table, bench, 5, size=size).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], tuple(sorted(r["item_ids"]))) for r in got) == contaminated(docs, items, 5)
     index = postings.build(table, 4, size)
-    again = postings.search(index, postings.windows(bench, 5), phrases_a_block=block)
+    again = postings.search(index, postings.windows(bench, 5), phrases_a_block=block, few_terms=block)
     assert again.count() == sum(r["contaminated"] for r in got)
     assert {c["n_hit"] for c in postings.contamination(table, bench.where("false"), 5).collect()} == {0}
     assert postings.contamination(table.where("false"), bench, 5).count() == 0

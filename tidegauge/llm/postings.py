@@ -101,18 +101,21 @@ def windows(items: DataFrame, length: int = 10) -> DataFrame:
     return words.select("item_id", F.explode(runs).alias("terms"))
 
 
-def search(index: Index, phrases: DataFrame, slack: int | None = None, phrases_a_block: int = 20_000) -> DataFrame:
+def search(index: Index, phrases: DataFrame, slack: int | None = None, phrases_a_block: int = 20_000, few_terms: int = 500_000) -> DataFrame:
     """row, item_ids, spans (lo, hi) of every text that holds one of the phrases (item_id, terms).
 
     Spans are those of the hits, united where they touch within a segment, in word numbers of the text.  With ``slack``, a phrase's distinct
     terms may stand in any order within its length plus ``slack`` words (proximity); a hit then spans the least stretch about each
     place of the rarest term.  Equal phrases are searched once; phrases with a term that the corpus lacks can't be found and aren't asked.
-    Phrases meet each segment in blocks of ``phrases_a_block``, with the lists of their own terms only.
+    Phrases meet each segment in blocks of ``phrases_a_block``, with the lists of their own terms only.  Up to ``few_terms`` terms (and 16 blocks)
+    are sent to the index, so that it needn't be shuffled to be looked up; more are joined with it.
     A null item_id is no item, but its phrases hit.
     """
     slop = -1 if slack is None else slack
     distinct = phrases.groupBy("terms").agg(F.collect_set("item_id").alias("items")).where("size(terms) > 0")
-    terms = distinct.select(F.explode("terms").alias("term")).distinct()
+    terms = cut(distinct.select(F.explode("terms").alias("term")).distinct())
+    few = F.broadcast if terms.count() <= few_terms else (lambda rows: rows)
+    terms = few(terms)
     counts = index.postings.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("total"))
     placed = distinct.select("terms", "items", F.posexplode("terms").alias("offset", "term"))
     placed = placed.join(counts, "term").groupBy("terms").agg(F.first("items").alias("items"), F.sort_array(F.collect_list(F.struct("total", "offset", "term"))).alias("order"))
@@ -129,8 +132,9 @@ def search(index: Index, phrases: DataFrame, slack: int | None = None, phrases_a
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "asked": [sink.getvalue().to_pybytes()]})
 
     blobs = cut(asked.select("block", "items", "offset", "term").groupBy("block").applyInArrow(pack, "block int, asked binary"))
-    asks = index.parts.join(blobs)  # each segment with each block of phrases
-    wanted = asked.select("block", F.explode("term").alias("term")).distinct()
+    sent = F.broadcast if blocks <= 16 else (lambda rows: rows)
+    asks = index.parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(sent(blobs), "block")
+    wanted = few(cut(asked.select("block", F.explode("term").alias("term")).distinct()))
     lists = index.postings.select("segment", "term", "at").join(wanted, "term")
     overlap = index.overlap
 
