@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import months
@@ -11,6 +11,20 @@ from ..functions.classify import GROUPINGS, age_band, cents, division_label, eff
 VALID_WAGE = "sign = 1 and wage_unit = 5 and wage > 0"
 
 
+#: The grain of ``movement_counts``.
+MOVEMENT = ["municipality", "state", "grouping", "month", "file_month", "feed", "sign"]
+
+
+def movement_counts(events: DataFrame) -> DataFrame:
+    """Events counted by place, grouping, month, file, feed and sign: all that marts of flows and levels need, from one pass."""
+    return events.groupBy(*MOVEMENT).agg(F.count("*").alias("n"))
+
+
+def times(events: DataFrame) -> Column:
+    """How many events a row stands for: its column n, or one."""
+    return F.col("n") if "n" in events.columns else F.lit(1).cast("long")
+
+
 def fan_out(events: DataFrame, territories: DataFrame) -> DataFrame:
     """Each event once for its municipality and once for its state, where those are active.
 
@@ -27,41 +41,72 @@ def effects(events: DataFrame, territories: DataFrame, *more: str) -> DataFrame:
 
 
 def flagship(events: DataFrame) -> DataFrame:
-    """The municipality of most rows (the smallest of equals), one row."""
-    return events.groupBy("municipality").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "municipality").limit(1).select("municipality")
+    """The municipality of most events (the smallest of equals), one row."""
+    counts = events.groupBy("municipality").agg(F.sum(times(events)).alias("n"))
+    return counts.orderBy(F.desc("n"), "municipality").limit(1).select("municipality")
 
 
-def of_flagship(events: DataFrame) -> DataFrame:
-    return events.join(F.broadcast(flagship(events)), "municipality")
+def of_flagship(events: DataFrame, place: DataFrame | None = None) -> DataFrame:
+    return events.join(F.broadcast(flagship(events) if place is None else place), "municipality")
 
 
-def wage_summary(rows: DataFrame, *keys: str) -> DataFrame:
-    """n, median (discrete), mean, and the ratio of the mean of the top tenth to that of the lower 40 %."""
-    pct = lambda p: F.expr(f"percentile_disc({p}) within group (order by wage)")
-    cut = rows.groupBy(*keys).agg(F.count("*").alias("n"), pct(0.5).alias("median"), pct(0.4).alias("p40"), pct(0.9).alias("p90"), F.sum(cents(F.col("wage"))).alias("cents"))
-    both = rows.join(cut.select(*keys, "p40", "p90"), list(keys))
-    tails = both.groupBy(*keys).agg(F.avg(F.when(F.col("wage") >= F.col("p90"), F.col("wage"))).alias("top"), F.avg(F.when(F.col("wage") <= F.col("p40"), F.col("wage"))).alias("low"))
-    return cut.join(tails, list(keys)).select(*keys, F.col("n").alias("n_wages"), F.col("median").alias("median_wage"), rounded_mean(F.col("cents"), F.col("n")).alias("mean_wage"), F.round(F.col("top") / F.nullif(F.col("low"), F.lit(0.0)), 4).alias("palma"))
+def wage_counts(events: DataFrame) -> DataFrame:
+    """On-time hires with a valid wage counted by place, month, grouping and wage."""
+    return events.where("feed = 'MOV'").where(VALID_WAGE).groupBy("municipality", "state", "month", "grouping", "wage").agg(F.count("*").alias("n"))
 
 
-def monthly_by_grouping(events: DataFrame) -> DataFrame:
-    """On-time flows and hiring wages of the flagship municipality."""
-    mov = of_flagship(events).where("feed = 'MOV'")
-    flows = mov.groupBy("month", "grouping").agg(F.count_if(F.col("sign") == 1).alias("admissions"), F.count_if(F.col("sign") == -1).alias("separations"), F.sum("sign").alias("net"))
-    wages = wage_summary(mov.where(VALID_WAGE), "month", "grouping")
+def selected(counts: DataFrame, keys: list[str], hundredths: list[int]) -> DataFrame:
+    """The keys with p50 and the like: the least wage that so many hundredths of the rows (times n) don't exceed.
+
+    ``counts``: keys, wage, n.  Wages are counted by 64ths of an octave, running totals over those (some thousands a key at most) tell
+    in which one a rank lies, and only its own wages are run through.  No buffer and no task holds a key's wages.
+    """
+    slot = F.floor(F.log2(F.col("wage")) * 64)
+    by_slot = counts.groupBy(*keys, slot.alias("slot")).agg(F.sum("n").alias("n"))
+    up = Window.partitionBy(*keys)
+    run = by_slot.withColumn("upto", F.sum("n").over(up.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))).withColumn("total", F.sum("n").over(up))
+    ranks = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.floor((F.col("total") * p + 99) / 100).cast("long").alias("rank")) for p in hundredths]))
+    asked = run.select(*keys, "slot", "n", "upto", ranks.alias("r")).where("r.rank <= upto and r.rank > upto - n")
+    asked = asked.select(*keys, "slot", "r.p", (F.col("r.rank") - F.col("upto") + F.col("n")).alias("rank"))
+    wages = counts.withColumn("slot", slot).groupBy(*keys, "slot", "wage").agg(F.sum("n").alias("n"))
+    within = Window.partitionBy(*keys, "slot", "p").orderBy("wage").rowsBetween(Window.unboundedPreceding, 0)
+    found = wages.join(asked, [*keys, "slot"]).withColumn("upto", F.sum("n").over(within)).where("rank <= upto and rank > upto - n")
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("wage"))).alias(f"p{p}") for p in hundredths])
+
+
+def wage_summary(counts: DataFrame, *keys: str) -> DataFrame:
+    """n, median (discrete), mean, and the ratio of the mean of the top tenth to that of the lower 40 %, of wages counted in n."""
+    by = list(keys)
+    cut = selected(counts, by, [40, 50, 90])
+    own, total = F.col("wage") * F.col("n"), cents(F.col("wage")) * F.col("n")
+    tail = lambda side: (F.sum(F.when(side, own)) / F.sum(F.when(side, F.col("n"))))
+    both = counts.join(cut, by).groupBy(*by, "p50").agg(
+        F.sum("n").alias("n_wages"), F.sum(total).alias("cents"), tail(F.col("wage") >= F.col("p90")).alias("top"), tail(F.col("wage") <= F.col("p40")).alias("low")
+    )
+    palma = F.round(F.col("top") / F.nullif(F.col("low"), F.lit(0.0)), 4)
+    return both.select(*by, "n_wages", F.col("p50").alias("median_wage"), rounded_mean(F.col("cents"), F.col("n_wages")).alias("mean_wage"), palma.alias("palma"))
+
+
+def monthly_by_grouping(events: DataFrame, counts: DataFrame | None = None, place: DataFrame | None = None) -> DataFrame:
+    """On-time flows and hiring wages of the flagship municipality; out of ``wage_counts`` where those are given."""
+    place = flagship(events) if place is None else place
+    mov, n = of_flagship(events, place).where("feed = 'MOV'"), times(events)
+    side = lambda s: F.coalesce(F.sum(F.when(F.col("sign") == s, n)), F.lit(0).cast("long"))
+    flows = mov.groupBy("month", "grouping").agg(side(1).alias("admissions"), side(-1).alias("separations"), F.sum(F.col("sign") * n).alias("net"))
+    wages = wage_summary(of_flagship(wage_counts(events) if counts is None else counts, place), "month", "grouping")
     return flows.join(wages, ["month", "grouping"], "left").withColumn("n_wages", F.coalesce("n_wages", F.lit(0)))
 
 
-def reconciled(events: DataFrame, settled_after: int = 12) -> DataFrame:
+def reconciled(events: DataFrame, settled_after: int = 12, place: DataFrame | None = None) -> DataFrame:
     """On time + late - excluded by month and grouping, with provisional or consolidated status."""
-    rows = of_flagship(events)
-    part = lambda sign, feed: F.count_if((F.col("sign") == sign) & (F.col("feed") == feed))
+    rows, n = of_flagship(events, place), times(events)
+    part = lambda sign, feed: F.coalesce(F.sum(F.when((F.col("sign") == sign) & (F.col("feed") == feed), n)), F.lit(0).cast("long"))
     names = {"admissions": 1, "separations": -1}
     agg = rows.groupBy("month", "grouping").agg(*[part(s, f).alias(f"{n}_{f.lower()}") for n, s in names.items() for f in ("MOV", "FOR", "EXC")])
     last = rows.where("feed = 'MOV'").agg(F.max("month").alias("last_month"))
-    out = agg.crossJoin(F.broadcast(last))
-    for n in names:
-        out = out.withColumn(n, F.col(f"{n}_mov") + F.col(f"{n}_for") - F.col(f"{n}_exc"))
+    out = agg.crossJoin(F.broadcast(last))  # one row
+    for name in names:
+        out = out.withColumn(name, F.col(f"{name}_mov") + F.col(f"{name}_for") - F.col(f"{name}_exc"))
     out = out.withColumn("net_mov", F.col("admissions_mov") - F.col("separations_mov")).withColumn("net", F.col("admissions") - F.col("separations"))
     return out.withColumn("lag", months.distance(F.col("month"), F.col("last_month"))).withColumn("status", months.status(F.col("lag"), settled_after))
 
@@ -72,11 +117,11 @@ def reference_by_territory(reference: DataFrame, territories: DataFrame) -> Data
     return reference.withColumn("territory", keys).join(F.broadcast(active), "territory").groupBy("territory", "grouping").agg(F.sum("stock").alias("reference"))
 
 
-def stock(events: DataFrame, territories: DataFrame, reference: DataFrame, reference_month: int, first_month: int | None = None) -> DataFrame:
+def stock(events: DataFrame, territories: DataFrame, reference: DataFrame, reference_month: int, first_month: int | None = None, first_level: int | None = None) -> DataFrame:
     """Level of every territory and grouping by month: reference + flow up to the month - flow up to the reference month.
 
     The months run from the first (of all events, unless given) to the last of the on-time feed.  All six
-    groupings are present where the territory has a reference.  No reference, or one ahead of the data: null.
+    groupings are present where the territory has a reference.  No reference, one ahead of the data, or a month before ``first_level``: null.
     """
     flow = by_territory(events, territories, "grouping", "month").select("territory", "grouping", "month", "net")
     ref = reference_by_territory(reference, territories)
@@ -90,9 +135,10 @@ def stock(events: DataFrame, territories: DataFrame, reference: DataFrame, refer
     cum = dense.withColumn("cum", F.sum("net").over(run)).withColumn("cum_ref", F.sum(F.when(F.col("month") <= reference_month, F.col("net")).otherwise(0)).over(by))
     level = cum.join(F.broadcast(anchored.withColumn("anchored", F.lit(True))), "territory", "left").join(ref, ["territory", "grouping"], "left")
     known = F.col("anchored") & (F.col("hi") >= reference_month)
+    known = known & (F.col("month") >= first_level) if first_level else known
     level = level.withColumn("stock", F.when(known, F.coalesce("reference", F.lit(0)) + F.col("cum") - F.col("cum_ref")))
     before = F.lag("stock").over(by.orderBy("month"))
-    return level.select("territory", "grouping", "month", "net", "stock", (F.col("net") / F.nullif(before, F.lit(0))).alias("rate"))
+    return level.select("territory", "grouping", "month", "net", "stock", (F.col("net") / F.nullif(before, F.lit(0))).alias("rate"), F.when(F.col("anchored"), F.lit(reference_month).cast("long")).alias("reference_month"))
 
 
 def stock_region(levels: DataFrame, territories: DataFrame) -> DataFrame:
@@ -110,9 +156,9 @@ def by_territory(events: DataFrame, territories: DataFrame, *keys: str) -> DataF
 
     Events are summed by municipality first, so what is fanned out to municipalities and states are the sums.
     """
-    weight = F.when(F.col("feed") == "EXC", -1).otherwise(1)
+    weight = F.when(F.col("feed") == "EXC", -times(events)).otherwise(times(events))
     side = lambda s, name: F.coalesce(F.sum(F.when(F.col("sign") == s, weight)), F.lit(0)).alias(name)
-    net = F.sum(effect(F.col("feed"), F.col("sign"))).alias("net")
+    net = F.sum(effect(F.col("feed"), F.col("sign")) * times(events)).alias("net")
     sums = events.groupBy("municipality", "state", *keys).agg(side(1, "admissions"), side(-1, "separations"), net)
     return fan_out(sums, territories).groupBy("territory", *keys).agg(*[F.sum(c).alias(c) for c in ("admissions", "separations", "net")])
 
@@ -134,18 +180,24 @@ def profile(events: DataFrame, territories: DataFrame) -> DataFrame:
     return by_territory(rows, territories, "month", "dimension", "category")
 
 
-def hiring_wage(events: DataFrame, territories: DataFrame) -> DataFrame:
-    """Median and mean hiring wage by territory and month, on-time records."""
-    rows = fan_out(events.where("feed = 'MOV'").where(VALID_WAGE), territories)
-    pct = F.expr("percentile_disc(0.5) within group (order by wage)")
-    agg = rows.groupBy("territory", "month").agg(F.count("*").alias("n_wages"), pct.alias("median_wage"), F.sum(cents(F.col("wage"))).alias("cents"))
-    return agg.select("territory", "month", "n_wages", "median_wage", rounded_mean(F.col("cents"), F.col("n_wages")).alias("mean_wage"))
+def hiring_wage(counts: DataFrame, territories: DataFrame) -> DataFrame:
+    """Median and mean hiring wage by territory and month, from ``wage_counts``: what is fanned out are counts of wages."""
+    by_wage = counts.groupBy("municipality", "state", "month", "wage").agg(F.sum("n").alias("n"))
+    rows = fan_out(by_wage, territories).groupBy("territory", "month", "wage").agg(F.sum("n").alias("n"))
+    return wage_summary(rows, "territory", "month").drop("palma")
 
 
-def anchor_adjustment(events: DataFrame, territories: DataFrame, anchor: int, known_until: int) -> DataFrame:
-    """Corrections to months up to the anchor that came in files after the cut-off."""
-    late = effects(events.where("feed <> 'MOV'").where((F.col("month") <= anchor) & (F.col("file_month") > known_until)), territories)
-    return late.groupBy("territory", "grouping").agg(F.count("*").alias("rows"), F.sum("effect").alias("adjustment"), F.min("file_month").alias("first_file"), F.max("file_month").alias("last_file"))
+def anchor_adjustment(events: DataFrame, territories: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Corrections to months up to each territory's own anchor that came in files after its own cut-off.
+
+    ``anchors``: territory, anchor_month, known_until.  Events are summed by place, month and file first; the join hashes on the territory, and
+    the two ranges are tested on what meets.
+    """
+    late = events.where("feed <> 'MOV'")
+    sums = late.groupBy("municipality", "state", "grouping", "month", "file_month").agg(F.sum(times(late)).alias("rows"), F.sum(effect(F.col("feed"), F.col("sign")) * times(late)).alias("effect"))
+    met = fan_out(sums, territories).join(anchors.select("territory", "anchor_month", "known_until").distinct(), "territory")
+    met = met.where("month <= anchor_month and file_month > known_until")
+    return met.groupBy("territory", "grouping").agg(F.sum("rows").alias("rows"), F.sum("effect").alias("adjustment"), F.min("file_month").alias("first_file"), F.max("file_month").alias("last_file"))
 
 
 def report_table(rec: DataFrame, monthly: DataFrame, levels: DataFrame) -> DataFrame:
@@ -166,6 +218,24 @@ def report_table(rec: DataFrame, monthly: DataFrame, levels: DataFrame) -> DataF
     return out.unionByName(total, allowMissingColumns=True)
 
 
+def report_series(report: DataFrame, points: int = 12) -> DataFrame:
+    """month and series: the ``points`` last months up to each month (those there are), oldest first, with admissions, separations, net and level.
+
+    One row a month holds at most ``points`` entries, so the history that is gathered is bounded.
+    """
+    total = report.where("grouping = 'TOTAL'").select("month", "admissions", "separations", "net", "stock")
+    past = Window.partitionBy(F.lit(0)).orderBy("month").rowsBetween(1 - points, 0)  # a row a month
+    return total.select("month", F.collect_list(F.struct("month", "admissions", "separations", "net", "stock")).over(past).alias("series"))
+
+
+def report_source(reconciled_rows: DataFrame | None, monthly: DataFrame) -> DataFrame:
+    """month, grouping, admissions, separations, net, source: the reconciled mart where there is one with rows, else on-time counts alone."""
+    columns = ["month", "grouping", "admissions", "separations", "net"]
+    if reconciled_rows is not None and not reconciled_rows.isEmpty():
+        return reconciled_rows.select(*columns, F.lit("reconciled").alias("source"))
+    return monthly.select(*columns, F.lit("on time").alias("source"))
+
+
 def report_summary(report: DataFrame, rec: DataFrame) -> DataFrame:
     """Totals of each month beside the month before and the year before; null where there is none."""
     total = report.where("grouping = 'TOTAL'").select("month", "admissions", "separations", "net", "stock", "rate")

@@ -14,7 +14,7 @@ from ..operators import marts as M
 from ..operators import text_and_audit as A
 from ..sources import tables as T
 from ..sources.store import built
-from .marts import events, flagship_levels, flow, levels, monthly, profile, reconciled, region, report, wages
+from .marts import adjustment, events, flagship, flow, levels, monthly, movements, profile, reconciled, region, report, wages
 from .sql import sql
 
 GRAIN = ["territory", "grouping", "month"]
@@ -114,8 +114,8 @@ QUERIES = {
     "dq_stock_coherent": lambda s, d: C.stock_coherent(levels(s, d)),
     "dq_reconciled_coherent": lambda s, d: C.same_net(reconciled(s, d).select("month", "grouping", F.col("net_mov").alias("net")), monthly(s, d), ["month", "grouping"], ["net"]),
     "dq_net_coherent": lambda s, d: monthly(s, d).where("net <> admissions - separations").select("month", "grouping", "net"),
-    "dq_late_files_continuity": lambda s, d: C.missing_months(ev(s, d).where("feed <> 'MOV'").select("feed", "file_month"), "feed", "file_month"),
-    "dq_month_continuity": lambda s, d: C.missing_months(ev(s, d).where("feed = 'MOV'").select("municipality", "month"), "municipality", "month"),
+    "dq_late_files_continuity": lambda s, d: C.missing_months(movements(s, d).where("feed <> 'MOV'").select("feed", "file_month"), "feed", "file_month"),
+    "dq_month_continuity": lambda s, d: C.missing_months(movements(s, d).where("feed = 'MOV'").select("municipality", "month"), "municipality", "month"),
     "dq_stock_matches_reference": lambda s, d: C.stock_matches_reference(levels(s, d), M.reference_by_territory(T.reference_stock(s, d), T.territories(s, d)), T.REFERENCE_MONTH),
     "dq_unidentified_negative": lambda s, d: C.negative(levels(s, d), True),
     "dq_stock_non_negative": lambda s, d: C.negative(levels(s, d), False),
@@ -123,20 +123,20 @@ QUERIES = {
     "dq_exclusion_sign": lambda s, d: C.exclusion_sign(ev(s, d)),
     "dq_wage_range": lambda s, d: C.wage_range(wages(s, d)),
     "dq_flow_matches_stock": lambda s, d: C.same_net(flow(s, d), levels(s, d), GRAIN, ["net"]),
-    "dq_flow_matches_reconciled": lambda s, d: C.same_net(flow(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), reconciled(s, d), ["month", "grouping"], ["admissions", "separations"]),
+    "dq_flow_matches_reconciled": lambda s, d: C.same_net(flow(s, d).join(F.broadcast(flagship(s, d).select(F.col("municipality").cast("string").alias("territory"))), "territory"), reconciled(s, d), ["month", "grouping"], ["admissions", "separations"]),
     "dq_mean_vs_median": lambda s, d: C.mean_vs_median(monthly(s, d)),
     "dq_profile_matches_flow": lambda s, d: C.same_by(profile(s, d), "dimension", ["sex", "age"], flow(s, d), ["territory", "month"], ["admissions", "separations"]),
     "dq_region_members_active": lambda s, d: T.territories(s, d).where("region is not null and not active").select("territory", "region"),
-    "dq_wage_base_matches": lambda s, d: C.same_net(monthly(s, d), wages(s, d).join(F.broadcast(M.flagship(ev(s, d)).select(F.col("municipality").cast("string").alias("territory"))), "territory"), ["month"], ["n_wages"]),
+    "dq_wage_base_matches": lambda s, d: C.same_net(monthly(s, d), wages(s, d).join(F.broadcast(flagship(s, d).select(F.col("municipality").cast("string").alias("territory"))), "territory"), ["month"], ["n_wages"]),
     "dq_individual_wage": lambda s, d: ev(s, d).where(M.VALID_WAGE).where("wage > 50000").select("municipality", "month", "wage"),
     "dq_territory_without_reference": lambda s, d: T.territories(s, d).where("active").join(M.reference_by_territory(T.reference_stock(s, d), T.territories(s, d)), "territory", "left_anti").select("territory"),
     "dq_grain_stock": lambda s, d: C.repeated(levels(s, d), *GRAIN),
     "dq_grain_marts": lambda s, d: C.repeated_in({"flow": (flow(s, d), ["territory", "month", "grouping", "subgrouping", "division"]), "profile": (profile(s, d), ["territory", "month", "dimension", "category"]), "region": (region(s, d), ["region", "grouping", "month"]), "wage": (wages(s, d), ["territory", "month"])}),
     "dq_grain_monthly": lambda s, d: C.repeated(monthly(s, d), "month", "grouping"),
-    "dq_anchor_adjustment": lambda s, d: M.anchor_adjustment(ev(s, d), T.territories(s, d), 199912, 200006).where("adjustment <> 0").select("territory", "grouping", "adjustment"),
+    "dq_anchor_adjustment": lambda s, d: adjustment(s, d).where("adjustment <> 0").select("territory", "grouping", "adjustment"),
     "dq_generic": generic,
-    "dq_volume_anomaly": lambda s, d: C.volume_anomaly(ev(s, d).where("feed = 'MOV'").groupBy("municipality", "month").agg(F.count("*").alias("n")), "municipality"),
-    "dq_freshness": lambda s, d: ev(s, d).where("feed = 'MOV'").groupBy("municipality").agg(F.max("month").alias("month")).withColumn("days", F.datediff(F.lit("2002-01-31").cast("date"), months.month_end(F.col("month"))).cast("long")).where("days > 60"),
+    "dq_volume_anomaly": lambda s, d: C.volume_anomaly(movements(s, d).where("feed = 'MOV'").groupBy("municipality", "month").agg(F.sum("n").alias("n")), "municipality"),
+    "dq_freshness": lambda s, d: movements(s, d).where("feed = 'MOV'").groupBy("municipality").agg(F.max("month").alias("month")).withColumn("days", F.datediff(F.lit("2002-01-31").cast("date"), months.month_end(F.col("month"))).cast("long")).where("days > 60"),
     "dq_summary": dq_summary,
     "fact_panorama": lambda s, d: X.panorama(total(s, d)),
     "fact_decomposition": lambda s, d: X.decomposition(total(s, d)),

@@ -15,21 +15,21 @@ from ..operators import text_and_audit as A
 from ..sources import feeds
 from ..sources import tables as T
 from . import analyses as Q
-from .marts import ANCHOR, KNOWN_UNTIL, events, levels, report
+from .marts import KNOWN_UNTIL, levels, movements, report
 from .sql import sql
 
 PANEL_MONTHS, PANEL_UNTIL = (200006, 200012, 200106), 200106
 
 
 def anchors(s, d):
-    """The reference stock read as anchors of the end of ANCHOR."""
+    """The reference stock read as anchors of the end of 1999."""
     rows = M.reference_by_territory(T.reference_stock(s, d), T.territories(s, d))
     return K.anchor_stock(rows.select("territory", "grouping", F.col("reference").cast("string").alias("stock"), F.lit("1999-12-31").alias("reference_date"), F.lit(str(KNOWN_UNTIL)).alias("known_until"), F.lit("reference").alias("source"), F.concat(F.lit("anchors/"), "territory", F.lit(".csv")).alias("file_name")))
 
 
 def snapshots(s, d):
     panel = anchors(s, d).select("territory", "grouping", F.explode(F.array(*[F.lit(m).cast("long") for m in PANEL_MONTHS])).alias("month"), F.col("stock").alias("panel_stock"), F.lit(PANEL_UNTIL).cast("long").alias("panel_known_until"))
-    return K.snapshot_difference(panel, anchors(s, d), M.effects(events(s, d), T.territories(s, d)))
+    return K.snapshot_difference(panel, anchors(s, d), M.effects(movements(s, d), T.territories(s, d), "n").withColumn("effect", F.col("effect") * F.col("n")))
 
 
 def season_of_total(s, d):
@@ -75,7 +75,7 @@ def fact_values(s, d):
 
 def registry(s, d):
     """The registry after two loads: all files but those of the last month, then those of the last six months again."""
-    rows = feeds.registry_rows(events(s, d)).withColumn("load", F.lit(1))
+    rows = movements(s, d).groupBy("feed", "file_month").agg(F.sum("n").alias("rows")).withColumn("load", F.lit(1))
     first = rows.where(F.col("file_month") < T.LAST_MONTH)
     return feeds.upsert(first, rows.where(F.col("file_month") > T.LAST_MONTH - 6).withColumn("load", F.lit(2)), "feed", "file_month")
 

@@ -11,7 +11,7 @@ from ..sources import feeds
 from ..sources import tables as T
 from ..sources.store import shared_dir
 from . import analyses as Q
-from .marts import events, levels
+from .marts import levels, movements
 from .sql import sql
 
 STATE = "12"
@@ -30,7 +30,7 @@ def scan_reference_stock(s, d):
 
 def scan_panel(s, d):
     path = folder(s, "panel")
-    rows = levels(s, d).where("month % 100 = 12").select(F.col("territory").alias("\ufeffterritory"), "grouping", F.col("month").cast("string").alias("month"), F.col("stock").cast("string").alias("stock"))
+    rows = levels(s, d).select(F.col("territory").alias("\ufeffterritory"), "grouping", F.col("month").cast("string").alias("month"), F.col("stock").cast("string").alias("stock"))
     rows.repartition(4, "grouping").write.option("sep", ";").option("header", True).option("emptyValue", "").option("nullValue", "").csv(path)
     return feeds.panel_scan(s, path).select("territory", "grouping", "month", "stock", (F.length("file_name") > 0).alias("from_file"))
 
@@ -67,7 +67,7 @@ def replaced_reference(s, d):
 
 
 def pending_files(s, d):
-    files = events(s, d).select("feed", "file_month").distinct()
+    files = movements(s, d).select("feed", "file_month").distinct()
     return feeds.pending(files, files.where("file_month < 200101"), files.where("feed = 'MOV' and file_month < 200107"), redo=[200012])
 
 
@@ -75,7 +75,7 @@ QUERIES = {f.__name__: f for f in (scan_reference_stock, scan_panel, scan_ledger
 
 SQL = {
     "scan_reference_stock": sql(f"""select municipality, section, "grouping", stock from refm where state='{STATE}'"""),
-    "scan_panel": sql("""select territory, "grouping", month, stock, true as from_file from level where month%100=12"""),
+    "scan_panel": sql("""select territory, "grouping", month, stock, true as from_file from level"""),
     "scan_ledger": "select user_id as run, event_id as entry, case event_type when 'signup' then 'reserve' when 'purchase' then 'call' else 'close' end as kind, cast(round(value*100) as bigint) as cents from events where event_type in ('signup','purchase','error')",
     "scan_indicator": "select cast(c_nationkey as varchar) as town, cast(year(o_orderdate)*100+month(o_orderdate) as bigint) as month, count(*) as n from orders join customer on c_custkey=o_custkey group by 1,2",
     "export_levels": sql("""select territory, month, "grouping", net, stock from level union all select territory, month, 'TOTAL', cast(sum(net) as bigint), case when count(stock)=count(*) then cast(sum(stock) as bigint) end from level group by 1,2"""),

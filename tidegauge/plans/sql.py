@@ -47,7 +47,10 @@ RELATIONS = {
  from cells c cross join spine s left join fl f on f.territory=c.territory and f."grouping"=c."grouping" and f.month=s.month""",
     "level": """select w.territory, w."grouping", w.month, w.net, case when w.territory in (select territory from ref) and (select max(month) from spine)>=200012 then cast(coalesce(r.reference,0)+cum-cref as bigint) end stock
  from walk w left join ref r on r.territory=w.territory and r."grouping"=w."grouping" """,
-    "stock": """select *, net/nullif(lag(stock) over (partition by territory, "grouping" order by month),0) rate from level""",
+    "stock": """select *, net/nullif(lag(stock) over (partition by territory, "grouping" order by month),0) rate, case when territory in (select territory from ref) then cast(200012 as bigint) end reference_month from level""",
+    "stock_from": """select territory, "grouping", month, net, stock, net/nullif(lag(stock) over (partition by territory, "grouping" order by month),0) rate, case when territory in (select territory from ref) then cast(200012 as bigint) end reference_month
+ from (select territory, "grouping", month, net, case when month>=199901 then stock end stock from level)""",
+    "own": """select territory, case when length(territory)>2 and cast(territory as bigint)%2=0 then 200012 else 199912 end anchor_month, case when length(territory)>2 and cast(territory as bigint)%2=0 then 200106 else 200006 end known_until from terr""",
     "member": "select region, territory from terr where active and region is not null",
     "regional": """select region, "grouping", month, case when count(net)=max(m) then cast(sum(net) as bigint) end net, case when count(stock)=max(m) then cast(sum(stock) as bigint) end stock
  from level join member using (territory) join (select region, count(*) m from member group by 1) using (region) group by 1,2,3""",
@@ -101,6 +104,12 @@ SQL = {
     "profile": sql("select * from profile"),
     "hiring_wage": sql("select * from wage"),
     "anchor_adjustment": sql("select * from adjustment"),
+    "anchor_adjustment_own": sql("""select f.territory, f."grouping", count(*) as rows, cast(sum(effect) as bigint) adjustment, min(file_month) first_file, max(file_month) last_file
+ from fan f join own o on o.territory=f.territory where feed<>'MOV' and f.month<=o.anchor_month and file_month>o.known_until group by 1,2"""),
+    "report_series": sql("""select a.month, cast(row_number() over (partition by a.month order by b.month)-1 as int) place, b.month as at, b.admissions, b.separations, b.net, b.stock
+ from (select *, row_number() over (order by month) k from total) a join (select *, row_number() over (order by month) k from total) b on b.k between a.k-11 and a.k"""),
+    "report_source": sql("""select month, "grouping", admissions, separations, net, 'reconciled' as source, true has_mart from rec union all select month, "grouping", admissions, separations, net, 'on time', false from monthly"""),
+    "stock_from": sql("select * from stock_from"),
     "report_table": sql("select * from report"),
     "report_summary": sql("select * from summary"),
 }
