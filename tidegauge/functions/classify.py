@@ -96,9 +96,3 @@ def check_digit(code6: Column) -> Column:
         p = d * (1 + i % 2)
         total = total + F.when(p > 9, p - 9).otherwise(p)
     return (code6 * 10 + (10 - total % 10) % 10).cast("long")
-
-
-def folded(name: Column) -> Column:
-    """Key of a name: without accents, lower case, runs of other signs as one underscore."""
-    plain = F.translate(F.lower(name), "áàâãäéèêëíìîïóòôõöúùûüçñ", "aaaaaeeeeiiiiooooouuuucn")
-    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", "_"), F.lit("_"))

@@ -122,8 +122,9 @@ def residual(rows: DataFrame, total: str, named: list[str]) -> DataFrame:
     return wide.select("month", rest.alias("residual"))
 
 
-def yearly_growth(rows: DataFrame) -> DataFrame:
-    """territory, month: count and value in cents with their growth over twelve months."""
-    past = rows.select("territory", months.shift(F.col("month"), 12).alias("month"), F.col("n").alias("n_before"), F.col("cents").alias("cents_before"))
-    out = rows.join(past, ["territory", "month"])
-    return out.select("territory", "month", "n", "cents", percent(F.col("n") - F.col("n_before"), F.col("n_before")).alias("growth_n"), percent(F.col("cents") - F.col("cents_before"), F.col("cents_before")).alias("growth_value"))
+def yearly_growth(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys (territory), month: count and value in cents with their growth over twelve months."""
+    by = list(keys or ("territory",))
+    past = rows.select(*by, months.shift(F.col("month"), 12).alias("month"), F.col("n").alias("n_before"), F.col("cents").alias("cents_before"))
+    growth = lambda c: percent(F.col(c) - F.col(f"{c}_before"), F.col(f"{c}_before"))
+    return rows.join(past, [*by, "month"]).select(*by, "month", "n", "cents", growth("n").alias("growth_n"), growth("cents").alias("growth_value"))

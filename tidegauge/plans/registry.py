@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analyses, editions, files, marts, sql
+from . import analyses, editions, files, marts, places, sql
 
-QUERIES = marts.QUERIES | analyses.QUERIES | editions.QUERIES | files.QUERIES
-SQL = sql.SQL | analyses.SQL | editions.SQL | files.SQL
+QUERIES = marts.QUERIES | analyses.QUERIES | editions.QUERIES | files.QUERIES | places.QUERIES
+SQL = sql.SQL | analyses.SQL | editions.SQL | files.SQL | places.SQL
