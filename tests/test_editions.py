@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidegauge.operators import anchor, editions, text_and_audit
+from tidegauge.operators import anchor, editions, grounding, text_and_audit
 
 
 def test_thousands_keep_years(spark):
@@ -15,18 +15,18 @@ def test_thousands_keep_years(spark):
 def test_numbers_of_a_text(spark):
     text = "F19 caiu 12,5 e 1.234 mil (−3) de 2020-2025; 7mil, 1.2345, CNAE 82, 18 anos a 24 anos: 40."
     docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
-    got = [(r["token"], r["value"], r["thousands"]) for r in text_and_audit.numbers(docs, ["18 a 24"]).orderBy("place").collect()]
+    got = [(r["token"], r["value"], r["thousands"]) for r in grounding.numbers(docs, ["18 a 24"]).orderBy("place").collect()]
     assert got == [("12,5", 12.5, False), ("1.234", 1234.0, True), ("−3", -3.0, False), ("2020", 2020.0, False), ("2025", 2025.0, False), ("1", 1.0, False), ("82", 82.0, False), ("40", 40.0, False)]
     facts = spark.createDataFrame([(82,), (1234049,)], "value long")
-    left = {r["token"] for r in text_and_audit.ungrounded(text_and_audit.numbers(docs, ["18 a 24"]), facts).collect()}
+    left = {r["token"] for r in text_and_audit.ungrounded_counts(grounding.numbers(docs, ["18 a 24"]), facts).collect()}
     assert left == {"12,5", "40"}
 
 
 def test_style_and_identity(spark):
     texts = ["Cabe destacar o cenário – alta de 5% e 5,12% e 1,5 %, saldo de -83 (−4) em 2020-2025", "ACME S.A. e Beta LTDA, CNPJ; MEI, ME.", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {(r["doc_id"], r["rule"], r["n"]) for r in text_and_audit.style(docs).collect()} == {(0, "dash", 1), (0, "phrase", 2), (0, "percent", 2), (0, "minus", 2)}
-    assert [(r["place"], r["found"]) for r in text_and_audit.identity(docs).orderBy("place").collect()] == [(0, "S.A."), (1, "LTDA"), (2, "CNPJ"), (3, "ME")]
+    assert {(r["doc_id"], r["rule"], r["n"]) for r in grounding.style(docs).collect()} == {(0, "dash", 1), (0, "phrase", 2), (0, "percent", 2), (0, "minus", 2)}
+    assert [(r["place"], r["found"]) for r in grounding.identity(docs).orderBy("place").collect()] == [(0, "S.A."), (1, "LTDA"), (2, "CNPJ"), (3, "ME")]
 
 
 def test_content_states(spark):

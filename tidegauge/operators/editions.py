@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import months
 from ..functions.classify import UNIDENTIFIED
-from .text_and_audit import counts_said, free
+from .grounding import free
+from .text_and_audit import counts_said
 
 CREDIT_SENSITIVE = ("Construção", "Comércio")
 OUT = ("above", "below")
@@ -110,17 +111,6 @@ def conditional_rate(series: DataFrame, notable: DataFrame, sensitive: tuple[str
     return span.groupBy("territory", "month").agg(F.min_by("first", "at").alias("year_before"), F.max_by("last", "at").alias("month_end"))
 
 
-def renderings(facts: DataFrame) -> DataFrame:
-    """id, value, thousands: the ways in which a fact (id, value, unit) may be written, by unit; halves round away from zero."""
-    v = F.abs(F.col("value").cast("decimal(24,6)"))
-    forms = lambda thousands, *xs: [F.struct(x.cast("decimal(24,6)").alias("value"), F.lit(thousands).alias("thousands")) for x in xs]
-    percent = F.array(*forms(False, F.round(v, 0), F.round(v, 1), F.round(v, 2)))
-    money = F.array(*forms(False, F.round(v, 2), F.round(v, 0)))
-    count = F.array(*forms(False, v), *forms(True, F.round(v / 1000, 1), F.round(v / 1000, 0)))
-    ways = F.when(F.col("unit").isin("percent", "points", "millions"), percent).when(F.col("unit") == "money", money).otherwise(count)
-    return facts.where("value is not null").select("id", F.explode(F.array_distinct(ways)).alias("w")).select("id", F.col("w.value").cast("double").alias("value"), "w.thousands")
-
-
 def table_only(tokens: DataFrame, facts: DataFrame, in_text: DataFrame) -> DataFrame:
     """Number tokens that some fact explains, but none of those that running text may use."""
     asked = tokens.withColumn("value", F.abs("value"))

@@ -1,46 +1,13 @@
-"""Numbers in text, calibration of thresholds, external comparisons, ledgers and indicators."""
+"""Counts in text, calibration of thresholds, external comparisons, ledgers and indicators."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import months
 from ..functions.classify import percent
-
-WORD = r"[\p{L}\p{N}_]"
-NUMBER = rf"(?<![\p{{L}}\p{{N}}_.,])([−-]?(?:[0-9]{{1,3}}(?:\.[0-9]{{3}})+|[0-9]+)(?:,[0-9]+)?)(?!{WORD})(\s+[Mm][Ii][Ll](?!{WORD}))?"
-PERCENT = r"(?<![\p{L}\p{N}_.,])[−-]?[0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]+)?\s?%"
-PERCENT_2 = PERCENT.replace("(?:,[0-9]+)?", ",[0-9]{2}")
-# Marks of a company's identity, and the phrases that the style rules name.
-IDENTITY = r"\b(?:LTDA|Ltda|S\.A\.|S/A|EIRELI|CNPJ|ME\b|EPP\b)"
-PHRASES = ["vale ressaltar", "vale destacar", "cabe destacar", "cabe ressaltar", "é importante notar", "é importante destacar", "no tocante", "destaca-se", "destacando-se", "evidenciando", "evidencia-se", "cenário", "impulsionad", "robust", "desafiador", "em suma", "nesse sentido", "vale notar", "sublinha", "ressalta-se"]
-STYLE = {"dash": "[—–]", "phrase": "|".join(PHRASES), "relative_month": "mesmo mês do ano anterior", "minus": r"(?:^|[\s(\[:;])[−-]\s?[0-9]", "caveat": "provisóri"}
-
-
-def label_pattern(labels: list[str]) -> str:
-    """A pattern of labels that hold digits, each number perhaps followed by "anos"."""
-    one = lambda label: r"\s+".join(w + (r"(?:\s+anos)?" if w.isdigit() else "") for w in label.split())
-    return "(?i)" + "|".join(one(x) for x in labels if any(c.isdigit() for c in x))
-
-
-def numbers(docs: DataFrame, labels: list[str] = ()) -> DataFrame:
-    """doc_id, place, token, value and thousands of each number token.
-
-    Dots part thousands, a comma the decimals, a sign may be typographic; digits that touch a letter, or follow a dot or comma,
-    are no token.  ``thousands``: "mil" follows.  ``labels`` (of age bands) are taken out first.
-    """
-    text = F.regexp_replace("text", label_pattern(labels), "‹›") if labels else F.col("text")
-    group = lambda k: F.regexp_extract_all("text", F.lit(NUMBER), F.lit(k))
-    found = docs.select("doc_id", text.alias("text")).select("doc_id", F.posexplode(F.arrays_zip(group(1).alias("token"), group(2).alias("mil"))).alias("place", "t"))
-    plain = F.translate(F.replace(F.col("t.token"), F.lit("."), F.lit("")), ",−", ".-")
-    return found.select("doc_id", "place", "t.token", plain.try_cast("double").alias("value"), (F.col("t.mil") != "").alias("thousands"))
-
-
-def free(value: Column) -> Column:
-    """Numbers that are no data: 1 to 12 and the years 2019 to 2035."""
-    return (value == F.floor(value)) & (value.between(1, 12) | value.between(2019, 2035))
-
+from .grounding import free
 
 def counts_said(facts: DataFrame) -> DataFrame:
     """value, thousands: a count as it is, and in thousands with one decimal or none (halves up)."""
@@ -51,29 +18,12 @@ def counts_said(facts: DataFrame) -> DataFrame:
     return both.union(exact).distinct()
 
 
-def ungrounded(tokens: DataFrame, facts: DataFrame) -> DataFrame:
+def ungrounded_counts(tokens: DataFrame, facts: DataFrame) -> DataFrame:
     """Number tokens that no fact explains, before "mil" by its value in thousands; 1 to 12 and years are free."""
     asked = tokens.withColumn("value", F.abs("value"))
     return asked.where(F.col("thousands") | ~free(F.col("value"))).join(counts_said(facts), ["value", "thousands"], "left_anti")
 
 
-def style(docs: DataFrame) -> DataFrame:
-    """doc_id, rule, n of each style rule that a text breaks.
-
-    A dash, a stock phrase, a percentage without exactly two decimals, "same month of the year before", a minus sign before a number
-    (a range has none), and a repeated caveat.
-    """
-    low = F.lower("text")
-    counts = {rule: F.regexp_count(F.col("text") if rule == "dash" else low, F.lit(p)) for rule, p in STYLE.items()}
-    counts["percent"] = F.regexp_count("text", F.lit(PERCENT)) - F.regexp_count("text", F.lit(PERCENT_2))
-    return docs.select("doc_id", *[c.cast("long").alias(r) for r, c in counts.items()]).unpivot(["doc_id"], list(counts), "rule", "n").where("n > 0")
-
-
-def identity(docs: DataFrame) -> DataFrame:
-    """doc_id, place, found: every mark of a company's identity."""
-    return docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(IDENTITY), F.lit(0))).alias("place", "found"))
-
-
 def sweep(scored: DataFrame, miss: int = 3) -> DataFrame:
     """Each threshold's errors and cost over (truth, p); ``best`` marks the middle of the cheapest."""
     t = scored.select("truth", "p", F.explode(F.transform(F.sequence(F.lit(1), F.lit(9)), lambda k: k / 10.0)).alias("threshold"))

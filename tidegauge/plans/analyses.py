@@ -10,6 +10,7 @@ from ..functions.classify import cents, check_digit
 from ..operators import checks as C
 from ..operators import facts as X
 from ..operators import forecast as P
+from ..operators import grounding as G
 from ..operators import marts as M
 from ..operators import text_and_audit as A
 from ..sources import tables as T
@@ -168,10 +169,10 @@ QUERIES = {
     "ind_yoy": yearly,
     "ind_relative": relative,
     "code_check_digit": lambda s, d: T.territories(s, d).where("kind = 'municipality'").select("territory", check_digit(F.col("territory").cast("long")).alias("code7")),
-    "text_numbers": lambda s, d: A.numbers(T.table(s, d, "documents")),
-    "ungrounded_numbers": lambda s, d: A.ungrounded(A.numbers(T.table(s, d, "documents")), text_facts(s, d)).select("doc_id", "place", "token"),
-    "identification_flags": lambda s, d: A.identity(T.table(s, d, "documents")),
-    "style_flags": lambda s, d: A.style(T.table(s, d, "documents")),
+    "text_numbers": lambda s, d: G.numbers(T.table(s, d, "documents")),
+    "ungrounded_numbers": lambda s, d: A.ungrounded_counts(G.numbers(T.table(s, d, "documents")), text_facts(s, d)).select("doc_id", "place", "token"),
+    "identification_flags": lambda s, d: G.identity(T.table(s, d, "documents")),
+    "style_flags": lambda s, d: G.style(T.table(s, d, "documents")),
     "threshold_sweep": lambda s, d: A.sweep(scored(s, d)),
     "reliability_bins": lambda s, d: A.reliability(scored(s, d)),
     "ledger_run_cost": lambda s, d: A.ledger_runs(entries(s, d)).select("run", "calls", "cost"),
@@ -182,10 +183,18 @@ QUERIES = {
     "event_windows": lambda s, d: T.table(s, d, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(cents(F.col("value"))).alias("cents")).select(F.col("w.start").alias("day"), "event_type", "n", "cents"),
 }
 
-# This SQL has no look-around, so signs between words are doubled and one of each is taken into the match.
-_PARTED = r"select doc_id, text, regexp_replace(text, '([^\pL\pN_.,])', '\1\1', 'g') x from documents"
-_NUMBER = r"(?:^|[^\pL\pN_.,])([−-]?(?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+)(?:,[0-9]+)?)(?:([[:space:]]+(?i:mil))(?:[^\pL\pN_]|$)|[^\pL\pN_]|$)"
-_PERCENT = r"(?:^|[^\pL\pN_.,])[−-]?[0-9]{{1,3}}(?:\.[0-9]{{3}})*{}(?:[[:space:]][[:space:]])?%"
+#: Runs of a text and the gaps about them, a row a run that begins with a digit, and its fields (what dots part).
+_RUNS = """select doc_id, i, r[i] run, g[i] before, g[i+1] as after, r[i+1] nxt, string_split(r[i],'.') f from (select doc_id, regexp_extract_all(text, '[\\pL\\pN_.,]+') r, string_split_regex(text, '[\\pL\\pN_.,]+') g from documents), unnest(range(1, len(r)+1)) t(i)"""
+
+
+def _figures(runs: str) -> str:
+    """Judged runs: body (digits with dots), decimals, rest, whether it is in groups of three."""
+    full = f"select *, coalesce(list_min(list_filter(range(2, len(f)+1), lambda j: not regexp_full_match(f[j], '[0-9]{{3}}'))), len(f)+1)-2 k from ({runs}) where regexp_matches(run, '^[0-9]')"
+    groups = f"select *, case when regexp_full_match(f[1], '[0-9]{{1,3}}') then k+case when regexp_matches(coalesce(f[k+2],''), '^[0-9]{{3}},') then 1 else 0 end else 0 end gr from ({full})"
+    body = f"select *, case when gr>0 then f[1]||'.'||array_to_string(list_transform(f[2:gr+1], lambda x: x[1:3]), '.') else regexp_extract(run, '^[0-9]+') end body from ({groups})"
+    tail = f"select *, substr(run, length(body)+1) tail from ({body})"
+    dec = f"select *, case when substr(tail, length(regexp_extract(tail,'^,[0-9]+'))+1, 1) in ('','.',',') then regexp_extract(tail,'^,[0-9]+') else '' end decimals from ({tail})"
+    return f"select *, substr(tail, length(decimals)+1) rest from ({dec}) where substr(tail, length(decimals)+1, 1) in ('','.',',')"
 
 
 def _pct(x: str, y: str) -> str:
@@ -221,8 +230,8 @@ TOTALS = {
     "led": "select user_id run, case event_type when 'signup' then 'reserve' when 'purchase' then 'call' when 'error' then 'close' end kind, ts, event_id, cast(round(value*100) as bigint) cents from events where event_type in ('signup','purchase','error')",
     "runs_": """select run, count(*) filter (kind='call') calls, cast(coalesce(sum(cents) filter (kind='call'),0) as bigint) as cost, coalesce(max_by(cents, row(ts, event_id)) filter (kind='reserve'),0) reserve, bool_or(kind='close') closed from led group by 1""",
     "facts": "select cast(o_orderkey as double) v from orders",
-    "num": rf"""select doc_id, place, token, mil, abs(try_cast(replace(replace(replace(token,'.',''),',','.'),'−','-') as double)) v, try_cast(replace(replace(replace(token,'.',''),',','.'),'−','-') as double) as value from (
- select doc_id, cast(unnest(range(len(t))) as int) place, unnest(t) token, coalesce(unnest(k),'')<>'' mil from (select doc_id, regexp_extract_all(x, '{_NUMBER}', 1) t, regexp_extract_all(x, '{_NUMBER}', 2) k from ({_PARTED})))""",
+    "num": f"""select doc_id, cast(row_number() over (partition by doc_id order by i)-1 as int) place, token, mil, abs(value) v, value from (select *, try_cast(replace(replace(replace(token,'.',''),',','.'),'−','-') as double) as value from (
+ select doc_id, i, case when right(before,1) in ('-','−') and (i=1 or length(before)>1) then right(before,1) else '' end||body||decimals token, rest='' and regexp_full_match(after,'[[:space:]]+') and coalesce(regexp_replace(lower(nxt),'[.,].*$','')='mil',false) mil from ({_figures(_RUNS)})))""",
     "said": "select abs(v) v, false mil from facts union select round(cast(v as decimal(24,6))*0.001,0), true from facts union select round(cast(v as decimal(24,6))*0.001,1), true from facts union select v/1000.0, true from facts",
     "offi": """select month, "grouping", case when month%13<>0 then net+case when month%7=0 then 1 else 0 end end net from rec where month%11<>0""",
 }
@@ -313,10 +322,12 @@ SQL = {
     "code_check_digit": _f("""select territory, cast(c*10+(10-(select sum(case when p>9 then p-9 else p end) from (select (c//cast(10**(5-i) as bigint)%10)*(1+i%2) p from range(6) r(i)))%10)%10 as bigint) code7 from (select territory, cast(territory as bigint) c from terr where kind='municipality')"""),
     "text_numbers": _f("select doc_id, place, token, value, mil as thousands from num"),
     "ungrounded_numbers": _f("select doc_id, place, token from num where (mil or not (v=floor(v) and (v between 1 and 12 or v between 2019 and 2035))) and not exists (select 1 from said where said.v=num.v and said.mil=num.mil)"),
-    "identification_flags": rf"select doc_id, cast(unnest(range(len(t))) as int) as place, unnest(t) as found from (select doc_id, regexp_extract_all(text, '{A.IDENTITY}') t from documents)",
-    "style_flags": rf"""select doc_id, rule, n from (select doc_id, unnest(['dash','phrase','relative_month','minus','caveat','percent']) rule,
- unnest([len(regexp_extract_all(text,'{A.STYLE['dash']}')), len(regexp_extract_all(lower(text),'{A.STYLE['phrase']}')), len(regexp_extract_all(lower(text),'{A.STYLE['relative_month']}')), len(regexp_extract_all(lower(text),'{A.STYLE['minus']}')), len(regexp_extract_all(lower(text),'{A.STYLE['caveat']}')),
- len(regexp_extract_all(x,'{_PERCENT.format('(?:,[0-9]+)?')}')) - len(regexp_extract_all(x,'{_PERCENT.format(',[0-9]{2}')}'))]) n from ({_PARTED})) where n>0""",
+    "identification_flags": rf"select doc_id, cast(unnest(range(len(t))) as int) as place, unnest(t) as found from (select doc_id, regexp_extract_all(text, '{G.IDENTITY}') t from documents)",
+    "style_flags": rf"""with r as ({_RUNS}), p as (select doc_id, count(*) n from ({_figures("select * from r")}) where rest='' and (gr>0 or length(body)<=3) and regexp_matches(after,'^[[:space:]]?%') and length(decimals)<>3 group by 1),
+ m as (select doc_id, count(*) n from (select *, regexp_replace(before,'[[:space:]]$','') near from r where regexp_matches(run,'^[0-9]')) where right(near,1) in ('-','−') and case when length(near)=1 then i=1 else regexp_matches(near[-2],'[[:space:](\[:;]') end group by 1)
+ select doc_id, rule, n from (select doc_id, unnest(['dash','phrase','relative_month','caveat']) rule,
+ unnest([len(regexp_extract_all(text,'{G.STYLE['dash']}')), len(regexp_extract_all(lower(text),'{G.STYLE['phrase']}')), len(regexp_extract_all(lower(text),'{G.STYLE['relative_month']}')), len(regexp_extract_all(lower(text),'{G.STYLE['caveat']}'))]) n from documents) where n>0
+ union all select doc_id, 'percent', n from p union all select doc_id, 'minus', n from m""",
     "threshold_sweep": _f("""select threshold, fp, fn, cost, accuracy, tied and k=(c+1)//2 best from (select *, row_number() over (partition by tied order by threshold) k, count(*) over (partition by tied) c from (select *, cost=min(cost) over () tied from (
  select threshold, count(*) filter (p>=threshold and not truth) fp, count(*) filter (p<threshold and truth) fn, 3*count(*) filter (p>=threshold and not truth)+count(*) filter (p<threshold and truth) as cost, round(count(*) filter ((p>=threshold)=truth)/count(*),4) accuracy from sc, (select unnest(range(1,10))/10.0e0 threshold) t group by 1)))"""),
     "reliability_bins": _f("select least(cast(floor(p*5) as bigint),4) bin, count(*) n, round(avg(cast(truth as int)),4) share_true from sc group by 1"),

@@ -10,8 +10,8 @@ from ..operators import checks as C
 from ..operators import editions as E
 from ..operators import facts as X
 from ..operators import forecast as P
+from ..operators import grounding as G
 from ..operators import marts as M
-from ..operators import text_and_audit as A
 from ..sources import feeds
 from ..sources import tables as T
 from . import analyses as Q
@@ -98,8 +98,8 @@ QUERIES = {
     "cited_ids_missing": lambda s, d: E.unknown_ids(claims(s, d), X.registry(Q.total(s, d))),
     "ind_trajectory": lambda s, d: E.trajectory(Q.yearly(s, d)),
     "ind_conditional_rate": lambda s, d: E.conditional_rate(T.table(s, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("value")), notable(s, d)),
-    "allowed_numbers": lambda s, d: E.renderings(fact_values(s, d)),
-    "table_only_numbers": lambda s, d: E.table_only(A.numbers(T.table(s, d, "documents")), Q.text_facts(s, d), T.table(s, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("value"))).select("doc_id", "place", "token"),
+    "allowed_numbers": lambda s, d: G.renderings(fact_values(s, d)),
+    "table_only_numbers": lambda s, d: E.table_only(G.numbers(T.table(s, d, "documents")), Q.text_facts(s, d), T.table(s, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("value"))).select("doc_id", "place", "token"),
     "thousands_format": lambda s, d: T.table(s, d, "orders").select("o_orderkey", E.thousands(F.concat(F.lit("R$ "), cents(F.col("o_totalprice")), F.lit(" em 1998 por "), "o_orderkey", F.lit(" itens"))).alias("text")),
 }
 
