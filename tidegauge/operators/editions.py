@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import months
 from ..functions.classify import UNIDENTIFIED
+from ..sources.editions import last_before
 from .grounding import free
 from .text_and_audit import counts_said
 
@@ -50,14 +51,34 @@ def reading(figures: DataFrame) -> DataFrame:
     return figures.select("territory", "year", label.alias("reading"))
 
 
-def revision(rows: DataFrame, figures: DataFrame, previous: DataFrame, origin: str = "recomputed") -> DataFrame:
-    """The last edition's forecast (``previous``: territory, month, level) against what came and what is said now."""
+def edition_rows(rows: DataFrame, forecast: DataFrame, bands: DataFrame) -> DataFrame:
+    """A forecast with its band as an edition: edition is the last month of each series."""
+    made = rows.groupBy("territory").agg(F.max("month").alias("edition"))
+    told = forecast.join(bands.select("territory", "h", "low", "high"), ["territory", "h"], "left").join(made, "territory")
+    double = [F.col(c).cast("double").alias(c) for c in ("admissions", "separations", "level")]
+    net, level = F.col("admissions") - F.col("separations"), F.col("level")
+    told = told.select("territory", "edition", "month", *double, net.cast("double").alias("net"), (level + F.col("low")).cast("double").alias("low"), (level + F.col("high")).cast("double").alias("high"))
+    return told.select("territory", "edition", "month", "admissions", "separations", "net", "level", "low", "high")
+
+
+def previous_editions(rows: DataFrame, store: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """territory, month, level, origin: each territory's last stored edition before the one now made; where there is none, what is ``recomputed``."""
+    made = rows.groupBy("territory").agg(F.max("month").alias("edition"))
+    stored = last_before(store, made).select("territory", "month", "level", F.lit("stored").alias("origin"))
+    rest = recomputed.join(stored.select("territory").distinct(), "territory", "left_anti")
+    return stored.union(rest.select("territory", "month", F.col("level").cast("double"), F.lit("recomputed")))
+
+
+def revision(rows: DataFrame, figures: DataFrame, previous: DataFrame) -> DataFrame:
+    """The last edition's forecast (``previous``: territory, month, level, perhaps origin) against what came and what is said now."""
+    previous = previous if "origin" in previous.columns else previous.withColumn("origin", F.lit("recomputed"))
     now = rows.groupBy("territory").agg(F.max("month").alias("month"), F.max_by("level", "month").alias("realised"))
     then = previous.select("territory", "month", F.col("level").alias("said_of_month"))
     end = previous.select("territory", F.floor(F.col("month") / 100).alias("year"), F.col("level").alias("said_of_end"), (F.col("month") % 100).alias("m")).where("m = 12").drop("m")
-    out = now.join(then, ["territory", "month"], "left").join(figures, "territory", "left").join(end, ["territory", "year"], "left")
+    origin = previous.groupBy("territory").agg(F.first("origin").alias("origin"))
+    out = now.join(then, ["territory", "month"], "left").join(origin, "territory", "left").join(figures, "territory", "left").join(end, ["territory", "year"], "left")
     wide = F.abs(F.col("level_end") - F.col("said_of_end")) > F.col("level_end_high") - F.col("level_end_low")
-    return out.select("territory", F.lit(origin).alias("origin"), "month", "said_of_month", "realised", "said_of_end", "level_end", wide.alias("beyond_band"))
+    return out.select("territory", "origin", "month", "said_of_month", "realised", "said_of_end", "level_end", wide.alias("beyond_band"))
 
 
 def claims(levels: DataFrame, total_season: DataFrame, panorama: DataFrame, changes: DataFrame, shares: DataFrame, notable: DataFrame) -> DataFrame:

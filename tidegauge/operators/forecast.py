@@ -94,55 +94,106 @@ def mae(errors: DataFrame) -> DataFrame:
     return errors.groupBy("territory", "h").agg(F.round(F.avg(F.abs("error")), 4).alias("mae"))
 
 
-def _smoothed(z, weights):
-    """Squared errors one step ahead, level, trend and season of additive smoothing with a damped trend, for each row of weights."""
+#: Bounds of the weights of level, trend and season (each a share of the one before as usual: 0..1) and of the damping.
+LOW, HIGH = (1e-4, 1e-4, 1e-4, 0.8), (0.9999, 0.9999, 0.9999, 0.98)
+
+
+def _paths(z, weights):
+    """Errors one step ahead of additive damped smoothing from zero states, how they move with each start state, and both for the end states.
+
+    Errors and states are linear in the 14 start states (level, trend, twelve seasons), so one run with a unit start each tells
+    the best ones by least squares.  A run serves all rows of ``weights`` (level, trend, season, damping) at once.
+    """
     import numpy as np
 
     a, b, g, p = (w[:, None] for w in weights.T)
-    first = z[:12].mean()
-    level = np.full((len(weights), 1), first)
-    trend = np.full((len(weights), 1), (z[12:24].mean() - first) / 12 if len(z) >= 24 else 0.0)
-    season, cost = np.tile(z[:12] - first, (len(weights), 1)), np.zeros(len(weights))
-    for t in range(len(z)):
-        s = season[:, t % 12 : t % 12 + 1]
+    n, w = len(z), len(weights)
+    state = np.zeros((w, 15, 14))  # start (the data with zero states, then each unit start) x state
+    state[:, np.arange(1, 15), np.arange(14)] = 1
+    data = np.zeros(15)
+    errors = np.empty((n, w, 15))
+    for t in range(n):
+        data[0] = z[t]
+        s = 2 + t % 12
+        level, trend, season = state[:, :, 0], state[:, :, 1], state[:, :, s]
         before = level + p * trend
-        cost += (z[t] - before[:, 0] - s[:, 0]) ** 2
-        now = a * (z[t] - s) + (1 - a) * before
-        trend, level = b * (now - level) + (1 - b) * p * trend, now
-        season[:, t % 12 : t % 12 + 1] = g * (z[t] - now) + (1 - g) * s
-    return cost, level[:, 0], trend[:, 0], season
+        e = data - before - season
+        errors[t] = e
+        new_level = before + a * e
+        state[:, :, 1] = p * trend + a * b * e
+        state[:, :, 0] = new_level
+        state[:, :, s] = season + g * (1 - a) * e
+    return errors, state
+
+
+def _fitted(z, weights):
+    """The least squared error of each row of weights over all start states, and those."""
+    import numpy as np
+
+    errors, _ = _paths(z, weights)
+    y, x = errors[:, :, 0].T, np.moveaxis(errors[:, :, 1:], 1, 0)
+    # the seasons' common level and the level are one: a little ridge tells them apart without moving the fit
+    gram = x.transpose(0, 2, 1) @ x
+    gram += 1e-9 * np.trace(gram, axis1=1, axis2=2)[:, None, None] * np.eye(14)
+    start = -np.linalg.solve(gram, x.transpose(0, 2, 1) @ y[:, :, None])[:, :, 0]
+    return ((y + (x @ start[:, :, None])[:, :, 0]) ** 2).sum(axis=1), start
+
 
+def _damped(y, horizon: int, cost_only: bool = False):
+    """Additive damped trend and season of twelve on log flows, fitted by least squares over weights and start states.
 
-def _damped(y, horizon: int):
-    """Additive damped trend and season of twelve on log flows; weights by a coarse grid, then ever finer ones around the best."""
+    The weights are sought within their bounds by a pattern search from a coarse grid's best points for each weight of the level, the trend and the season: all
+    neighbours of a point are tried in one run, with steps that shrink where none is better.
+    """
     from itertools import product
 
     import numpy as np
 
     z = np.log(np.maximum(y, 0.5))
-    weights = np.array(list(product((0.1, 0.3, 0.6), (0.0, 0.05, 0.2), (0.05, 0.2, 0.5), (0.85, 0.95))))
-    for step in (0.1, 0.04, 0.015, None):
-        cost, level, trend, season = _smoothed(z, weights)
-        k = int(cost.argmin())
-        if step:
-            near = np.array(list(product((-1, 0, 1), repeat=4))) * [step, step, step, step / 3]
-            weights = np.clip(weights[k] + near, [0.01, 0, 0, 0.8], [0.99, 0.99, 0.99, 0.98])
+    low, high = np.array(LOW), np.array(HIGH)
+    coarse = np.array(list(product((1e-4, 0.05, 0.3, 0.7), (0.01, 0.3, 0.7, 0.99), (0.05, 0.4, 0.9), (0.85, 0.97))))
+    cost, _ = _fitted(z, coarse)
+    moves = np.concatenate([np.eye(4), -np.eye(4), [[1, 1, 0, 0], [-1, -1, 0, 0], [1, 0, -1, 0], [-1, 0, 1, 0], [1, 0, 1, 0], [-1, 0, -1, 0]]])
+    starts = np.unique([k[cost[k].argmin()] for c in (0, 1, 2) for v in np.unique(coarse[:, c]) for k in [np.flatnonzero(coarse[:, c] == v)]])
+    at, best = coarse[starts], cost[starts]
+    step = np.full(len(starts), 0.15)
+    for _ in range(40):
+        live = np.flatnonzero(step > 2e-3)
+        if not len(live):
+            break
+        tried = np.clip(at[live, None] + moves[None] * step[live, None, None] * (high - low), low, high)
+        c = _fitted(z, tried.reshape(-1, 4))[0].reshape(len(live), -1)
+        k = c.argmin(axis=1)
+        better = c[np.arange(len(live)), k] < best[live] * (1 - 1e-7)
+        at[live[better]], best[live[better]] = tried[np.flatnonzero(better), k[better]], c[np.flatnonzero(better), k[better]]
+        step[live] *= np.where(better, 1.3, 0.45)
+    one = at[[best.argmin()]]
+    cost, start = _fitted(z, one)
+    if cost_only:
+        return float(cost[0])
+    _, states = _paths(z, one)
+    end = states[0, 0] + start[0] @ states[0, 1:]
     h = np.arange(1, horizon + 1)
-    return np.exp(level[k] + np.cumsum(weights[k, 3] ** h) * trend[k] + season[k, (len(z) + h - 1) % 12])
+    return np.exp(end[0] + np.cumsum(one[0, 3] ** h) * end[1] + end[2 + (len(z) + h - 1) % 12])
+
 
+def holt_winters(rows: DataFrame, horizon: int = 12, start: int | None = None) -> DataFrame:
+    """Forecast of admissions and separations of each series, fitted in parallel; levels by the identity.
 
-def holt_winters(rows: DataFrame, horizon: int = 12) -> DataFrame:
-    """Forecast of admissions and separations of each series, fitted in parallel; levels by the identity."""
+    The sample begins with month ``start`` (the series' first by default); a series of fewer than 24 months in it has none.
+    """
 
     def fit(pdf):
         import numpy as np
         import pandas as pd
 
         pdf = pdf.sort_values("month")
+        level = float(pdf.level.iloc[-1]) if pd.notna(pdf.level.iloc[-1]) else np.nan
+        pdf = pdf[pdf.month >= start] if start else pdf
         if len(pdf) < 24:
             return pd.DataFrame({"territory": [], "h": [], "admissions": [], "separations": [], "level": []})
         a, s = (_damped(pdf[c].to_numpy(dtype=float), horizon) for c in ("admissions", "separations"))
-        return pd.DataFrame({"territory": pdf.territory.iloc[0], "h": np.arange(1, horizon + 1), "admissions": a, "separations": s, "level": float(pdf.level.iloc[-1] if pd.notna(pdf.level.iloc[-1]) else np.nan) + np.cumsum(a - s)})
+        return pd.DataFrame({"territory": pdf.territory.iloc[0], "h": np.arange(1, horizon + 1), "admissions": a, "separations": s, "level": level + np.cumsum(a - s)})
 
     return rows.select("territory", "month", "admissions", "separations", "level").groupBy("territory").applyInPandas(fit, "territory string, h int, admissions double, separations double, level double")
 

@@ -47,10 +47,10 @@ def combined_band(s, d):
 
 
 def guards(s, d):
-    from .editions import revision
+    from .editions import combined_revision
 
     anchors = series(s, d).groupBy("territory").agg(F.max_by("level", "month").alias("anchor"))
-    return P.guards(forecast(s, d), combined_band(s, d), anchors, P.mae_methods(method_errors(s, d)), revision(s, d))
+    return P.guards(forecast(s, d), combined_band(s, d), anchors, P.mae_methods(method_errors(s, d)), combined_revision(s, d))
 
 
 def scored(s, d):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..functions import months
 from ..functions.classify import cents
 from ..operators import anchor as K
 from ..operators import checks as C
@@ -12,8 +15,10 @@ from ..operators import facts as X
 from ..operators import forecast as P
 from ..operators import grounding as G
 from ..operators import marts as M
+from ..sources import editions as store
 from ..sources import feeds
 from ..sources import tables as T
+from ..sources.store import built, shared_dir
 from . import analyses as Q
 from .marts import KNOWN_UNTIL, levels, movements, report
 from .sql import sql
@@ -57,6 +62,53 @@ def revision(s, d):
     return E.revision(rows, figures(s, d), P.naive(known))
 
 
+def before_last(s, d, months_back=1):
+    """The series as they were so many months ago."""
+    rows = Q.series(s, d)
+    last = rows.groupBy("territory").agg(F.max("month").alias("last"))
+    return rows.join(F.broadcast(last), "territory").where(F.col("month") <= months.shift(F.col("last"), -months_back)).drop("last")
+
+
+def combined(rows):
+    return P.combined(P.seasonal_rates(rows, 24), P.holt_winters(rows, 24))
+
+
+def combined_figures(s, d):
+    return built(s, d, "fc_kpis_combined", lambda: E.year_end(Q.series(s, d), Q.forecast(s, d), Q.combined_band(s, d)))
+
+
+def naive_edition(s, d, months_back):
+    rows = before_last(s, d, months_back)
+    return E.edition_rows(rows, P.naive(rows), P.band(P.backtest(rows)))
+
+
+def store_of_editions(s, d):
+    """A store after three runs: editions of three and two months ago, then that of two months ago again for the states alone, a tenth higher."""
+    path = f"{shared_dir(s)}/editions-{uuid.uuid4().hex}"
+    for back in (3, 2):
+        store.save(naive_edition(s, d, back), path)
+    again = naive_edition(s, d, 2).where("length(territory) = 2")
+    store.save(again.withColumn("level", F.col("level") * 1.5), path)
+    return store.read(s, path)
+
+
+def stored_revision(s, d):
+    """The revision where municipalities of even code (and states) have stored editions and the others haven't."""
+    rows, path = Q.series(s, d), f"{shared_dir(s)}/editions-{uuid.uuid4().hex}"
+    for back in (4, 2):
+        store.save(naive_edition(s, d, back).where("cast(territory as bigint) % 2 = 0"), path)
+    return E.revision(rows, figures(s, d), E.previous_editions(rows, store.read(s, path), P.naive(before_last(s, d))))
+
+
+def combined_revision(s, d):
+    """The revision of the combined forecast against an edition stored a month ago for municipalities of even code, else against one recomputed."""
+    rows, known, path = Q.series(s, d), before_last(s, d), f"{shared_dir(s)}/editions-{uuid.uuid4().hex}"
+    then = built(s, d, "fc_combined_before", lambda: combined(known))
+    edition = E.edition_rows(known, then, Q.combined_band(s, d))
+    store.save(edition.where("cast(territory as bigint) % 2 = 0"), path)
+    return E.revision(rows, combined_figures(s, d), E.previous_editions(rows, store.read(s, path), then))
+
+
 def claims(s, d):
     total = Q.total(s, d)
     return E.claims(levels(s, d), season_of_total(s, d), X.panorama(total), X.decomposition(total), X.profile_share(Q.profile(s, d)), notable(s, d))
@@ -93,6 +145,11 @@ QUERIES = {
     "fc_kpis": figures,
     "fc_reading": lambda s, d: E.reading(figures(s, d)),
     "fc_revision": revision,
+    "edition_store": store_of_editions,
+    "fc_revision_stored": stored_revision,
+    "fc_kpis_combined": combined_figures,
+    "fc_reading_combined": lambda s, d: E.reading(combined_figures(s, d)),
+    "fc_revision_combined": combined_revision,
     "labelled_claims": lambda s, d: claims(s, d).withColumn("ids", F.concat_ws(",", "ids")),
     "hits_by_family": lambda s, d: E.hits_by_family(judged(s, d)),
     "cited_ids_missing": lambda s, d: E.unknown_ids(claims(s, d), X.registry(Q.total(s, d))),
@@ -125,6 +182,26 @@ _CLAIMS = f"""with t0 as ({_f(_TS)}), n0 as {_of("fact_highlights")}, l0 as ({_f
 _VALUES = f"""select territory||'/'||month||'/median_wage' id, cast(median_wage as decimal(24,6)) v, 'money' unit from {_of("fact_wage")} union all select territory||'/'||month||'/mean_wage', cast(mean_wage as decimal(24,6)), 'money' from {_of("fact_wage")}
  union all select territory||'/'||month||'/rate_month', cast(rate_month as decimal(24,6)), 'percent' from {_of("fact_panorama")} union all select territory||'/'||month||'/stock', cast(stock as decimal(24,6)), 'people' from {_of("fact_panorama")}"""
 
+
+
+def _edition(back: int) -> str:
+    """The naive edition made so many months ago, with its band."""
+    i = "({0}//100*12+{0}%100-1)".format
+    rel = {
+        "kn": f"select b.* from back b join ends_ e using (territory) where {i('b.month')}<={i('e.last')}-{back}",
+        "en": "select territory, max(month) last, max_by(level, month) anchor from kn group by 1",
+        "ah": f"select en.*, h, (({i('last')}+h)//12)*100+({i('last')}+h)%12+1 as month from en, (select cast(unnest(range(1,25)) as bigint) h) x",
+        "nv": "select a.territory, a.h, a.last edition, a.month, b.admissions, b.separations, anchor+sum(b.admissions-b.separations) over (partition by a.territory order by a.h) lv from ah a join kn b on b.territory=a.territory and b.month=a.month-100*((a.h+11)//12)",
+        "cm": f"select territory, {i('month')} t, level, sum(net) over (partition by territory order by month) c, row_number() over (partition by territory order by month) i from kn",
+        "er": "select o.territory, h, r.level-o.level-e.c+y.c error from cm o, (select unnest(range(1,13)) h) x, cm e, cm y, cm r where o.i>24 and e.territory=o.territory and y.territory=o.territory and r.territory=o.territory and e.t=o.t+h-12 and y.t=o.t-12 and r.t=o.t+h",
+        "bq": "select territory, h, quantile_cont(cast(error as double),0.1) lo, quantile_cont(cast(error as double),0.9) hi from er group by 1,2 having count(*)>=8",
+        "bk": "select territory, max(h) k, max_by(lo,h) lo, max_by(hi,h) hi from bq group by 1",
+        "bd": "select territory, h, round(min(lo) over w,4) low, round(max(hi) over w,4) high from (select bk.territory, x.h, coalesce(q.lo, bk.lo*sqrt(1.0e0*x.h/bk.k)) lo, coalesce(q.hi, bk.hi*sqrt(1.0e0*x.h/bk.k)) hi from bk cross join (select cast(unnest(range(1,25)) as bigint) h) x left join bq q on q.territory=bk.territory and q.h=x.h) z window w as (partition by territory order by h)",
+    }
+    inner = ", ".join(f"{n} as ({q})" for n, q in rel.items())
+    return f"select * from (with {inner} select nv.territory, edition, nv.month, cast(admissions as double) admissions, cast(separations as double) separations, cast(admissions-separations as double) net, cast(lv as double) as level, cast(lv+low as double) low, cast(lv+high as double) high from nv left join bd using (territory, h) /* from back, ends_ */)"
+
+
 SQL = {
     "anchor_stock": _f(_ANCHORS.replace("date '1999-12-31'", "'1999-12-31'")),
     "ingestion_registry": _f("select feed, file_month, count(*) as rows, case when file_month>200105 then 2 else 1 end as load from ev group by 1,2"),
@@ -152,6 +229,11 @@ SQL = {
  pv as (select a.territory, a.month, cast(anchor+sum(b.admissions-b.separations) over (partition by a.territory order by a.h) as bigint) lv from ah a join kn b on b.territory=a.territory and b.month=a.month-100*((a.h+11)//12))
  select n.territory, 'recomputed' origin, n.month, p.lv said_of_month, n.realised, q.lv said_of_end, k.level_end, abs(k.level_end-q.lv)>k.level_end_high-k.level_end_low beyond_band
  from now_ n left join k using (territory) left join pv p on p.territory=n.territory and p.month=n.month left join pv q on q.territory=n.territory and q.month=k.year*100+12""",
+    "edition_store": _f(" union all ".join(_edition(k) + f" where not {cond}" if cond else _edition(k) for k, cond in ((3, ""), (2, "length(territory)=2"))) + " union all select territory, edition, month, admissions, separations, net, level*1.5e0, low, high from (" + _edition(2) + ") where length(territory)=2"),
+    "fc_revision_stored": f"""with k as ({_f(_KPI)}), b0 as ({_f("select * from back")}), now_ as (select territory, max(month) as month, max_by(level, month) realised from b0 group by 1),
+ pv as (select territory, month, level, 'stored' origin from ({_f(_edition(2))}) where cast(territory as bigint)%2=0 union all select territory, month, level, 'recomputed' from ({_f(_edition(1))}) where cast(territory as bigint)%2=1)
+ select n.territory, o.origin, n.month, p.level said_of_month, n.realised, q.level said_of_end, k.level_end, abs(k.level_end-q.level)>k.level_end_high-k.level_end_low beyond_band
+ from now_ n left join k using (territory) left join (select distinct territory, origin from pv) o on o.territory=n.territory left join pv p on p.territory=n.territory and p.month=n.month left join pv q on q.territory=n.territory and q.month=k.year*100+12""",
     "labelled_claims": f"select territory, month, family, claim, array_to_string(ids, ',') ids, truth from ({_CLAIMS})",
     "hits_by_family": f"select family, count(*) cases, count(*) filter ((case when month%11<>0 then month*37%101/100.0e0 else 0 end>=0.6e0)=truth) hits from ({_CLAIMS}) group by 1",
     "cited_ids_missing": f"select family, id, count(*) n from (select family, unnest(ids) id from ({_CLAIMS})) where id not in (select id from {_of('fact_registry')}) group by 1,2",
