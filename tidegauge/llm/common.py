@@ -101,6 +101,38 @@ def runs(batches, key: str):
         yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held)
 
 
+def streamed(holds: DataFrame, asks: DataFrame, shards: int, blocks: int, open_, answer, schema: str) -> DataFrame:
+    """What ``answer(held, ask)`` yields, with each block of ``asks`` (shard, block, ...) streamed past the shard that it asks.
+
+    A shard (a row of ``holds``) moves to one task, or to a few lanes where there are fewer shards than cores; ``open_`` turns its row into
+    what is held, once.  A block moves once for each shard that it asks; a task holds one shard and one block.  Rows come as dictionaries.
+    """
+    from pyspark.sql import functions as F
+
+    cores = holds.sparkSession.sparkContext.defaultParallelism
+    lanes = max(1, min(blocks, -(-2 * cores // shards)))
+    own = [c for c in holds.columns if c != "shard"]
+    more = [c for c in asks.columns if c not in ("shard", "block")]
+    kinds = dict(holds.dtypes) | dict(asks.dtypes)
+    told = lambda rows, names: [F.col(c) if c in names else F.lit(None).cast(kinds[c]).alias(c) for c in dict.fromkeys([*own, *more])]
+    held = holds.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).select("shard", "lane", F.lit(-1).alias("block"), *told(holds, own))
+    sent = asks.withColumn("lane", F.pmod(F.col("block"), F.lit(lanes))).select("shard", "lane", "block", *told(asks, more))
+    both = held.unionByName(sent).repartition(max(1, shards * lanes), "shard", "lane").sortWithinPartitions("shard", "lane", "block")
+
+    def meet(batches):
+        at, one = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if row["block"] < 0:
+                    at, one = (row["shard"], row["lane"]), open_(row)
+                elif at == (row["shard"], row["lane"]):
+                    yield from answer(one, row)
+        release()
+
+    return both.mapInArrow(meet, schema)
+
+
 def release() -> None:
     """Gives memory that the worker has freed back to the system, since workers stay between tasks and stages."""
     import pyarrow as pa

@@ -31,6 +31,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     a, b = edges.columns
     links = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where(f"`{a}` is not null and `{b}` is not null and `{a}` <> `{b}`").distinct()
     links, last = cut(links), None
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for _ in range(rounds):
         both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

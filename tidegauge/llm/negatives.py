@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, streamed
 
 _PACKED = ["uid", "vec_id", "label", "x"]
 
@@ -54,41 +54,30 @@ def first_places(scores: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((some, -scores[some]))]
 
 
-def past_shards(holds: DataFrame, asks: DataFrame, shards: int, dim: int, whole: bool, answer) -> DataFrame:
-    """anchor, slot, vec_id, score: what ``answer(shard, block)`` finds, with every block of ``asks`` streamed past every shard.
+def past_shards(holds: DataFrame, asks: DataFrame, shards: int, blocks: int, dim: int, whole: bool, answer) -> DataFrame:
+    """anchor, slot, vec_id, score: what ``answer(shard, block, anchor's place, its scores)`` finds, with every block of ``asks`` streamed past every shard.
 
-    A shard moves once, a block once a shard; a task holds one of each.  ``whole``: products are exact in doubles, else
-    they're taken in 64-bit integers.
+    ``whole``: products are exact in doubles, else they're taken in 64-bit integers.
     """
-    more = [c for c in asks.columns if c not in ("block", *_PACKED)]
-    held = holds.select("shard", F.lit(-1).alias("block"), *_PACKED, *[F.lit(None).cast("binary").alias(c) for c in more])
-    sent = asks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("shard", "block", *_PACKED, *more)
-    both = held.unionByName(sent).repartition(max(1, shards), "shard").sortWithinPartitions("shard", "block")
 
-    def meet(batches):
+    def opened(row):
+        one = {c: np.frombuffer(v, "<f8" if c == "x" else "<i8") for c, v in row.items() if isinstance(v, bytes)}
+        one["x"] = one["x"].reshape(len(one["uid"]), dim)
+        return one if whole else one | {"x": one["x"].astype(np.int64)}
+
+    def answered(hold, row):
         import pyarrow as pa
 
-        shard, hold = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                for c in (*_PACKED, *more):
-                    if one[c] is not None:
-                        one[c] = np.frombuffer(one[c], "<f8" if c == "x" else "<i8")
-                one["x"] = one["x"].reshape(len(one["uid"]), dim)
-                if not whole:
-                    one["x"] = one["x"].astype(np.int64)
-                if one["block"] < 0:
-                    shard, hold = one["shard"], one
-                elif one["shard"] == shard:
-                    scores = one["x"] @ hold["x"].T
-                    found = [(a, s, hold["vec_id"][rows], scores[a, rows]) for a in range(len(scores)) for s, rows in answer(hold, one, a, scores[a])]
-                    n = [len(f[2]) for f in found]
-                    whole_of = lambda k: np.concatenate([f[k] for f in found]).astype(np.int64) if found else np.empty(0, np.int64)
-                    anchor, slot = one["uid"][np.repeat([f[0] for f in found], n).astype(np.int64)], np.repeat([f[1] for f in found], n).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, slot, whole_of(2), whole_of(3))], ["anchor", "slot", "vec_id", "score"])
-
-    return both.mapInArrow(meet, "anchor long, slot long, vec_id long, score long")
+        ask = opened(row)
+        scores = ask["x"] @ hold["x"].T
+        found = [(a, s, hold["vec_id"][rows], scores[a, rows]) for a in range(len(scores)) for s, rows in answer(hold, ask, a, scores[a])]
+        n = [len(f[2]) for f in found]
+        all_of = lambda k: np.concatenate([f[k] for f in found]).astype(np.int64) if found else np.empty(0, np.int64)
+        anchor, slot = ask["uid"][np.repeat([f[0] for f in found], n).astype(np.int64)], np.repeat([f[1] for f in found], n).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, slot, all_of(2), all_of(3))], ["anchor", "slot", "vec_id", "score"])
+
+    sent = asks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    return streamed(holds, sent, shards, blocks, opened, answered, "anchor long, slot long, vec_id long, score long")
 
 
 def hard_negatives(vectors: DataFrame, label: Column, every: int = 100, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90, scale: float = 256.0, rows_a_shard: int = 8192, rows_a_block: int = 512) -> DataFrame:
@@ -113,7 +102,7 @@ def hard_negatives(vectors: DataFrame, label: Column, every: int = 100, positive
         rows = np.flatnonzero((hold["label"] == ask["label"][a]) & (hold["uid"] != ask["uid"][a]))
         yield 0, rows[first_places(scores[rows], positives)]
 
-    found = past_shards(holds, packed(anchors, "block", dim), shards, dim, whole, of_label)
+    found = past_shards(holds, packed(anchors, "block", dim), shards, blocks, dim, whole, of_label)
     place = Window.partitionBy("anchor").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("n", F.row_number().over(place)).where(F.col("n") <= positives)
     # a score s is within the window if ceil(low * p / 100) <= s <= floor(high * p / 100); none is for a negative p
@@ -135,7 +124,7 @@ def hard_negatives(vectors: DataFrame, label: Column, every: int = 100, positive
             if len(inside):
                 yield s + 1, inside[first_places(scores[inside], negatives)]
 
-    held = past_shards(holds, packed(asked, "block", dim, "limits"), shards, dim, whole, by_slot)
+    held = past_shards(holds, packed(asked, "block", dim, "limits"), shards, blocks, dim, whole, by_slot)
     place = Window.partitionBy("anchor", "slot").orderBy(F.desc("score"), "vec_id")
     held = held.withColumn("n", F.row_number().over(place)).where(F.col("n") <= negatives)
     down = held.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id", "slot"))).alias("down"))

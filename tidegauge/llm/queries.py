@@ -16,7 +16,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9, with_recall=True).drop("audited")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +104,7 @@ with recursive v as (select vec_id, list_transform(embedding, lambda x: cast(x a
 n as (select vec_id, e, sqrt(list_inner_product(e, e)) z from v),
 links as (select a.vec_id u, b.vec_id v from n a join n b on a.vec_id <> b.vec_id where list_inner_product(a.e, b.e) / (a.z * b.z) >= 0.9),
 reach as (select vec_id u, vec_id v from embeddings union select reach.u, links.v from reach join links on links.u = reach.v)
-select e.vec_id, coalesce(l.n, 0) as n_links, r.c as component_id, e.vec_id = r.c as kept from embeddings e
+select e.vec_id, coalesce(l.n, 0) as n_links, r.c as component_id, e.vec_id = r.c as kept, 1.0e0 as recall from embeddings e
 left join (select u, count(*) n from links group by u) l on l.u = e.vec_id
 join (select u, min(v) c from reach group by u) r on r.u = e.vec_id""",
     "op6_exact_topk": """

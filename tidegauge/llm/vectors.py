@@ -1,7 +1,7 @@
 """Vectors in shards: hierarchical small-world graphs for near-duplicates, the threshold algorithm for exact top-k.
 
-Both lay every vector into a shard by hash of its id, so a shard's size is bounded by a parameter.  A
-query block meets a shard as one piece of work (both packed into one row each); nothing larger than
+Both lay every vector into a shard by hash of its id, so a shard's size is bounded by a parameter.  A shard
+moves to one task, and blocks of queries are streamed past it; nothing larger than
 a block and a shard is ever in one task.
 """
 
@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, streamed
 from .components import components, forest
 
 
@@ -26,15 +26,15 @@ def usable(vectors: DataFrame, keep_zero: bool) -> DataFrame:
 
 
 def shard_rows(rows: DataFrame, key: str, dim: int, finish=None) -> DataFrame:
-    """One row a value of ``key``: its ids (int64), vectors (zeros up to ``dim``) and row weights ``n`` as binaries.
+    """One row a value of ``key``: its ids and uids (int64), vectors (zeros up to ``dim``) and row weights ``n`` as binaries.
 
-    Vectors are held in single precision where that is exact.  ``finish`` turns the matrix into an index, its beam and its recall.
+    Vectors are held in single precision where that is exact.  ``finish`` turns the matrix into an index.
     """
 
     def pack(table):
         import pyarrow as pa
 
-        table = table.sort_by("vec_id")
+        table = table.sort_by([(c, "ascending") for c in ("vec_id", "uid") if c in table.column_names])
         ids = table.column("vec_id").to_numpy()
         lists = table.column("v").combine_chunks()
         sizes = np.diff(lists.offsets.to_numpy())
@@ -43,21 +43,21 @@ def shard_rows(rows: DataFrame, key: str, dim: int, finish=None) -> DataFrame:
         else:
             x = np.zeros((len(ids), dim))
             x[np.arange(dim)[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
-        weight = table.column("n").to_numpy() if "n" in table.column_names else np.ones(len(ids), np.int64)
+        longs = [table.column(c).to_numpy() if c in table.column_names else like for c, like in (("uid", ids), ("n", np.ones(len(ids), np.int64)))]
         with np.errstate(over="ignore"):
             single = x.astype(np.float32)
         exact = bool((single == x).all())
-        extra, beam, recall = finish(x) if finish else (b"", 0, 1.0)
-        held = np.ascontiguousarray(single if exact else x).tobytes()
-        return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int32()), "ids": [ids.astype("<i8").tobytes()], "x": [held], "weight": [weight.astype("<i8").tobytes()], "width": pa.array([4 if exact else 8], pa.int32()), "extra": pa.array([extra], pa.binary()), "beam": pa.array([beam], pa.int32()), "recall": pa.array([recall], pa.float64())})
+        held = [c.astype("<i8").tobytes() for c in (ids, *longs)] + [np.ascontiguousarray(single if exact else x).tobytes(), finish(x) if finish else b""]
+        named = {c: pa.array([v], pa.binary()) for c, v in zip(("ids", "uid", "weight", "x", "extra"), held)}
+        return pa.table({key: pa.array([table.column(key)[0].as_py()], pa.int32()), **named, "width": pa.array([4 if exact else 8], pa.int32())})
 
-    return rows.groupBy(key).applyInArrow(pack, f"{key} int, ids binary, x binary, weight binary, width int, extra binary, beam int, recall double")
+    return rows.groupBy(key).applyInArrow(pack, f"{key} int, ids binary, uid binary, weight binary, x binary, extra binary, width int")
 
 
-def _unpack(table, dim: int, at: int = 0):
-    """ids, vectors in double precision, weights."""
-    one = lambda name, kind: np.frombuffer(table.column(name)[at].as_py(), dtype=kind)
-    return one("ids", "<i8"), one("x", f"<f{table.column('width')[at].as_py()}").astype(float).reshape(-1, dim), one("weight", "<i8")
+def _unpack(row: dict, dim: int):
+    """ids, vectors in double precision, weights, uids."""
+    one = lambda name: np.frombuffer(row[name], "<i8")
+    return one("ids"), np.frombuffer(row["x"], f"<f{row['width']}").astype(float).reshape(-1, dim), one("weight"), one("uid") if "uid" in row else None
 
 
 def _angle(cosine):
@@ -280,25 +280,22 @@ class SmallWorld:
         return self._descend(q, beam, 8)[0]
 
 
-def audited_beam(index: SmallWorld, x: np.ndarray, recall: float = 0.999, probes: int = 1024, seed: int = 0) -> tuple[int, float]:
-    """The beam at which an audit passes, and the recall found.
+def audited_beam(index: SmallWorld, x: np.ndarray, q: np.ndarray, recall: float = 0.9997, probes: int = 256, seed: int = 0) -> tuple[int, int, int]:
+    """The beam at which an audit passes, and the links that the probes have and that were lost.
 
-    Probes are vectors of the shard, turned at random until the cosine is ``least`` (every other one: half that
-    angle), so each has a link that must be found: its vector's node has to be in the beam.  The beam is doubled until ``recall`` of
-    the probes pass, at last up to the whole graph, which can miss nothing.
+    Probes are queries drawn from ``q``, the very vectors that ask this shard; each one's links to all of ``x`` are counted by brute force, and by
+    ``linked``.  The beam is doubled until ``recall`` of all those links are found, at last up to the whole graph, which can miss nothing.
     """
-    rng = np.random.default_rng(seed)
-    rows = rng.integers(0, len(x), probes)
-    u = x[rows] / np.linalg.norm(x[rows], axis=1, keepdims=True)
-    o = rng.standard_normal(u.shape)
-    o -= (o * u).sum(axis=1, keepdims=True) * u
-    o /= np.maximum(np.linalg.norm(o, axis=1, keepdims=True), 1e-12)
-    turn = np.where(np.arange(probes) % 2, 1.0, 2.0)[:, None] * index.half
-    q, beam = (np.cos(turn) * u + np.sin(turn) * o).astype(np.float32), 16
+    rows = np.random.default_rng(seed).permutation(len(q))[:probes]
+    u, unit = q[rows] / np.linalg.norm(q[rows], axis=1, keepdims=True), np.linalg.norm(x, axis=1)
+    true = sum(((u @ (x[lo : lo + 8192] / unit[lo : lo + 8192, None]).T) >= index.least).sum(axis=1) for lo in range(0, len(x), 8192))
+    beam = 32
     while True:
-        found = float((index.search(q, beam)[0] == index.of[rows][:, None]).any(axis=1).mean())
-        if found >= recall or beam >= index.count:
-            return beam, found
+        all_q, all_n, one_q, _ = linked(index, x, q[rows], beam)
+        found = np.bincount(all_q, index.size[all_n], len(rows)) + np.bincount(one_q, minlength=len(rows))
+        lost = int(np.maximum(true - found, 0).sum())
+        if lost <= (1 - recall) * true.sum() or beam >= index.count:
+            return beam, int(true.sum()), lost
         beam *= 2
 
 
@@ -307,7 +304,8 @@ def linked(index: SmallWorld, x: np.ndarray, q: np.ndarray, beam: int):
 
     A query links with all members of a node if its angle to the node and the members' largest angle to it add up to no more than
     the links' angle, with none if their difference is larger; the members of the nodes between are verified one by one in double
-    precision.  A query whose beam is full of nodes that may hold links is asked again with a beam four times as wide.
+    precision.  A query of whose beam over half the nodes may hold links is asked again with a beam four times as wide, for one node without
+    links says little of those not met.
     """
     norm_q, norm_x = np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1)
     unit, wide = (q / norm_q[:, None]).astype(np.float32), 2 * index.half
@@ -320,7 +318,7 @@ def linked(index: SmallWorld, x: np.ndarray, q: np.ndarray, beam: int):
             part = todo[lo : lo + (1024 if beam < index.count else 64)]
             ids, sims = index.search(unit[part], beam)
             hit = (ids >= 0) & (sims >= slack[np.maximum(ids, 0)])
-            full = (hit | (ids < 0)).all(axis=1) & (beam < index.count)
+            full = (2 * hit.sum(axis=1) > (ids >= 0).sum(axis=1)) & (beam < index.count)
             again.append(part[full])
             r, c = np.nonzero(hit & ~full[:, None])
             a, k = part[r], ids[r, c]
@@ -349,11 +347,12 @@ def linked(index: SmallWorld, x: np.ndarray, q: np.ndarray, beam: int):
     return whole(all_q), whole(all_n), whole(one_q), whole(one_r)
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int = 32_768, rows_a_block: int = 8192, with_recall: bool = False) -> DataFrame:
-    """vec_id, n_links, component_id and kept for every vec_id (and the least audited recall of all shards if asked).
+def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int = 32_768, rows_a_block: int = 4096, with_recall: bool = False) -> DataFrame:
+    """vec_id, n_links, component_id and kept for every vec_id; if asked also recall (the least of all pairs of block and shard) and audited (links).
 
-    Equal vectors are one entry that counts as often as it has vec_ids.  Each shard of entries gets a graph, built and audited
-    once; a block of a shard's entries meets each shard of no lower number as one piece of work.  What leaves a piece is a
+    Equal vectors are one entry that counts as often as it has vec_ids.  Each shard of entries gets a graph, built once; the blocks of a
+    shard's entries are streamed past each shard of no lower number.  Each such pair is audited with vectors of the block against brute
+    force, and its beam widened until the audit passes (``audited_beam``).  What leaves a pair is a
     count an entry and a spanning forest of the links, not the links.  Vectors that can't be compared
     (null, empty, zero, null or non-finite components) link with nothing; shorter vectors count as ending in
     zeros; of a vec_id with several vectors that of the least content key counts; a null vec_id has no component.
@@ -369,60 +368,58 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int =
     same = [good.vec_id == classes.first_id, good.k1 == classes.k1, good.k2 == classes.k2]
     rows = good.join(classes, same).select("vec_id", "v", "n").dropDuplicates(["vec_id"])
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-
-    def build(x):
-        index = SmallWorld(x, least)
-        return index.to_bytes(), *audited_beam(index, x)
-
-    packed = cut(shard_rows(rows, "shard", dim, build))
+    packed = cut(shard_rows(rows, "shard", dim, lambda x: SmallWorld(x, least).to_bytes()))
 
     def split(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for at in range(batch.num_rows):
-                (ids, x, weight), width = _unpack(batch, dim, at), batch.column("width")[at].as_py()
+            for row in batch.to_pylist():
+                ids, x, weight, _ = _unpack(row, dim)
                 for b in range(blocks):
-                    held = x[b::blocks].astype(f"<f{width}").tobytes()
-                    yield pa.RecordBatch.from_arrays([batch.column("shard").slice(at, 1), pa.array([b], pa.int32()), pa.array([ids[b::blocks].tobytes()]), pa.array([held]), pa.array([weight[b::blocks].tobytes()]), pa.array([width], pa.int32())], ["i", "b", "ids", "x", "weight", "width"])
+                    held = [ids[b::blocks].tobytes(), weight[b::blocks].tobytes(), x[b::blocks].astype(f"<f{row['width']}").tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int32()), pa.array([b], pa.int32()), *map(pa.array, ([h] for h in held)), pa.array([row["width"]], pa.int32())], ["i", "b", "ids", "weight", "x", "width"])
+
+    parts = packed.mapInArrow(split, "i int, b int, ids binary, weight binary, x binary, width int")
+    asks = parts.withColumn("shard", F.explode(F.sequence("i", F.lit(shards - 1)))).withColumn("block", F.col("i") * blocks + F.col("b")).drop("b")
 
-    parts = packed.select("shard", "ids", "x", "weight", "width").mapInArrow(split, "i int, b int, ids binary, x binary, weight binary, width int")
-    asks = parts.withColumn("j", F.explode(F.sequence("i", F.lit(shards - 1))))
-    holds = packed.select("ids", "x", "weight", "width", "extra", "beam", F.explode(F.sequence(F.lit(0), "shard")).alias("i"), F.col("shard").alias("j"))
-    holds = holds.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    def opened(row):
+        ids, x, weight, _ = _unpack(row, dim)
+        index = SmallWorld.from_bytes(x, row["extra"])
+        return row["shard"], ids, x, weight, index, np.bincount(index.of, weight, index.count)
 
-    def meet(key, left, right):
+    def answer(hold, row):
         import pyarrow as pa
 
-        empty = pa.table({"vec_id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
-        if not left.num_rows or not right.num_rows or not len(left.column("ids")[0].as_py()):
-            return empty
-        ids, x, weight = _unpack(right, dim)
-        ids_q, q, weight_q = _unpack(left, dim)
-        index, own = SmallWorld.from_bytes(x, right.column("extra")[0].as_py()), key[0].as_py() == key[2].as_py()
-        all_q, all_n, one_q, one_r = linked(index, x, q, right.column("beam")[0].as_py())
-        held = np.bincount(index.of, weight, index.count)
+        shard, ids, x, weight, index, held = hold
+        ids_q, q, weight_q, _ = _unpack(row, dim)
+        if not len(ids_q):
+            return
+        own = row["i"] == shard
+        beam, true, lost = audited_beam(index, x, q)
+        all_q, all_n, one_q, one_r = linked(index, x, q, beam)
         n_q = np.bincount(all_q, held[all_n], len(q)) + np.bincount(one_q, weight[one_r], len(q))
         if own:  # each entry asks in its own shard, so its links are counted on its side; it finds itself
-            n_q = n_q - weight_q
-            nodes, counts = ids_q, n_q
+            nodes, counts = ids_q, n_q - weight_q
         else:
             by_node = np.bincount(all_n, weight_q[all_q], index.count)[index.of] + np.bincount(one_r, weight_q[one_q], len(x))
             nodes, counts = np.concatenate([ids_q, ids]), np.concatenate([n_q, by_node])
         a, b = np.concatenate([ids_q[all_q], ids_q[one_q]]), np.concatenate([ids[index.nodes[all_n]], ids[one_r]])
-        if not own:  # a query that links with all members links them to their node
-            led = np.flatnonzero(np.isin(index.of, all_n))
-            a, b = np.concatenate([a, ids[led]]), np.concatenate([b, ids[index.nodes[index.of[led]]]])
+        # a query that links with all members links them to their node
+        led = np.flatnonzero(np.isin(index.of, all_n))
+        a, b = np.concatenate([a, ids[led]]), np.concatenate([b, ids[index.nodes[index.of[led]]]])
         a, b = a[a != b], b[a != b]
         some = counts > 0
         nodes, counts = nodes[some], np.rint(counts[some]).astype(np.int64)
         ends, root = forest(a, b) if len(a) else (a, b)
-        nodes, roots = np.concatenate([nodes, ends]), np.concatenate([nodes, root])
-        counts = np.concatenate([counts, np.zeros(len(ends), np.int64)])
-        return pa.table({"vec_id": nodes, "n": counts, "root": roots})
-
-    found = cut(asks.groupBy("i", "b", "j").cogroup(holds.groupBy("i", "b", "j")).applyInArrow(meet, "vec_id long, n long, root long"))
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("others")).withColumnRenamed("vec_id", "first_id")
+        ends, root = np.concatenate([nodes, ends]), np.concatenate([nodes, root])
+        counts = np.concatenate([counts, np.zeros(len(ends) - len(nodes), np.int64)])
+        told = [*map(pa.array, (ends, counts, root)), *[pa.nulls(len(ends), pa.int64())] * 2]
+        yield pa.RecordBatch.from_arrays(told, ["vec_id", "n", "root", "audited", "lost"])
+        yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (None, None, None, true, lost)], ["vec_id", "n", "root", "audited", "lost"])
+
+    found = cut(streamed(packed.drop("uid"), asks, shards, shards * blocks, opened, answer, "vec_id long, n long, root long, audited long, lost long"))
+    counts = found.where("vec_id is not null").groupBy("vec_id").agg(F.sum("n").alias("others")).withColumnRenamed("vec_id", "first_id")
     comp = components(found.where("vec_id <> root").select("vec_id", "root")).select(F.col("node").alias("first_id"), "component")
     told = classes.join(counts, "first_id", "left").join(comp, "first_id", "left")
     n_links, component = F.coalesce("others", F.lit(0)) + F.col("n") - 1, F.coalesce("component", "first_id")
@@ -431,12 +428,13 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, rows_a_shard: int =
     out = every.join(told, "vec_id", "left").withColumn("component_id", F.coalesce("component_id", "vec_id")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     out = out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
     if with_recall:
-        out = out.crossJoin(F.broadcast(packed.agg(F.coalesce(F.min("recall"), F.lit(1.0)).alias("recall"))))  # one row
+        recall = F.coalesce(F.min(F.when(F.col("audited") > 0, 1 - F.col("lost") / F.col("audited"))), F.lit(1.0))
+        out = out.crossJoin(F.broadcast(found.agg(recall.alias("recall"), F.coalesce(F.sum("audited"), F.lit(0)).alias("audited"))))  # one row
     return out
 
 
-def threshold_top(x: np.ndarray, ids: np.ndarray, order: np.ndarray, q: np.ndarray, own: int, k: int, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
-    """Fagin's threshold algorithm: ids and scores of the best ``k`` rows of x for one query.
+def threshold_top(x: np.ndarray, ids: np.ndarray, uids: np.ndarray, order: np.ndarray, q: np.ndarray, own: int, k: int, first_depth: int = 32) -> tuple[np.ndarray, np.ndarray]:
+    """Fagin's threshold algorithm: ids and scores of the best ``k`` rows of x for one query (whose own row is ``own`` among ``uids``).
 
     ``order`` sorts each column of x upwards.  A dimension's list is read from the end that helps the
     query; after each deepening all rows met are scored, and reading stops once the k-th score is above the bound
@@ -460,53 +458,55 @@ def threshold_top(x: np.ndarray, ids: np.ndarray, order: np.ndarray, q: np.ndarr
         met_ids = np.concatenate([met_ids, new])
         depth = deeper
         bound = x[order[depth - 1, up], up] @ q[up] + x[order[n - depth, down], down] @ q[down]
-        others = met_ids[ids[met_ids] != own]
+        others = met_ids[uids[met_ids] != own]
         if len(others) >= k and np.partition(score[others], len(others) - k)[len(others) - k] > bound:
             break
-    others = met_ids[ids[met_ids] != own]
+    others = met_ids[uids[met_ids] != own]
     best = others[np.lexsort((ids[others], -score[others]))[:k]]
     return ids[best], score[best]
 
 
-def exact_top(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0, rows_a_shard: int = 8192, rows_a_block: int = 1024) -> DataFrame:
+def exact_top(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0, rows_a_shard: int = 8192, rows_a_block: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best partners of each row whose vec_id ``every`` divides.
 
     Components become floor(scale * x), the score is their integer inner product (exact below 2**63); ties go to the smaller vec_id.  Vectors
-    that are null, empty or hold null or non-finite components take no part; shorter ones end in zeros; a
-    query's own vec_id is no partner; rows of a repeated vec_id all count.  Each shard is sorted by
-    dimension once and answers each block of queries by the threshold algorithm; at most k rows a query and
+    that are null, empty or hold null or non-finite components take no part; shorter ones end in zeros; a query's own row is no
+    partner.  Rows of a repeated vec_id all count: each is a partner of the others, and each that asks gets ``k`` rows.  Each shard is sorted by
+    dimension once and answers the blocks of queries that are streamed past it by the threshold algorithm; at most k rows a query and
     shard are merged.
     """
-    good = usable(vectors, keep_zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
+    good = usable(vectors, keep_zero=True).select(F.monotonically_increasing_id().alias("uid"), "vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
+    good = cut(good)
     asked = F.pmod("vec_id", F.lit(every)) == 0
     size = good.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"), F.count(F.when(asked, 1)).alias("q"), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))).alias("top")).first()
     dim, shards, blocks = size["d"] or 1, max(1, -(-size["n"] // rows_a_shard)), max(1, -(-size["q"] // rows_a_block))
     whole = dim * (size["top"] or 0) ** 2 < 2**53  # then doubles are exact
-    rows = good.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    queries = good.where(asked).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
+    rows = good.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
+    queries = good.where(asked).withColumn("block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(blocks)).cast("int"))
 
     def orders(x):
-        return np.argsort(x, axis=0, kind="stable").astype("<u2" if len(x) < 65536 else "<i4").tobytes(), 0, 1.0
+        return np.argsort(x, axis=0, kind="stable").astype("<u2" if len(x) < 65536 else "<i4").tobytes()
+
+    holds = shard_rows(rows, "shard", dim, orders)
+    asks = shard_rows(queries, "block", dim).drop("extra").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
 
-    holds = cut(shard_rows(rows, "shard", dim, orders)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asks = cut(shard_rows(queries, "block", dim)).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    def opened(row):
+        ids, x, _, uids = _unpack(row, dim)
+        order = np.frombuffer(row["extra"], "<u2" if len(x) < 65536 else "<i4").reshape(x.shape).astype(np.int64)
+        return ids, uids, x if whole else x.astype(np.int64), order
 
-    def meet(key, left, right):
+    def answer(hold, row):
         import pyarrow as pa
 
-        out = ([], [], [])
-        if left.num_rows and right.num_rows:
-            ids, x, _ = _unpack(right, dim)
-            ids_q, q, _ = _unpack(left, dim)
-            x, q = (x, q) if whole else (x.astype(np.int64), q.astype(np.int64))
-            held = right.column("extra")[0].as_py()
-            order = np.frombuffer(held, "<u2" if len(x) < 65536 else "<i4").reshape(x.shape).astype(np.int64)
-            for i, v in zip(ids_q.tolist(), q):
-                best, score = threshold_top(x, ids, order, v, i, k)
-                for c, values in zip(out, ([i] * len(best), best, score.astype(np.int64))):
-                    c.append(np.asarray(values, dtype=np.int64))
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(c) if c else np.empty(0, dtype=np.int64) for c in out))))
-
-    found = asks.groupBy("shard", "block").cogroup(holds.groupBy("shard", "block")).applyInArrow(meet, "query_id long, vec_id long, score long")
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        ids, uids, x, order = hold
+        ids_q, q, _, uids_q = _unpack(row, dim)
+        out = ([], [], [], [])
+        for i, u, v in zip(ids_q.tolist(), uids_q.tolist(), q if whole else q.astype(np.int64)):
+            best, score = threshold_top(x, ids, uids, order, v, u, k)
+            for c, values in zip(out, ([u] * len(best), [i] * len(best), best, score.astype(np.int64))):
+                c.append(np.asarray(values, dtype=np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in out], ["uid", "query_id", "vec_id", "score"])
+
+    found = streamed(holds, asks, shards, blocks, opened, answer, "uid long, query_id long, vec_id long, score long")
+    place = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
