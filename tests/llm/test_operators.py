@@ -401,19 +401,20 @@ def test_pii_is_linear_in_a_text():
         assert time.process_time() - began < 5
 
 
-def test_pii_added_spans_on_other_writings(spark):
-    """Held-out recall and precision on addresses and numbers that no base pattern takes."""
+@pytest.mark.parametrize("many,tail", [(200, ""), (200, " in room 7"), (600, " in room 7"), (1600, " in room 7")])
+def test_pii_added_spans_on_other_writings(spark, many, tail):
+    """Recall and precision on addresses that no base pattern takes, however large their share of the texts that are drawn."""
     rng = random.Random(3)
     name = lambda: "".join(rng.choice("abcdefgilmnorstu") for _ in range(rng.randint(3, 8)))
     mail = lambda: f"{name()}@{name()}.{rng.choice(['com', 'org', 'net'])}"
     ip = lambda: ".".join(str(rng.randrange(256)) for _ in range(4))
     phone = lambda: f"+{rng.randint(1, 99)} ({rng.randint(200, 999)}) {rng.randint(100, 999)}-{rng.randint(1000, 9999)}"
     plain = [f"the {name()} of {name()} write to {mail()} or call {phone()} at host {ip()} in version {rng.randrange(9)}.{rng.randrange(20)}.{rng.randrange(9)} of 20{rng.randint(10, 24)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}" for _ in range(600)]
-    spelt = [mail().replace("@", " [at] ").replace(".", " [dot] ") for _ in range(100)] + [mail().replace("@", " at ").replace(".", " dot ") for _ in range(100)]
+    spelt = [mail().replace("@", " [at] ").replace(".", " [dot] ") for _ in range(many // 2)] + [mail().replace("@", " at ").replace(".", " dot ") for _ in range(many // 2)]
     clean = [f"we met at the {name()} at {rng.randrange(1, 12)} on 20{rng.randint(10, 24)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)} in {name()}" for _ in range(200)]
-    rows = [(i, t) for i, t in enumerate(plain)] + [(10_000 + i, f"please write to {t} today") for i, t in enumerate(spelt)] + [(20_000 + i, t) for i, t in enumerate(clean)]
+    rows = [(i, t) for i, t in enumerate(plain)] + [(10_000 + i, f"please write to {t} today{tail}") for i, t in enumerate(spelt)] + [(20_000 + i, t) for i, t in enumerate(clean)]
     got = {r["doc_id"]: r["n_added"] for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert sum(got[10_000 + i] > 0 for i in range(200)) >= 180
+    assert sum(got[10_000 + i] > 0 for i in range(many)) >= 0.9 * many
     assert sum(got[20_000 + i] > 0 for i in range(200)) <= 4
 
 
