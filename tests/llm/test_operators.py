@@ -474,6 +474,29 @@ def test_mixing_of_overlapping_posteriors(spark):
 
 
 @pytest.mark.filterwarnings("ignore:mixing")
+def test_mixing_rates_against_an_independent_solver(spark):
+    """Damped Newton steps on the dual of "nearest to 1" in numpy: both meet the goals, by much the same rates; copies are unbiased."""
+    rng = np.random.default_rng(9)
+    p = rng.dirichlet((0.6, 0.5, 0.4), 4000)
+    t = rng.integers(1, 400, 4000).astype(float)
+    schema = "doc_id long, __tokens double, __p array<double>"
+    rows = spark.createDataFrame([(i, float(t[i]), p[i].tolist()) for i in range(len(t))], schema)
+    total = 0.6 * t.sum()
+    goal = total * np.array([0.8, 0.08, 0.12])
+    m = np.zeros(3)
+    for _ in range(200):
+        r = np.maximum(0, 1 - p @ m)
+        step = np.linalg.solve((p * (t * (r > 0))[:, None]).T @ p + 1e-6 * np.eye(3), p.T @ (t * r) - goal)
+        m += 0.5 * step
+    want = np.maximum(0, 1 - p @ m)
+    assert np.allclose(p.T @ (t * want), goal, rtol=1e-4)
+    moves = mixing.fit(rows, dict(zip(mixing.DOMAINS, (0.8, 0.08, 0.12))), total)
+    got = {r["doc_id"]: (r["__rate"], r["__copies"]) for r in mixing._decided(rows, moves).collect()}
+    rate, copies = np.array([got[i] for i in range(len(t))]).T
+    assert (rate >= 0).all() and np.allclose(p.T @ (t * rate), goal, rtol=0.003)
+    assert np.abs(rate - want).mean() < 0.1 and abs((t * copies).sum() / (t * rate).sum() - 1) < 0.03
+
+
 def test_mixing_keeps_clean_documents_where_a_domain_is_scarce(spark):
     for poor, toxic in ((20, 800), (4, 800), (2, 8), (0, 800), (800, 2)):
         p = [[0.0, 1.0, 0.0]] * poor + [[0.0, 0.0, 1.0]] * toxic + [[1.0, 0.0, 0.0]] * (4000 - poor - toxic)

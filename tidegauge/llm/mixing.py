@@ -3,7 +3,7 @@
 Domains come from the labelled table: ``good`` (quality 1, not toxic), ``poor`` (quality 0) and ``toxic``.  A
 classifier of telling words, calibrated on labels held out, gives every document a posterior over the domains.  Document rates r >= 0 then
 bring the expected token totals sum(r * tokens * posterior) to weight * total with the least change from r = 1,
-by projected Newton steps; a domain of too few tokens stays below its goal.
+by projected-gradient least squares; a domain of too few tokens stays below its goal.
 """
 
 from __future__ import annotations
@@ -159,17 +159,18 @@ def with_posteriors(docs: DataFrame, model: tuple) -> DataFrame:
 
 
 def _rate(steps: list[list[float]]) -> Column:
-    """r from 1 by moves along the document's own posterior, each projected to r >= 0."""
+    """r from 1 by moves along the document's own posterior, each projected to r >= 0; a rate within 0.01 of a whole number is it."""
     moves = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
     moved = lambda r, h: F.greatest(F.lit(0.0), r - sum((F.col("__p")[d] * h[d] for d in range(1, len(DOMAINS))), F.col("__p")[0] * h[0]))
-    return F.aggregate(moves, F.lit(1.0), moved)
+    return F.aggregate(moves, F.lit(1.0), moved, lambda r: F.when(F.abs(r - F.round(r)) <= 0.01, F.round(r)).otherwise(r))
 
 
 def fit(rows: DataFrame, targets: dict[str, float], total: float | None = None, most_steps: int = 60, close: float = 3e-3) -> list[list[float]]:
-    """The move that brings the token totals to their goals, from totals only (a row of sums an iteration).
+    """The moves that bring the token totals to their goals: projected-gradient least squares, a row of sums an iteration.
 
-    Of all rates that meet the goals it gives those nearest to 1, r = max(0, 1 - posterior . move), by Newton steps
-    with halving on the dual, which is convex.  ``total`` is the number of tokens wanted; by default that of which the good documents,
+    With rates r, tokens t and posteriors p, the squared miss of the totals sum(t r p) has the gradient t p . miss.  Each iteration moves
+    every rate by r = max(0, r - p . h), h the miss preconditioned by the Gram matrix of the rows that aren't at zero, halved until the squared miss falls.
+    ``total`` is the number of tokens wanted; by default that of which the good documents,
     kept once, have their share.  A domain that has less than its share of it is then left as it is, never made
     up for by dropping others, and a warning tells what it has; so it does if goals are not met to ``close``.
     """
@@ -180,16 +181,14 @@ def fit(rows: DataFrame, targets: dict[str, float], total: float | None = None,
     k = len(DOMAINS)
     p = [F.col("__p")[d] for d in range(k)]
 
-    def at(move):
-        r, t = _rate([move.tolist()]), F.col("__tokens")
-        rated = rows.select(r.alias("r"), t.alias("__tokens"), "__p")
+    def at(moves):
+        t = F.col("__tokens")
+        rated = rows.select(_rate(moves).alias("r"), t.alias("__tokens"), "__p")
         on = F.when(F.col("r") > 0, t).otherwise(0.0)
-        now = rated.agg(F.sum(t * F.col("r") * F.col("r")).alias("q"), *[F.sum(t * F.col("r") * p[d]).alias(f"t{d}") for d in range(k)], *[F.sum(on * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]).first()
-        gram = np.array([[now[f"g{i}{j}"] or 0.0 for j in range(k)] for i in range(k)])
-        return now["q"] or 0.0, np.array([now[f"t{d}"] or 0.0 for d in range(k)]), gram
+        now = rated.agg(*[F.sum(t * F.col("r") * p[d]).alias(f"t{d}") for d in range(k)], *[F.sum(on * p[i] * p[j]).alias(f"g{i}{j}") for i in range(k) for j in range(k)]).first()
+        return np.array([now[f"t{d}"] or 0.0 for d in range(k)]), np.array([[now[f"g{i}{j}"] or 0.0 for j in range(k)] for i in range(k)])
 
-    began = at(np.zeros(k))
-    have = began[1]
+    have, gram = at([])
     if not have.sum():
         return []
     weight = np.array([targets[d] for d in DOMAINS], dtype=float)
@@ -198,47 +197,36 @@ def fit(rows: DataFrame, targets: dict[str, float], total: float | None = None,
         total = have[0] / weight[0] if weight[0] > 0 and have[0] > 0 else min(h / w for h, w in zip(have, weight) if w > 0 and h > 0)
     goal = total * weight
     bound = (have >= goal * (1 - 1e-9)) | bool(asked)
-    soft = 1e-7 * np.maximum(have, 1e-3 * have.sum())
     allowed = close * np.where(goal > 0, goal, 1e-3 * total)
-    move = np.zeros(k)
-    while True:
-        quad, have, gram = began if not move.any() else at(move)
-        value = quad / 2 + goal @ move + soft @ move**2 / 2
-        for _ in range(most_steps):
-            down = np.where(bound, have - goal - soft * move, 0.0)
-            if (abs(have - goal) <= allowed)[bound].all() or abs(down).max() <= 1e-9 * total:
-                break
-            free = np.flatnonzero(bound)
-            step = np.zeros(k)
-            step[free] = np.linalg.solve(gram[np.ix_(free, free)] + np.diag(soft[free]), down[free])
-            for _ in range(30):
-                quad, new, gram_new = at(move + step)
-                value_new = quad / 2 + goal @ (move + step) + soft @ (move + step) ** 2 / 2
-                if value_new <= value - 1e-4 * (down @ step):
-                    break
-                step = step / 2
-            else:
+    missed = lambda have: np.where(bound, have - goal, 0.0)
+    cost = lambda have: float(((missed(have) / allowed) ** 2).sum())
+    moves: list[list[float]] = []
+    for _ in range(most_steps):
+        bound = bound | (have > goal + allowed)
+        if (abs(missed(have)) <= allowed).all():
+            break
+        free = np.flatnonzero(bound)
+        part = gram[np.ix_(free, free)]
+        h = np.zeros(k)
+        h[free] = np.linalg.solve(part + 1e-9 * (np.trace(part) + 1e-12) * np.eye(len(free)), missed(have)[free])
+        for _ in range(12):
+            new, new_gram = at([*moves, h.tolist()])
+            if cost(new) < cost(have) * (1 - 1e-6):
                 break
-            move, have, gram, value = move + step, new, gram_new, value_new
-        over = ~bound & (have > goal + allowed)
-        if not over.any():
+            h = h / 2
+        else:
             break
-        bound = bound | over
+        moves, have, gram = [*moves, h.tolist()], new, new_gram
     unmet = {DOMAINS[d]: f"{have[d]:.0f} of {goal[d]:.0f} tokens" for d in range(k) if abs(have[d] - goal[d]) > allowed[d]}
     if unmet:
         warnings.warn(f"mixing: goals not met: {unmet}", stacklevel=2)
-    return [move.tolist()] if move.any() else []
+    return moves
 
 
 def _decided(rows: DataFrame, steps: list[list[float]]) -> DataFrame:
-    """__rate, and __copies: the rate rounded down or up by a hash of doc_id, so that its mean is the rate.
-
-    Rates within 0.01 of a whole number count as it.
-    """
+    """__rate, and __copies: the rate rounded down or up by a hash of doc_id, so that its mean is the rate."""
     u = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1_000_003)) / 1_000_003.0
-    rated = rows.withColumn("__rate", _rate(steps))
-    near = F.abs(F.col("__rate") - F.round("__rate")) <= 0.01
-    return rated.withColumn("__copies", F.when(near, F.round("__rate")).otherwise(F.floor(F.col("__rate") + u)).cast("int"))
+    return rows.withColumn("__rate", _rate(steps)).withColumn("__copies", F.floor(F.col("__rate") + u).cast("int"))
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None) -> DataFrame:
@@ -254,7 +242,10 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, total: float | None = None) -> DataFrame:
-    """``docs``, all columns, each row as many times as its rate says."""
+    """``docs``, all columns, each row as many times as its rate says.
+
+    Nulls, empty texts, repeated rows and scarce domains are treated as ``rates`` has it; an empty table stays empty.
+    """
     model = train(docs, labels)
     rows = stored(with_posteriors(docs, model), "mixing")
     out = _decided(rows, fit(rows, targets, total)).where("__copies > 0")
