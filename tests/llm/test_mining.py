@@ -181,3 +181,34 @@ def test_hard_negatives(spark, scale):
     got = negatives.hard_negatives(table, F.col("label"), 20, 4, 6, scale=scale, rows_a_shard=90, rows_a_block=7)
     assert sorted(map(tuple, got.collect())) == hard(rows, 20, 4, 6, 30, 90, scale)
     assert negatives.hard_negatives(table.where("false"), F.col("label")).count() == 0
+
+
+def test_long_texts_are_worked_on_in_windows():
+    """Texts above a million characters: the same scores and fingerprints as in one piece."""
+    from tidegauge.llm import quality, simhash
+
+    rng = random.Random(2)
+    words = ["the", "of", "Été", "x" * 40, "a\nb", "don't", "3.14", "日本", "same same"]
+    text = " ".join(rng.choice(words) for _ in range(300_000))
+    assert len(text) > 1_000_000
+    model = quality.Attention()
+    whole = model.forward(*quality.passages([text, "short"]))["y"]
+    assert np.allclose(model.score([text, "short"]), whole, atol=1e-4)
+    assert np.allclose(np.concatenate(list(quality.long_passages(text))), quality.passages([text])[0], atol=1e-6)
+    for size in (1, 7, 1000, 1 << 20):
+        for t in (text[: 3000 if size < 100 else None], "", "one", "a b", "A b\tc\nD", " \n ", None):
+            w = (t or "").encode().lower().split()
+            assert simhash.fingerprint(t, 3, size) == simhash.fingerprint(t, 3, 1 << 30)
+            assert len(w) != 2 or simhash.fingerprint(t, 3, size) != 0
+
+
+def test_a_shingle_outside_the_frequent_ones_is_split_too(spark):
+    """A key that no list names but many texts share is cut into blocks: no group is lost, whatever the block."""
+    from tidegauge.llm import near_texts
+
+    rng = random.Random(5)
+    stem = "".join(chr(97 + rng.randrange(26)) for _ in range(6))
+    rows = [(i, f"{stem} one two three four " + " ".join(f"u{i}w{k}" for k in range(rng.choice([0, 1, 25])))) for i in range(160)]
+    keyed = near_texts.row_keys(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"])
+    few, many = ({r["doc_id"]: r["component_id"] for r in near_texts.groups(keyed, block=b).collect()} for b in (16, 4096))
+    assert few == many and len(set(few.values())) > 1

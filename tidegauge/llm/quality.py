@@ -32,8 +32,34 @@ CLASSES = _classes()
 _SPREAD = np.random.default_rng(0).integers(1, 2**63, 64, dtype=np.uint64)
 
 
+#: Bytes of a text that are worked on at once, and of its neighbourhood that they are seen with, for words cut by the edges.
+WINDOW, MARGIN = 1 << 20, 1 << 12
+
+
+def _features(raw: np.ndarray, at: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Features of ``rows`` passages out of bytes, their places in their texts, and the passages that they fall to (below zero: only seen)."""
+    if len(raw) < 2:
+        return np.zeros((rows, WIDTH), dtype=np.float32)
+    c = CLASSES[raw].astype(np.int32)
+    inside = (at[1:] > 0) & (row[1:] >= 0)
+    flat = (row[1:] * PAIRS + c[:-1] * 16 + c[1:])[inside]
+    x = np.bincount(flat, minlength=rows * PAIRS).reshape(rows, PAIRS).astype(np.float32)
+    again = np.zeros((rows, 1), dtype=np.float32)
+    black = (c != 5) & (c != 6) & (c != 0)
+    starts = np.flatnonzero(black & (np.concatenate([[True], ~black[:-1]]) | (at == 0)))
+    if len(starts):
+        place = np.arange(len(raw)) - np.concatenate([np.zeros(starts[0], dtype=np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw))))])
+        key = np.add.reduceat(np.where(black, raw.astype(np.uint64) * _SPREAD[place & 63], 0).astype(np.uint64), starts)
+        same = np.concatenate([[False], (key[1:] == key[:-1]) & (at[starts[1:]] > at[starts[:-1]])])
+        own = row[starts] >= 0
+        words = np.bincount(row[starts][own], minlength=rows)
+        again = (np.bincount(row[starts][own], same[own], rows) / np.maximum(1, words)).astype(np.float32)[:, None]
+    x = np.concatenate([x / np.maximum(1, x.sum(axis=1, keepdims=True)), again], axis=1)
+    return np.sqrt(x)
+
+
 def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and passages per text.
+    """Features and passages per text, of texts that are short enough to be worked on at once.
 
     A passage's features are the roots of the shares of its pairs of neighbouring classes, and of the share of
     its words that repeat the word before.
@@ -42,26 +68,19 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(b) for b in blobs], dtype=np.int64)
     counts = np.maximum(1, -(-sizes // PASSAGE))
     raw = np.frombuffer(b"".join(blobs), dtype=np.uint8)
-    rows = int(counts.sum())
-    x, again = np.zeros((rows, PAIRS), dtype=np.float32), np.zeros((rows, 1), dtype=np.float32)
-    if len(raw) > 1:
-        c = CLASSES[raw].astype(np.int32)
-        first = np.cumsum(sizes) - sizes
-        at = np.arange(len(raw)) - np.repeat(first, sizes)
-        row = np.repeat(np.cumsum(counts) - counts, sizes) + at // PASSAGE
-        inside = at[1:] > 0
-        flat = (row[1:] * PAIRS + c[:-1] * 16 + c[1:])[inside]
-        x = np.bincount(flat, minlength=rows * PAIRS).reshape(rows, PAIRS).astype(np.float32)
-        black = (c != 5) & (c != 6) & (c != 0)
-        starts = np.flatnonzero(black & (np.concatenate([[True], ~black[:-1]]) | (at == 0)))
-        if len(starts):
-            place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw)))) if starts[0] == 0 else np.arange(len(raw)) - np.concatenate([np.zeros(starts[0], dtype=np.int64), np.repeat(starts, np.diff(np.append(starts, len(raw))))])
-            key = np.add.reduceat(np.where(black, raw.astype(np.uint64) * _SPREAD[place & 63], 0).astype(np.uint64), starts)
-            same = np.concatenate([[False], (key[1:] == key[:-1]) & (at[starts[1:]] > at[starts[:-1]])])
-            words = np.bincount(row[starts], minlength=rows)
-            again = (np.bincount(row[starts], same, rows) / np.maximum(1, words)).astype(np.float32)[:, None]
-    x = np.concatenate([x / np.maximum(1, x.sum(axis=1, keepdims=True)), again], axis=1)
-    return np.sqrt(x), counts
+    at = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return _features(raw, at, np.repeat(np.cumsum(counts) - counts, sizes) + at // PASSAGE, int(counts.sum())), counts
+
+
+def long_passages(text: str):
+    """The features of a long text's passages, some at a time, so that memory beyond the text itself is bounded."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    for lo in range(0, len(raw), WINDOW):
+        hi = min(len(raw), lo + WINDOW)
+        first, last = max(0, lo - MARGIN), min(len(raw), hi + MARGIN)
+        at = np.arange(first, last)
+        row = np.where((at >= lo) & (at < hi), (at - lo) // PASSAGE, -1)
+        yield _features(raw[first:last], at, row, -(-(hi - lo) // PASSAGE))
 
 
 class Attention:
@@ -85,6 +104,24 @@ class Attention:
         y = 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))
         return {"h": h, "t": t, "s": s, "a": a, "z": z, "y": y}
 
+    def score(self, texts: list[str]) -> np.ndarray:
+        """Scores of texts; a long one's attention is summed over windows of passages, as one softmax."""
+        out = np.zeros(len(texts))
+        short = [i for i, t in enumerate(texts) if len(t) <= WINDOW // 4]
+        if short:
+            out[short] = self.forward(*passages([texts[i] for i in short]))["y"]
+        for i in set(range(len(texts))) - set(short):
+            top, total, z = -np.inf, 0.0, 0.0
+            for x in long_passages(texts[i]):
+                h = np.tanh(x @ self.p["W"] + self.p["b"])
+                e = (np.tanh(h @ self.p["V"]) / (1 + np.exp(-(h @ self.p["U"])))) @ self.p["w"]
+                higher = max(top, float(e.max()))
+                w = np.exp(e - higher)
+                scale = np.exp(top - higher)
+                top, total, z = higher, total * scale + w.sum(), z * scale + w @ h
+            out[i] = 1 / (1 + np.exp(-np.clip(z / total @ self.p["c"] + self.p["d"][0], -30, 30)))
+        return out
+
     def gradients(self, x: np.ndarray, counts: np.ndarray, label: np.ndarray, weight: np.ndarray) -> dict:
         p, f, starts = self.p, self.forward(x, counts), np.cumsum(counts) - counts
         dy = (f["y"] - label) * weight / weight.sum()
@@ -158,7 +195,7 @@ def with_scores(docs: DataFrame, model: Attention, name: str = "score") -> DataF
         own.p = params.value
         for batch in batches:
             for part in slices(batch, at):
-                y = own.forward(*passages([t or "" for t in part.column(at).to_pylist()]))["y"]
+                y = own.score([t or "" for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(y.astype(np.float64))], [*part.schema.names, name])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
@@ -178,7 +215,7 @@ def scored(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier doesn't reject."""
+    """The rows of ``docs``, all columns, that the classifier doesn't reject; nulls, repeats and empty tables as ``scored`` has it."""
     model = train(docs, labels)
     name = "score"
     while name in docs.columns:

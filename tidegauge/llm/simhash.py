@@ -29,23 +29,35 @@ def masks(radius: int) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64-bit SimHash of the shingles of ``words`` words, repeats included."""
+def _word_windows(blob: bytes, words: int, size: int):
+    """Lists of words, some at a time; each begins with the last ``words`` - 1 of the one before, so that every shingle lies in just one."""
+    import re
+
+    end, tail = 0, []
+    while end < len(blob):
+        start, end = end, min(len(blob), end + size)
+        if end < len(blob):
+            space = re.compile(rb"[\x20\x09-\x0D]").search(blob, end)
+            end = space.start() if space else len(blob)
+        w = tail + blob[start:end].lower().split()
+        yield w
+        tail = w[len(w) - words + 1 :] if len(w) >= words else w
+
+
+def fingerprint(text: str | None, words: int = 3, size: int = 1 << 20) -> int:
+    """64-bit SimHash of the shingles of ``words`` words, repeats included; about ``size`` bytes of text are words at a time."""
     import xxhash
 
-    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not w:
-        return 0
-    h = xxhash.xxh64_intdigest
-    if len(w) < words:
-        hashes = [h(b" ".join(w), 42)]
-    else:
-        hashes = [h(b" ".join(s), 42) for s in zip(*(w[i:] for i in range(words)))]
-    a = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
-    ones = np.zeros(64, dtype=np.int64)
-    for lo in range(0, len(a), 65536):
-        ones += np.unpackbits(a[lo : lo + 65536], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    h, ones, n, w = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64), 0, []
+    for w in _word_windows((text or "").encode("utf-8", "surrogatepass"), words, size):
+        hashes = [h(b" ".join(s), 42) for s in zip(*(w[i:] for i in range(words)))] if len(w) >= words else []
+        a = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+        for lo in range(0, len(a), 65536):
+            ones += np.unpackbits(a[lo : lo + 65536], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    if not n and w:  # fewer words than a shingle has: the whole sequence
+        return h(b" ".join(w), 42)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]) if n else 0
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
