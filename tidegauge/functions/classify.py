@@ -96,3 +96,14 @@ def check_digit(code6: Column) -> Column:
         p = d * (1 + i % 2)
         total = total + F.when(p > 9, p - 9).otherwise(p)
     return (code6 * 10 + (10 - total % 10) % 10).cast("long")
+
+
+def subclass_code(raw: Column) -> Column:
+    """Seven digits of a subclass given as text, perhaps without its leading zero."""
+    return F.lpad(F.trim(raw), 7, "0")
+
+
+def section_of_code(code: Column) -> Column:
+    """The section of a seven-digit subclass; Z for the sentinel, a null, or a division in no section."""
+    section = section_of(F.substring(code, 1, 2).try_cast("int"))
+    return F.coalesce(F.when(code != str(NO_SUBCLASS), section), F.lit("Z"))

@@ -105,3 +105,22 @@ def summary(checks: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     parts = [df.agg(F.lit(name).alias("check"), F.lit(severity).alias("severity"), F.count("*").alias("violations")) for name, (severity, df) in checks.items()]
     status = F.when(F.col("violations") == 0, "PASS").when(F.col("severity") == SEVERITY_WARN, "WARN").otherwise("ERROR")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+
+
+def not_unique(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row: how many rows share their keys with another (rows with a null key aren't looked at)."""
+    twice = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return twice.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+
+
+def unrelated(rows: DataFrame, column: str, dimension: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows have a value that the dimension lacks (a null relates to nothing and isn't counted)."""
+    lone = rows.where(F.col(column).isNotNull()).join(dimension.select(F.col(key).alias(column)).distinct(), column, "left_anti")
+    return lone.agg(F.count("*").alias("violations"))
+
+
+def named_rules(rules: dict[str, DataFrame]) -> DataFrame:
+    """rule and violations of rules that each give one row."""
+    from functools import reduce
+
+    return reduce(DataFrame.unionByName, [one.select(F.lit(name).alias("rule"), "violations") for name, one in rules.items()])

@@ -78,3 +78,38 @@ def yearly_growth(rows: DataFrame, *keys: str) -> DataFrame:
     past = rows.select(*by, months.shift(F.col("month"), 12).alias("month"), F.col("n").alias("n_before"), F.col("cents").alias("cents_before"))
     growth = lambda c: percent(F.col(c) - F.col(f"{c}_before"), F.col(f"{c}_before"))
     return rows.join(past, [*by, "month"]).select(*by, "month", "n", "cents", growth("n").alias("growth_n"), growth("cents").alias("growth_value"))
+
+
+def ledger_months(entries: DataFrame) -> DataFrame:
+    """month, runs, committed: what each month's own entries commit, a run's reserve while no entry of the month closes it."""
+    month = (F.year("at") * 100 + F.month("at")).cast("long")
+    dated = entries.withColumn("month", month).withColumn("run", F.struct("month", "run"))
+    runs = ledger_runs(dated)
+    return runs.groupBy(F.col("run.month").alias("month")).agg(F.count("*").alias("runs"), F.sum("committed").alias("committed"))
+
+
+def residual_status(rows: DataFrame, given: DataFrame, total: str, named: list[str]) -> DataFrame:
+    """month, residual, given, status of the category that a table leaves out.
+
+    incomplete: the total or a named category is missing; derived: nothing is given; agrees or differs: what is given (month, net) against
+    total - sum of the named ones.
+    """
+    both = residual(rows, total, named).join(given.select("month", F.col("net").alias("given")), "month", "left")
+    status = F.when(F.col("residual").isNull(), "incomplete").when(F.col("given").isNull(), "derived").when(F.col("given") == F.col("residual"), "agrees")
+    return both.select("month", "residual", "given", status.otherwise("differs").alias("status"))
+
+
+def renamed(official: DataFrame, names: dict[str, str], column: str = "grouping") -> DataFrame:
+    """An official table under our names; two of its names for one of ours is an error, a name that isn't mapped stays."""
+    twice = sorted({ours for ours in names.values() if list(names.values()).count(ours) > 1})
+    if twice:
+        raise ValueError(f"more than one name is mapped to {', '.join(twice)}")
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return official.withColumn(column, F.coalesce(known[F.col(column)], F.col(column)))
+
+
+def with_totals(rows: DataFrame, measures: list[str], total: str = "TOTAL") -> DataFrame:
+    """Rows (month, grouping, measures) with a total row a month, unless the month has one; a measure that is null in all is null."""
+    have = rows.where(F.col("grouping") == total).select("month").distinct()
+    sums = rows.where(F.col("grouping") != total).groupBy("month").agg(F.lit(total).alias("grouping"), *[F.sum(m).alias(m) for m in measures])
+    return rows.select("month", "grouping", *measures).unionByName(sums.join(have, "month", "left_anti").select("month", "grouping", *measures))

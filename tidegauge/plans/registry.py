@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analyses, editions, files, marts, places, published, sql
+from . import analyses, audits, editions, files, marts, places, published, sql
 
-QUERIES = marts.QUERIES | analyses.QUERIES | editions.QUERIES | files.QUERIES | places.QUERIES | published.QUERIES
-SQL = sql.SQL | analyses.SQL | editions.SQL | files.SQL | places.SQL | published.SQL
+QUERIES = marts.QUERIES | analyses.QUERIES | audits.QUERIES | editions.QUERIES | files.QUERIES | places.QUERIES | published.QUERIES
+SQL = sql.SQL | analyses.SQL | audits.SQL | editions.SQL | files.SQL | places.SQL | published.SQL

@@ -105,6 +105,33 @@ def indicator_scan(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("town", F.explode("series").alias("v")).select("town", "v.month", "v.n")
 
 
+def pinned_scan(spark: SparkSession, folder: str, feed: str, month: int | str = "*") -> DataFrame:
+    """All-string rows of one feed's files of one month, or of every month (``*``), out of a folder laid out by feed and file_month.
+
+    The month is part of the path that is listed, so no other month's file is even looked at.  No file: an error, as of any path.
+    """
+    reader = spark.read.option("basePath", folder).option("sep", ";").option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
+    rows = reader.csv(f"{folder}/feed={feed}/file_month={month}")
+    return rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns])
+
+
+def seed_scan(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """A typed dimension out of CSV: the header must be the schema's names in order; a value of another type is an error."""
+    reader = spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False)
+    return reader.option("mode", "FAILFAST").option("nullValue", "").csv(path)
+
+
+def folder_scan(spark: SparkSession, path: str) -> DataFrame:
+    """All-string rows of a folder of CSV files, united by name, each with its file's name."""
+    return scan(spark, [path], sep=",")
+
+
+def rate_scan(spark: SparkSession, path: str) -> DataFrame:
+    """day and value of a rate's JSON (days as dd/MM/yyyy, values as text with a decimal point); a day that doesn't parse is an error."""
+    rows = spark.read.schema("data string, valor string").option("mode", "FAILFAST").json(path)
+    return rows.select(F.to_date("data", "dd/MM/yyyy").alias("day"), F.col("valor").cast("double").alias("value"))
+
+
 def replace_whole(rows: DataFrame, path: str, log_path: str, label: str) -> None:
     """Replaces the whole table and adds a line to the load log, only after all rows have been written elsewhere."""
     staged = f"{path}-staged"
