@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn, id_and_text, slices
+from .common import drawn, id_and_text, release, slices
 
 # Fixed values of the contract: kinds in their order, and the base patterns, each anchored so that a text is read once:
 # email [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ from its @ outwards; ip [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+) as fours of
@@ -284,7 +284,7 @@ def train(docs: DataFrame, sampled: int = 1500, most: int = 24_000) -> tuple[Boo
                 yield pa.RecordBatch.from_pydict({"x": pa.array([f[0] for f in found], pa.list_(pa.float64())), "y": pa.array([f[1] for f in found], pa.int32()), "kind": pa.array([f[2] for f in found], pa.int32()), "fold": pa.array(fold, pa.int32())})
 
     got = drawn(rows, sampled).mapInArrow(run, "x array<double>, y int, kind int, fold int").orderBy(F.xxhash64("x", "y", "fold")).limit(most).toArrow()
-    x = np.array(got.column("x").to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
+    x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, FEATURES)
     y, kind, fold = (got.column(c).to_numpy().astype(np.int64) for c in ("y", "kind", "fold"))
     grown, told = (fold != 0, fold == 0) if len(set(fold.tolist())) > 1 else (fold >= 0, fold >= 0)
     model = Boosted().fit(x[grown], y[grown])
@@ -295,6 +295,8 @@ def train(docs: DataFrame, sampled: int = 1500, most: int = 24_000) -> tuple[Boo
         right = np.cumsum(y[own][order]) / np.arange(1, own.sum() + 1)
         ok = np.flatnonzero(right >= 0.995)
         least.append(max(0.5, float(s[own][order][ok[-1]]) if len(ok) else 1.1))
+    del got, x
+    release()
     return model, least
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, slices
+from .common import id_and_text, release, slices
 
 PASSAGE = 512  # bytes
 PAIRS = 256
@@ -180,7 +180,10 @@ def train(docs: DataFrame, labels: DataFrame, sampled: int = 4000, most_passages
 
     got = rows.select("doc_id", "text", "quality").mapInArrow(features, "doc_id long, quality int, x binary").toArrow().sort_by([("doc_id", "ascending")])
     bags = [np.frombuffer(b.as_buffer(), dtype=np.float16).astype(np.float32).reshape(-1, WIDTH) for b in got.column("x")]
-    return Attention().fit(bags, got.column("quality").to_numpy().astype(np.float64))
+    model = Attention().fit(bags, got.column("quality").to_numpy().astype(np.float64))
+    del got, bags
+    release()
+    return model
 
 
 def with_scores(docs: DataFrame, model: Attention, name: str = "score") -> DataFrame:
