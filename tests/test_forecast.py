@@ -42,7 +42,7 @@ def test_every_method_from_every_origin(spark):
         for name, said in zip(("seasonal", "naive"), by_hand(y, t, horizon)):
             got = [errors[name, "a", month[t], k + 1]["error"] for k in range(horizon)]
             assert np.allclose(got, y[t + 1 : t + 1 + horizon, 2] - said, atol=1e-3)
-        smooth = y[t, 2] + np.cumsum(P._damped(y[: t + 1, 0], horizon, quick=True) - P._damped(y[: t + 1, 1], horizon, quick=True))
+        smooth = y[t, 2] + np.cumsum(np.subtract(*(P._smoothed(y[: t + 1, c], [t + 1], horizon, quick=True)[0][0] for c in (0, 1))))
         assert np.allclose([errors["smooth", "a", month[t], k + 1]["error"] for k in range(horizon)], y[t + 1 : t + 1 + horizon, 2] - smooth, atol=1e-3)
         for k in range(1, horizon + 1):
             mean = np.mean([errors[m, "a", month[t], k]["error_net"] for m in ("seasonal", "smooth")])
@@ -55,7 +55,7 @@ def test_every_method_from_every_origin(spark):
 def test_smoothing_finds_a_pattern():
     t = np.arange(60)
     y = np.exp(4 + 0.3 * np.sin(2 * np.pi * t / 12))
-    assert np.allclose(P._damped(y[:48], 12), y[48:], rtol=0.02)
+    assert np.allclose(P._smoothed(y[:48], [48], 12)[0][0], y[48:], rtol=0.02)
 
 
 def test_band_is_carried_on_by_the_root_of_the_horizon(spark):

@@ -127,6 +127,6 @@ def test_smoothing_is_fitted_no_worse_than_by_a_fine_grid():
         t = np.arange(n)
         y = np.exp(3 + 0.01 * t * rng.normal() + 0.4 * np.sin(t / 1.9) + rng.normal(0, 0.3, n).cumsum() * rng.choice([0, 0.3]) + rng.normal(0, 0.2, n))
         z = np.log(np.maximum(y, 0.5))
-        assert P._damped(y, 1, cost_only=True) <= min(P._fitted(z, grid[i : i + 256])[0].min() for i in range(0, len(grid), 256)) * (1 + 1e-9)
+        assert P._smoothed(y, [len(y)], 1)[1][0] <= min(P._fitted(z, grid[i : i + 256])[0].min() for i in range(0, len(grid), 256)) * (1 + 1e-9)
     season = np.exp(4 + np.tile(np.arange(12) / 10, 5))
-    assert np.allclose(P._damped(season[:48], 12), season[48:], rtol=0.01)
+    assert np.allclose(P._smoothed(season[:48], [48], 12)[0][0], season[48:], rtol=0.01)

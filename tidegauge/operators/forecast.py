@@ -98,92 +98,112 @@ def mae(errors: DataFrame) -> DataFrame:
 LOW, HIGH = (1e-4, 1e-4, 1e-4, 0.8), (0.9999, 0.9999, 0.9999, 0.98)
 
 
-def _paths(z, weights):
-    """Errors one step ahead of additive damped smoothing from zero states, how they move with each start state, and both for the end states.
+def _months(z, weights, live):
+    """After each month of damped additive smoothing: (moments, states), both written over by the next.
 
-    Errors and states are linear in the 14 start states (level, trend, twelve seasons), so one run with a unit start each tells
-    the best ones by least squares.  A run serves all rows of ``weights`` (level, trend, season, damping) at once.
+    Errors and states are linear in the 14 start states (level, trend, twelve seasons), so each row of ``weights`` (level, trend, season,
+    damping) is run from zero states with the data and from each unit start without them.  ``moments`` holds the sums of the products of
+    these 15 errors, ``states`` (state x row x run) the states.  Only the first ``live[t]`` rows go through month t.
     """
     import numpy as np
 
-    a, b, g, p = (w[:, None] for w in weights.T)
-    n, w = len(z), len(weights)
-    state = np.zeros((w, 15, 14))  # start (the data with zero states, then each unit start) x state
-    state[:, np.arange(1, 15), np.arange(14)] = 1
-    data = np.zeros(15)
-    errors = np.empty((n, w, 15))
-    for t in range(n):
-        data[0] = z[t]
-        s = 2 + t % 12
-        level, trend, season = state[:, :, 0], state[:, :, 1], state[:, :, s]
-        before = level + p * trend
-        e = data - before - season
-        errors[t] = e
-        new_level = before + a * e
-        state[:, :, 1] = p * trend + a * b * e
-        state[:, :, 0] = new_level
-        state[:, :, s] = season + g * (1 - a) * e
-    return errors, state
-
-
-def _fitted(z, weights):
-    """The least squared error of each row of weights over all start states, and those."""
+    w = len(weights)
+    states = np.zeros((14, w, 15))
+    states[np.arange(14), :, np.arange(1, 15)] = 1
+    moments = np.zeros((w, 15, 15))
+    columns = weights.T[:, :, None]
+    for t, k in enumerate(live):
+        a, b, g, p = columns[:, :k]
+        level, trend, season = states[0, :k], states[1, :k], states[2 + t % 12, :k]
+        damped = p * trend
+        e = -(level + damped + season)
+        e[:, 0] += z[t]
+        level += damped + a * e
+        trend[:] = damped + a * b * e
+        season += g * (1 - a) * e
+        moments[:k] += e[:, :, None] * e[:, None, :]
+        yield moments, states
+
+
+def _best(moments):
+    """The least sum of squared errors over all start states, and those."""
     import numpy as np
 
-    errors, _ = _paths(z, weights)
-    y, x = errors[:, :, 0].T, np.moveaxis(errors[:, :, 1:], 1, 0)
+    gram, cross = moments[..., 1:, 1:], moments[..., 0, 1:]
     # the seasons' common level and the level are one: a little ridge tells them apart without moving the fit
-    # sums without BLAS, whose threads would get in the way of the other tasks' on a machine
-    gram = np.einsum("wti,wtj->wij", x, x)
-    gram += 1e-9 * np.trace(gram, axis1=1, axis2=2)[:, None, None] * np.eye(14)
-    start = -np.linalg.solve(gram, np.einsum("wti,wt->wi", x, y)[:, :, None])[:, :, 0]
-    return ((y + np.einsum("wti,wi->wt", x, start)) ** 2).sum(axis=1), start
+    ridge = 1e-9 * np.trace(gram, axis1=-2, axis2=-1)[..., None, None] * np.eye(14)
+    start = -np.linalg.solve(gram + ridge, cross[..., None])[..., 0]
+    cost = moments[..., 0, 0] + (start * (2 * cross + (gram * start[..., None, :]).sum(axis=-1))).sum(axis=-1)
+    return np.maximum(cost, 0), start
 
 
-def _damped(y, horizon: int, cost_only: bool = False, quick: bool = False):
-    """Additive damped trend and season of twelve on log flows, fitted by least squares over weights and start states.
+def _fitted(z, weights, ends=None):
+    """Cost and start states of each row of weights over the first ``ends`` months (all by default), and its states after them."""
+    import numpy as np
+
+    ends = np.full(len(weights), len(z)) if ends is None else np.asarray(ends)
+    order = np.argsort(-ends, kind="stable")
+    live = (ends[:, None] > np.arange(ends.max())).sum(axis=0)
+    for moments, states in _months(z, weights[order], live):
+        pass
+    back = np.argsort(order, kind="stable")
+    return *_best(moments[back]), states[:, back]
+
+
+def _smoothed(y, ends, horizon: int, quick: bool = False):
+    """(forecasts, costs) from the first ``ends`` months each: additive damped trend and season of twelve on log flows, by least squares.
 
     The weights are sought within their bounds by a pattern search from a coarse grid's best points for each weight of the level, the trend and the season: all
-    neighbours of a point are tried in one run, with steps that shrink where none is better.  ``quick`` goes from the best point alone, to a
-    hundredth of the bounds.
+    neighbours of all points of all ends are tried in one run, with steps that shrink where none is better.  A run of the grid over all
+    months serves every end, as shorter samples are its beginnings.  ``quick`` goes from the best point alone, to a hundredth of the bounds.
     """
     from itertools import product
 
     import numpy as np
 
+    ends = np.asarray(ends)
     z = np.log(np.maximum(y, 0.5))
+    first = z[0]  # a level taken off all months only moves the start level
+    z = z - first
     low, high = np.array(LOW), np.array(HIGH)
     coarse = np.array(list(product((1e-4, 0.05, 0.3, 0.7), (0.01, 0.3, 0.7, 0.99), (0.05, 0.4, 0.9), (0.85, 0.97))))
-    cost, _ = _fitted(z, coarse)
+    at, best, of = [], [], []
+    for t, (moments, _) in enumerate(_months(z, coarse, [len(coarse)] * int(ends.max()))):
+        for i in np.flatnonzero(ends == t + 1):
+            cost, _ = _best(moments)
+            starts = np.unique([k[cost[k].argmin()] for c in (0, 1, 2) for v in np.unique(coarse[:, c]) for k in [np.flatnonzero(coarse[:, c] == v)]])
+            starts = starts[[cost[starts].argmin()]] if quick else starts
+            at.append(coarse[starts])
+            best.append(cost[starts])
+            of.append(np.full(len(starts), i))
+    at, best, of = map(np.concatenate, (at, best, of))
     moves = np.concatenate([np.eye(4), -np.eye(4), [[1, 1, 0, 0], [-1, -1, 0, 0], [1, 0, -1, 0], [-1, 0, 1, 0], [1, 0, 1, 0], [-1, 0, -1, 0]]])
-    starts = np.unique([k[cost[k].argmin()] for c in (0, 1, 2) for v in np.unique(coarse[:, c]) for k in [np.flatnonzero(coarse[:, c] == v)]])
-    starts = starts[[cost[starts].argmin()]] if quick else starts
-    at, best = coarse[starts], cost[starts]
-    step = np.full(len(starts), 0.15)
+    step = np.full(len(at), 0.15)
     for _ in range(40):
         live = np.flatnonzero(step > (1e-2 if quick else 2e-3))
         if not len(live):
             break
         tried = np.clip(at[live, None] + moves[None] * step[live, None, None] * (high - low), low, high)
-        c = _fitted(z, tried.reshape(-1, 4))[0].reshape(len(live), -1)
+        c = _fitted(z, tried.reshape(-1, 4), np.repeat(ends[of[live]], len(moves)))[0].reshape(len(live), -1)
         k = c.argmin(axis=1)
         better = c[np.arange(len(live)), k] < best[live] * (1 - 1e-7)
         at[live[better]], best[live[better]] = tried[np.flatnonzero(better), k[better]], c[np.flatnonzero(better), k[better]]
         step[live] *= np.where(better, 1.3, 0.45)
-    one = at[[best.argmin()]]
-    cost, start = _fitted(z, one)
-    if cost_only:
-        return float(cost[0])
-    _, states = _paths(z, one)
-    end = states[0, 0] + start[0] @ states[0, 1:]
+    order = np.lexsort((best, of))
+    one = at[order[np.searchsorted(of[order], np.arange(len(ends)))]]
+    cost, start, states = _fitted(z, one, ends)
+    level, trend, *seasons = states[:, :, 0] + (states[:, :, 1:] * start).sum(axis=-1)
     h = np.arange(1, horizon + 1)
-    return np.exp(end[0] + np.cumsum(one[0, 3] ** h) * end[1] + end[2 + (len(z) + h - 1) % 12])
+    season = np.array(seasons).T[np.arange(len(ends))[:, None], (ends[:, None] + h - 1) % 12]
+    return np.exp(first + level[:, None] + np.cumsum(one[:, [3]] ** h, axis=1) * trend[:, None] + season), cost
 
 
-def holt_winters(rows: DataFrame, horizon: int = 12, start: int | None = None, quick: bool = False) -> DataFrame:
+def holt_winters(rows: DataFrame, horizon: int = 12, start: int | None = None, first_origin: int | None = None) -> DataFrame:
     """Forecast of admissions and separations of each series, fitted in parallel; levels by the identity.
 
-    The sample begins with month ``start`` (the series' first by default); a series of fewer than 24 months in it has none.  ``quick``: a coarser fit, for backtests of very many origins.
+    The sample begins with month ``start`` (the series' first by default); a sample of fewer than 24 months has no forecast.  With
+    ``first_origin``: those from every origin of ``by_origin``, named as there, by the quick fit; all origins of a series (as many as
+    its months) are fitted in one go.
     """
 
     def fit(pdf):
@@ -191,12 +211,19 @@ def holt_winters(rows: DataFrame, horizon: int = 12, start: int | None = None, q
         import pandas as pd
 
         pdf = pdf.sort_values("month")
-        level = float(pdf.level.iloc[-1]) if pd.notna(pdf.level.iloc[-1]) else np.nan
-        pdf = pdf[pdf.month >= start] if start else pdf
-        if len(pdf) < 24:
+        origins = range(first_origin, len(pdf) - 1) if first_origin is not None else [len(pdf) - 1]
+        before = int((pdf.month < start).sum()) if start else 0
+        ends = np.array([i + 1 - before for i in origins if i + 1 - before >= 24], dtype=np.int64)
+        if not len(ends):
             return pd.DataFrame({"territory": [], "h": [], "admissions": [], "separations": [], "level": []})
-        a, s = (_damped(pdf[c].to_numpy(dtype=float), horizon, quick=quick) for c in ("admissions", "separations"))
-        return pd.DataFrame({"territory": pdf.territory.iloc[0], "h": np.arange(1, horizon + 1), "admissions": a, "separations": s, "level": level + np.cumsum(a - s)})
+        flows = (pdf[c].to_numpy(dtype=float)[before:] for c in ("admissions", "separations"))
+        a, s = (_smoothed(y, ends, horizon, first_origin is not None)[0] for y in flows)
+        at = ends + before - 1
+        level = pdf.level.astype(float).to_numpy()[at, None] + np.cumsum(a - s, axis=1)
+        name = pdf.territory.iloc[0]
+        names = [name] if first_origin is None else [f"{name}@{m}" for m in pdf.month.to_numpy()[at]]
+        told = {"territory": np.repeat(names, horizon), "h": np.tile(np.arange(1, horizon + 1), len(ends))}
+        return pd.DataFrame(told | {"admissions": a.ravel(), "separations": s.ravel(), "level": level.ravel()})
 
     return rows.select("territory", "month", "admissions", "separations", "level").groupBy("territory").applyInPandas(fit, "territory string, h int, admissions double, separations double, level double")
 
@@ -223,10 +250,10 @@ def by_origin(rows: DataFrame, first_origin: int = 24) -> DataFrame:
     return known.withColumn("territory", F.concat_ws("@", "territory", F.col("origin").cast("string"))).drop("origin")
 
 
-def methods(rows: DataFrame, horizon: int = 24, quick: bool = False) -> DataFrame:
-    """method, territory, h, month, admissions, separations, level by seasonal rates, smoothing, their mean and the naive way."""
+def methods(rows: DataFrame, horizon: int = 24, smooth: DataFrame | None = None) -> DataFrame:
+    """method, territory, h, month, admissions, separations, level by seasonal rates, smoothing (``smooth``, fitted here by default), their mean and the naive way."""
     columns = ["territory", "h", "month", "admissions", "separations", "level"]
-    seasonal, smooth = seasonal_rates(rows, horizon), holt_winters(rows, horizon, quick=quick)
+    seasonal, smooth = seasonal_rates(rows, horizon), smooth or holt_winters(rows, horizon)
     ahead = _ahead(rows, horizon).select("territory", "h", "month")
     every = {"seasonal": seasonal, "smooth": smooth.join(ahead, ["territory", "h"]), "combined": combined(seasonal, smooth), "naive": naive(rows, horizon)}
     doubles = [F.col(c).cast("double").alias(c) for c in columns[3:]]
@@ -235,7 +262,7 @@ def methods(rows: DataFrame, horizon: int = 24, quick: bool = False) -> DataFram
 
 def backtest_methods(rows: DataFrame, horizon: int = 24, first_origin: int = 24) -> DataFrame:
     """method, territory, origin, h, error (of the level) and error_net of every method: real less forecast."""
-    told = methods(by_origin(rows, first_origin), horizon, quick=True)
+    told = methods(by_origin(rows, first_origin), horizon, holt_winters(rows, horizon, first_origin=first_origin))
     part = F.split("territory", "@")
     told = told.select("method", part[0].alias("territory"), part[1].cast("long").alias("origin"), "h", "month", "admissions", "separations", F.col("level").alias("said"))
     real = rows.select("territory", "month", F.col("net").alias("real_net"), F.col("level").alias("real"))
