@@ -82,3 +82,28 @@ def test_first_level_and_own_anchors(spark):
     got = {r["territory"]: (r["rows"], r["first_file"]) for r in marts.anchor_adjustment(e, places, anchors).collect()}
     assert got == {"280480": (1, 202002), "28": (1, 202003)}
     assert marts.report_source(None, marts.monthly_by_grouping(e.withColumn("wage_unit", F.lit(5)).withColumn("wage", F.lit(1.0)))).first()["source"] == "on time"
+
+
+def test_shared_names_are_counted_before_requests_ask_for_them(spark):
+    """Places and requests of one name give no pairs of the two: rows moved grow with the requests, not with how many places share a name."""
+    places = spark.range(400).selectExpr("'municipality' kind", "id code", "28L state", "'Bom Jesus' name")
+    asked = spark.range(500).selectExpr("id request", "'municipality' kind", "cast(null as long) code", "28L state", "'bom jesus' name")
+    twice = spark.createDataFrame([(9, "municipality", 7, None, None), (9, "municipality", 7, None, None), (10, "municipality", 7, None, "outro")], REQUEST)
+    got = entities.resolve(asked.union(twice), places)
+    rows = got.groupBy("status", "code").count().collect()
+    assert sorted((r["status"], r["code"], r["count"]) for r in rows if r["code"] is not None) == [("duplicate", 7, 1), ("matched", 7, 1)]
+    assert {r["status"]: r["count"] for r in rows if r["code"] is None} == {"ambiguous": 500, "name conflict": 1}
+
+    def joined(plan):
+        """The most rows that a join of the plan gave."""
+        name, found = plan.nodeName(), 0
+        if name == "AdaptiveSparkPlan":
+            return joined(plan.executedPlan())
+        if "QueryStage" in name:
+            return joined(plan.plan())
+        if "Join" in name:
+            found = plan.metrics().apply("numOutputRows").value()
+        return max([found, *(joined(plan.children().apply(k)) for k in range(plan.children().size()))])
+
+    got.collect()
+    assert 0 < joined(got._jdf.queryExecution().executedPlan()) <= 503

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.style import folded
@@ -18,21 +18,25 @@ def resolve(requests: DataFrame, catalogue: DataFrame) -> DataFrame:
     duplicate (an earlier request is the same place, by request number), matched.  Both ways are equality joins; a place
     that is listed twice alike counts once.  A request without code and name isn't found; requests of the same number are told apart by their rows.
     """
-    asked = requests.select("request", "kind", "code", "state", "name").withColumn("__id", F.monotonically_increasing_id()).withColumn("key", folded(F.col("name")))
+    one_code = F.col("code").isNotNull()
+    asked = requests.select("request", "kind", "code", "state", "name").withColumn("key", folded(F.col("name")))
+    asked = asked.withColumn("by_state", F.when(~one_code, F.col("state"))).withColumn("by_key", F.when(~one_code, F.col("key")))
     places = catalogue.select("kind", F.col("code").alias("c"), F.col("state").alias("s"), F.col("name").alias("full"), folded(F.col("name")).alias("k")).distinct()
-    by_code = asked.where("code is not null").join(places, (asked.kind == places.kind) & (asked.code == places.c)).select("__id", "c", "full", "k")
-    by_name = asked.where("code is null and name is not null").join(places, (asked.kind == places.kind) & asked.state.eqNullSafe(places.s) & (asked.key == places.k)).select("__id", "c", "full", "k")
-    answers = by_code.union(by_name).groupBy("__id").agg(F.count("*").alias("answers"), F.min(F.struct("c", "full", "k")).alias("place"))
-    told = asked.join(answers, "__id", "left")
+    # what a code or a name answers is summed up before it is asked for: a row a code and a row a name, however many places share it
+    answers = (F.count("*").alias("answers"), F.min(F.struct("c", "full", "k")).alias("place"))
+    by_code = places.where("c is not null").groupBy("kind", "c").agg(*answers).select(F.col("kind").alias("of_kind"), F.col("c").alias("of_code"), F.lit(None).cast(places.schema["s"].dataType).alias("of_state"), F.lit(None).cast("string").alias("of_key"), "answers", "place")
+    by_name = places.where("k is not null").groupBy("kind", "s", "k").agg(*answers).select("kind", F.lit(None).cast(places.schema["c"].dataType), "s", "k", "answers", "place")
+    same = F.expr("kind = of_kind and code <=> of_code and by_state <=> of_state and by_key <=> of_key")
+    told = asked.join(by_code.union(by_name), same, "left")
     other = F.col("key").isNotNull() & (F.col("key") != "") & (F.col("key") != F.col("place.k"))
     status = F.when(~F.coalesce(F.col("kind").isin(*KINDS), F.lit(False)), "unknown kind").when(F.col("answers").isNull(), "not found").when(F.col("answers") > 1, "ambiguous").when(other, "name conflict").otherwise("matched")
-    told = told.withColumn("status", status)
-    # a place is claimed by its first matched request; the claims are few columns, aggregated before they are joined
-    first = told.where("status = 'matched'").groupBy(F.col("kind").alias("of_kind"), F.col("place.c").alias("claimed")).agg(F.min(F.struct("request", "__id")).alias("first"))
-    told = told.join(first, F.expr("status = 'matched' and kind = of_kind and place.c = claimed"), "left")
-    late = (F.col("status") == "matched") & (F.col("first.__id") != F.col("__id"))
-    one = lambda c: F.when(F.col("status") == "matched", F.col(f"place.{c}"))
-    return told.select("request", F.when(late, "duplicate").otherwise(F.col("status")).alias("status"), "kind", one("c").alias("code"), one("full").alias("name"))
+    matched = F.col("status") == "matched"
+    told = told.select("request", "kind", status.alias("status"), F.col("place.c").alias("c"), F.col("place.full").alias("full"))
+    told = told.select("request", "kind", "status", *[F.when(matched, F.col(x)).alias(x) for x in ("c", "full")])
+    # a place is claimed by its first matched request; the others are dealt out by their own numbers
+    claim = Window.partitionBy("kind", "c", F.when(~matched, F.col("request"))).orderBy("request")
+    late = matched & (F.row_number().over(claim) > 1)
+    return told.select("request", F.when(late, "duplicate").otherwise(F.col("status")).alias("status"), "kind", F.col("c").alias("code"), F.col("full").alias("name"))
 
 
 def co_members(memberships: DataFrame) -> DataFrame:
