@@ -20,8 +20,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the smallest doc_id (a null one only if the group has no other).
 
-    Groups are those of five-word shingles of a similarity of 0.8; fingerprints alone can't tell that (see the README). Null and empty texts,
-    and those without words, are one group.
+    SimHash fingerprints propose links, which are verified; as fingerprints alone can't find all texts of a similarity of 0.8 in five-word shingles
+    (see the README), an exact rule adds the others. Null and empty texts, and those without words, are one group.
     """
     return near_texts.dedup(docs)
 

@@ -541,3 +541,22 @@ def test_mixing_calibration_and_slots():
     odds = {int(h): [1.0, 2.0] for h in rng.integers(-(2**63), 2**63, 500)} | {0: [3.0, 4.0], -1: [5.0, 6.0]}
     shift, size, slots = mixing._slots(odds)
     assert all(slots[(h >> shift) % size] == (h, *w) for h, w in odds.items())
+
+
+def test_fingerprints_propose_near_texts(spark, monkeypatch):
+    """The near-dedup stage goes through SimHash: near fingerprints are verified, and the prefix rule adds what they miss."""
+    import corpus_pipeline
+
+    said = [f"word{k * k % 4001}" for k in range(2000)]
+    line = " ".join(f"line{k}" for k in range(9))
+    texts = [" ".join(said), " ".join([*said[:999], "other", *said[1000:]]), " ".join(said[:1700])]  # a copy, a near copy, one cut off
+    texts += [line + "\n" + (line + "\n") * 300 + " ".join(f"{x}{k}" for k in range(6)) for x in "ab"]  # near fingerprints, unlike sets
+    asked = []
+    fingerprints = near_texts.fingerprints
+    monkeypatch.setattr(near_texts, "fingerprints", lambda *a: asked.append(1) or fingerprints(*a))
+    nodes = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    assert {tuple(r) for r in near_texts.by_fingerprint(nodes, 5, 0.8).collect()} == {(0, 1)}
+    fp = {r["doc_id"]: r["fp"] for r in simhash.fingerprints(nodes.withColumnRenamed("node", "doc_id")).collect()}
+    assert (fp[3] ^ fp[4]).bit_count() <= 3 and ((fp[0] ^ fp[2]) & (2**64 - 1)).bit_count() > 3
+    docs = nodes.withColumnRenamed("node", "doc_id")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 3, 4] and len(asked) == 2

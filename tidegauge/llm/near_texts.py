@@ -4,6 +4,9 @@ Two texts are linked if the Jaccard similarity of their sets of five-word shingl
 similar share a shingle among the first ``n - ceil(0.8 n) + 1`` of each in any common order (rarest first here),
 so every link meets in some prefix shingle.  What meets is cut only by bounds that no link can break, and what
 is linked is verified on whole texts before anything is thinned.
+
+SimHash fingerprints come first: texts whose fingerprints are near are verified and grouped, and the prefix rule looks only for
+links between texts that this has not brought together.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, id_and_text, row_keys, slices, stored
 from .components import components
+from .simhash import fingerprints, links_within
 
 def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -94,6 +98,21 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").mapInArrow(run, "a long, b long")
 
 
+def by_fingerprint(texts: DataFrame, words: int, similarity: float, radius: int = 3) -> DataFrame:
+    """(a, b): verified links of the texts (node, text) whose SimHash fingerprints differ in at most ``radius`` bits.
+
+    A fingerprint stands by its least node: its other texts are held against that one, and near fingerprints' least nodes against each other.
+    A pair that isn't similar is dropped here; what its texts are linked to otherwise is for the prefix rule to find.
+    """
+    fps = cut(fingerprints(texts.select(F.col("node").alias("doc_id"), "text")).select(F.col("doc_id").alias("node"), "fp"))
+    least = cut(fps.groupBy("fp").agg(F.min("node").alias("first")))
+    alike = fps.join(least, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    end = lambda k: least.select(F.col("fp").alias(k), F.col("first").alias(f"first_{k}"))
+    near = links_within(least.select("fp"), radius).join(end("a"), "a").join(end("b"), "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    pairs = alike.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    return verified(pairs, texts, words, similarity)
+
+
 def _frequent(texts: DataFrame, words: int, least: int = 4, most: int = 200_000) -> np.ndarray:
     """Shingles that at least ``least`` texts of every sixteenth have, the most frequent last.
 
@@ -266,12 +285,13 @@ def _meeting(similarity: float, few: int, labelled: bool):
     return run
 
 
-def linked(texts: DataFrame, words: int, similarity: float, block: int = 2048, few: int = 16) -> DataFrame:
+def linked(texts: DataFrame, words: int, similarity: float, block: int = 2048, few: int = 16, known: DataFrame | None = None) -> DataFrame:
     """(a, b): verified links of the texts (node, text) that leave the same groups as all links do.
 
     A shingle of more than ``block`` prefixes is cut into blocks by hash, and each pair of blocks is a piece of
     work.  Pieces of more than ``few`` texts are spanned first; once that is verified, every pair in them that
-    it has not brought together is compared too, so nothing is lost to the thinning.
+    it has not brought together is compared too, so nothing is lost to the thinning.  Links ``known`` (a, b; verified)
+    are part of what is returned, and pairs within their groups aren't verified again.
     """
     laid = stored(prefixes(texts, words, similarity), "prefixes")
     info = _small_side(laid.where("salt < 0").select("node", "n", "bits").dropDuplicates(["node"]), 100_000)
@@ -286,7 +306,14 @@ def linked(texts: DataFrame, words: int, similarity: float, block: int = 2048, f
     first = cut(pieces.join(info, "node").repartition("work").sortWithinPartitions("work", "node").mapInArrow(_meeting(similarity, few, False), fields).distinct())
     sketches = laid.where("salt < 0").select("node", "n", "wide").dropDuplicates(["node"])
     checked = lambda pairs: verified(plausible(pairs, sketches, similarity), texts, words, similarity)
-    sure = cut(checked(first.select("a", "b").distinct()))
+    asked = first.select("a", "b").distinct()
+    if known is not None:
+        known = cut(known)
+        group = _small_side(components(known).select("node", F.col("component").alias("group")))
+        of = lambda k: group.select(F.col("node").alias(k), F.col("group").alias(f"of_{k}"))
+        asked = asked.join(of("a"), "a", "left").join(of("b"), "b", "left").where("of_a is null or of_b is null or of_a <> of_b").select("a", "b")
+    sure = checked(asked)
+    sure = cut(sure if known is None else sure.union(known))
     thinned = _small_side(first.where("work <> 0").select("work").distinct())
     named = _small_side(components(sure).select("node", F.col("component").alias("label")))
     rest = pieces.join(thinned, "work", "left_semi").join(info, "node").join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -309,7 +336,7 @@ def groups(keyed: DataFrame, words: int = 5, similarity: float = 0.8, block: int
     distinct = cut(distinct.withColumn("node", F.when(again, F.xxhash64("h1", "h2")).otherwise(F.col("h1"))))
     texts = keyed.select("text", "__k1", "__k2").join(_small_side(distinct.select("node", "k.*")), ["__k1", "__k2"]).select("node", "text", "times")
     texts = texts.where("times = 1").union(texts.where("times > 1").dropDuplicates(["node"])).drop("times")  # a repeated row once
-    comp = components(linked(texts, words, similarity, block, few))
+    comp = components(linked(texts, words, similarity, block, few, by_fingerprint(texts, words, similarity)))
     classed = distinct.select("h1", "h2", "node", "first_id").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = classed.join(classed.groupBy("component").agg(F.min("first_id").alias("component_id")), "component").select("h1", "h2", "component_id")
     return rows.join(named, ["h1", "h2"]).select("doc_id", "__k1", "__k2", "component_id")
