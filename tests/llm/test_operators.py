@@ -216,6 +216,23 @@ def test_large_buckets_lose_no_link(spark):
     assert {i: got.get(i, i) for i in nodes} == label
 
 
+def test_components_of_few_links_take_few_stages(spark):
+    r = np.random.default_rng(5)
+    links = [(int(a), int(b)) for a, b in r.integers(0, 900, (700, 2))]
+    edges = spark.createDataFrame(links, "a long, b long").repartition(4)
+    scheduler = spark.sparkContext._jsc.sc().dagScheduler()
+    before = scheduler.nextStageId()
+    once = {r["node"]: r["component"] for r in components.components(edges).collect()}
+    assert scheduler.nextStageId() - before <= 12  # rounds took over 40, whose plans and files the driver holds
+    rounds = {r["node"]: r["component"] for r in components.components(edges, stretch=50).collect()}
+    label = {n: n for e in links for n in e}
+    for _ in range(len(label)):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert once == rounds == {n: c for n, c in label.items() if n in linked}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
