@@ -128,3 +128,16 @@ def test_wages_stay_where_they_are_but_for_the_slots_asked_for(spark):
     got = marts.hiring_wage(counts, places).select("territory", "month", "n_wages", "median_wage", "mean_wage")
     assert sorted(map(tuple, got.collect())) == [("28", 202601, 20000, 10000.0, 10000.5), ("280010", 202601, 20000, 10000.0, 10000.5)]
     assert 0 < moved(got._jdf.queryExecution().executedPlan()) < 10000
+
+
+def test_wages_are_not_moved_to_be_counted(spark):
+    columns = "municipality long, state long, month long, grouping string, feed string, sign long, wage_unit int, wage double"
+    hires = [(280010, 28, 202601, "a", "MOV", 1, 5, w) for w in [1000.0] * 5 + [1500.0, 1500.0, 2000.0]]
+    others = [(280010, 28, 202601, "a", f, s, u, w) for f, s, u, w in [("FOR", 1, 5, 9.0), ("MOV", -1, 5, 9.0), ("MOV", 1, 1, 9.0), ("MOV", 1, 5, 0.0), ("MOV", 1, 5, None)]]
+    counts = marts.wage_counts(spark.createDataFrame(hires + others, columns))
+    assert "Exchange" not in counts._jdf.queryExecution().sparkPlan().toString() and "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    places = spark.createDataFrame([("280010", "municipality", None, True), ("28", "state", None, True)], "territory string, kind string, region string, active boolean")
+    got = marts.hiring_wage(counts, places).select("territory", "n_wages", "median_wage", "mean_wage").collect()
+    assert sorted(map(tuple, got)) == [("28", 8, 1000.0, 1250.0), ("280010", 8, 1000.0, 1250.0)]
+    palma = marts.wage_summary(counts, "municipality").first()["palma"]
+    assert palma == 2.0  # the wages from p90 on: 2000; up to p40: 1000
