@@ -141,3 +141,31 @@ def test_wages_are_not_moved_to_be_counted(spark):
     assert sorted(map(tuple, got)) == [("28", 8, 1000.0, 1250.0), ("280010", 8, 1000.0, 1250.0)]
     palma = marts.wage_summary(counts, "municipality").first()["palma"]
     assert palma == 2.0  # the wages from p90 on: 2000; up to p40: 1000
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the given tables")
+def test_marts_do_not_wait_for_the_staging_table(spark):
+    from tidegauge.plans import registry
+    from tidegauge.sources import store
+
+    sf = "/root/testdata/sf0.001"
+    store.forget(sf)
+    told = {n: registry.QUERIES[n](spark, sf).count() for n in ("fact_tables", "dq_wage_range", "dq_grain_marts")}
+    assert not store.is_built(spark, sf, "events")
+    store.forget(sf)
+    registry.QUERIES["stg_events"](spark, sf)
+    assert store.is_built(spark, sf, "events") and {n: registry.QUERIES[n](spark, sf).count() for n in told} == told
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="needs the given tables")
+def test_suppliers_are_sent_under_any_threshold(spark):
+    from tidegauge.plans import audits
+    from tidegauge.sources import tables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        for rows in (tables.events(spark, "/root/testdata/sf0.01"), audits.raw_events(spark, "/root/testdata/sf0.01")):
+            plan = rows._jdf.queryExecution().sparkPlan().toString()
+            assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
