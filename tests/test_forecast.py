@@ -81,3 +81,16 @@ def test_guards_bar_broken_forecasts(spark):
     revised = spark.createDataFrame([("gap", True), ("fine", False)], "territory string, beyond_band boolean")
     got = {(r["territory"], r["h"], r["rule"], r["severity"]) for r in P.guards(f, bands, anchors, mae, revised).collect()}
     assert got == {("gap", 1, "no level", "block"), ("minus", 1, "negative flow", "block"), ("off", 1, "identity broken", "block"), ("band", 1, "band without centre", "block"), ("bare", 1, "band without centre", "block"), ("off", None, "worse than naive", "warn"), ("gap", None, "revision wider than band", "warn")}
+
+
+def test_series_are_fitted_in_several_tasks_and_origins_once(spark):
+    from pyspark.sql import functions as F
+
+    rows, _ = series(spark, 26)
+    many = spark.createDataFrame([(f"{r[0]}{k}", *r[1:]) for k in range(8) for r in rows], "territory string, month long, admissions long, separations long, net long, level long")
+    dealt = P.holt_winters(many, 2).withColumn("task", F.spark_partition_id())
+    assert dealt.select("territory").distinct().count() == 16 and dealt.select("task").distinct().count() > 1
+    smooth = P.holt_winters(many, 24, first_origin=24).localCheckpoint()
+    errors = P.backtest_methods(many, 24, 24, smooth)
+    assert "FlatMapGroupsInPandas" not in errors._jdf.queryExecution().sparkPlan().toString()
+    assert errors.exceptAll(P.backtest_methods(many)).count() == 0 and errors.count() > 0

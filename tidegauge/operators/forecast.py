@@ -225,7 +225,9 @@ def holt_winters(rows: DataFrame, horizon: int = 12, start: int | None = None, f
         told = {"territory": np.repeat(names, horizon), "h": np.tile(np.arange(1, horizon + 1), len(ends))}
         return pd.DataFrame(told | {"admissions": a.ravel(), "separations": s.ravel(), "level": level.ravel()})
 
-    return rows.select("territory", "month", "admissions", "separations", "level").groupBy("territory").applyInPandas(fit, "territory string, h int, admissions double, separations double, level double")
+    # series are few and small but slow to fit: dealt out by number, as by size they would all be put into one task
+    dealt = rows.select("territory", "month", "admissions", "separations", "level").repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "territory")
+    return dealt.groupBy("territory").applyInPandas(fit, "territory string, h int, admissions double, separations double, level double")
 
 
 def combined(seasonal: DataFrame, smooth: DataFrame) -> DataFrame:
@@ -253,16 +255,19 @@ def by_origin(rows: DataFrame, first_origin: int = 24) -> DataFrame:
 def methods(rows: DataFrame, horizon: int = 24, smooth: DataFrame | None = None) -> DataFrame:
     """method, territory, h, month, admissions, separations, level by seasonal rates, smoothing (``smooth``, fitted here by default), their mean and the naive way."""
     columns = ["territory", "h", "month", "admissions", "separations", "level"]
-    seasonal, smooth = seasonal_rates(rows, horizon), smooth or holt_winters(rows, horizon)
+    seasonal, smooth = seasonal_rates(rows, horizon), holt_winters(rows, horizon) if smooth is None else smooth
     ahead = _ahead(rows, horizon).select("territory", "h", "month")
     every = {"seasonal": seasonal, "smooth": smooth.join(ahead, ["territory", "h"]), "combined": combined(seasonal, smooth), "naive": naive(rows, horizon)}
     doubles = [F.col(c).cast("double").alias(c) for c in columns[3:]]
     return reduce(DataFrame.unionByName, [f.select(F.lit(m).alias("method"), *columns[:3], *doubles) for m, f in every.items()])
 
 
-def backtest_methods(rows: DataFrame, horizon: int = 24, first_origin: int = 24) -> DataFrame:
-    """method, territory, origin, h, error (of the level) and error_net of every method: real less forecast."""
-    told = methods(by_origin(rows, first_origin), horizon, holt_winters(rows, horizon, first_origin=first_origin))
+def backtest_methods(rows: DataFrame, horizon: int = 24, first_origin: int = 24, smooth: DataFrame | None = None) -> DataFrame:
+    """method, territory, origin, h, error (of the level) and error_net of every method: real less forecast.
+
+    ``smooth``: ``holt_winters`` from every origin, read twice; where it isn't given it is fitted at each reading.
+    """
+    told = methods(by_origin(rows, first_origin), horizon, holt_winters(rows, horizon, first_origin=first_origin) if smooth is None else smooth)
     part = F.split("territory", "@")
     told = told.select("method", part[0].alias("territory"), part[1].cast("long").alias("origin"), "h", "month", "admissions", "separations", F.col("level").alias("said"))
     real = rows.select("territory", "month", F.col("net").alias("real_net"), F.col("level").alias("real"))
