@@ -72,6 +72,32 @@ def test_collocations(spark, most, size):
     assert phrases.collocations(docs.where("false"), most, 6).count() == 0
 
 
+def test_phrases_are_summed_by_bucket_not_in_tables_of_a_task(spark):
+    rng = random.Random(11)
+    rows = [(lang, " ".join(rng.choice(["a", "b", "É", "日本", "x-y"]) for _ in range(300))) for lang in ["en", "de", "en", "und"] for _ in range(5)] + [("en", ""), ("fr", "a, a")]
+    parts = phrases._cut_up(spark.createDataFrame(rows, "lang string, text string").repartition(3), 1000)
+    word = parts.select("lang", F.explode("words").alias("phrase")).distinct()
+    f = defaultdict(Counter)
+    for lang, text in rows:
+        w = text.translate(LOW).split(" ")
+        f[lang].update(" ".join(w[i : i + 3]) for i in range(len(w) - 2))
+    for buckets, least in ((1, 1), (7, 12), (100_000, 12)):
+        got = phrases._counts(parts, 3, phrases.Sieve(word), {}, buckets, least)
+        assert sorted(map(tuple, got.collect())) == sorted((lang, p, a) for lang, c in f.items() for p, a in c.items() if a >= least and "," not in p)
+        assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sieve_takes_at_most_four_bytes_a_phrase(spark):
+    rows = spark.range(100_000).select(F.lit("en").alias("lang"), F.concat(F.lit("w"), F.col("id"), F.lit(" x")).alias("phrase"))
+    sieve, lang = phrases.Sieve(rows), phrases._hashes(["en"])
+    hashes = lambda ids, last: phrases._chained([phrases._chained([lang, phrases._hashes([f"w{i}" for i in ids])]), phrases._chained([lang, phrases._hashes([last])])])
+    assert sieve.bits.nbytes <= 400_000
+    assert sieve.passes(hashes(range(100_000), "x")).all()
+    assert sieve.passes(hashes(range(100_000), "y")).mean() < 0.01
+    full = phrases.Sieve(rows, 14)  # as a set beyond the most bits: more pass, none is lost
+    assert full.log == 14 and full.passes(hashes(range(100_000), "x")).all()
+
+
 def test_collocation_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 9_000_000_000_000_000, 9_000_000_000_000_001, 9_100_000_000_000_000
     grams = spark.createDataFrame([("en", "a b", a)], "lang string, phrase string, f long")
